@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from heatledger.llm import linededup, simhash
+from heatledger.llm import linededup, simhash, warc
 
 QUERIES = {
+    "op2_warc": warc.op2_warc,
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_simhash": simhash.op10_simhash,
 }
