@@ -73,3 +73,31 @@ def as_bytes(array: pa.Array) -> list:
 def batches(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches that have rows."""
     return (b for b in items if b.num_rows)
+
+
+def byte_slices(array: pa.Array, limit: int = 4 << 20):
+    """Runs of rows of a string column as (first row, bytes as uint8, offsets from 0).
+
+    A run has about ``limit`` bytes; a longer text is a run of its own. Null texts have no bytes.
+    """
+    import numpy as np
+
+    kind = pa.large_binary() if pa.types.is_large_string(array.type) else pa.binary()
+    flat = pa.concat_arrays([array.cast(kind)]) if array.offset == 0 else pa.array(array.cast(kind).to_pylist(), kind)
+    if flat.null_count:
+        flat = flat.fill_null(b"")
+    buffers = flat.buffers()
+    width = np.int64 if kind == pa.large_binary() else np.int32
+    offsets = np.frombuffer(buffers[1], width)[flat.offset : flat.offset + len(flat) + 1].astype(np.int64)
+    data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None and buffers[2].size else np.zeros(0, np.uint8)
+    at = 0
+    while at < len(flat):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+        yield at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
+        at = to
+
+
+def bounded_sample(rows: DataFrame, id_col: str, size: int) -> DataFrame:
+    """At most ``size`` ids of ``rows``, chosen by hash; the same ids whatever the partitioning."""
+    ids = rows.select(F.col(id_col).alias("_s_id")).filter("_s_id IS NOT NULL").distinct()
+    return ids.orderBy(F.xxhash64("_s_id"), "_s_id").limit(size)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from heatledger.llm import linededup, simhash, warc
+from heatledger.llm import langid, linededup, simhash, warc
 
 QUERIES = {
+    "op1_language_id": langid.op1_language_id,
+    "language_id_pages": langid.language_id_pages,
     "op2_warc": warc.op2_warc,
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_simhash": simhash.op10_simhash,
