@@ -1,7 +1,65 @@
-"""The corpus pipeline: stages over ``documents``."""
+"""The corpus pipeline: stages over ``documents``, each written and read again before the next.
+
+Every stage works on all rows its predecessor kept. Rows with a null ``doc_id`` go through unless a stage
+rejects their text; repeated rows count as one document. All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
-QUERIES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from heatledger.llm import decontam, langid, linededup, packing, simhash
+from heatledger.llm.common import materialise
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is identified."""
+    return langid.keep_identified(docs)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that a document with a smaller id has."""
+    out = linededup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return out.select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component, that with the smallest id."""
+    keep = simhash.near_duplicates(docs).filter(F.col("d").isNull() | (F.col("d") == F.col("component_id")))
+    first = materialise(keep.select(F.col("d").alias("_sh_id")).filter("_sh_id IS NOT NULL").distinct(), "near-duplicate-firsts")
+    named = docs.join(first, F.col("doc_id") == F.col("_sh_id"), "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.filter("doc_id IS NULL"))
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document lies in the packed sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_repeated_lines),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_benchmark_leaks),
+    ("best_fit_packing", pack_sequences),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+#: SQL can express neither the classifier nor the packing.
+ORACLE_SQL = None
+QUERIES = {"pipeline": run}
 ORACLES: dict[str, str] = {}

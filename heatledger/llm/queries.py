@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from heatledger.llm import decontam, langid, linededup, quality, simhash, warc
+from heatledger.llm import decontam, langid, linededup, packing, quality, simhash, warc
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -10,6 +10,7 @@ QUERIES = {
     "op2_warc": warc.op2_warc,
     "op4_decontamination": decontam.op4_decontamination,
     "op6_quality": quality.op6_quality,
+    "op7_packing": packing.op7_packing,
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_simhash": simhash.op10_simhash,
 }
