@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from heatledger.llm import decontam, langid, linededup, ngrams, packing, quality, simhash, warc
+from heatledger.llm import decontam, langid, licenses, linededup, ngrams, packing, quality, simhash, warc
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
     "language_id_pages": langid.language_id_pages,
     "op2_warc": warc.op2_warc,
+    "op3_license_scan": licenses.op3_license_scan,
     "op4_decontamination": decontam.op4_decontamination,
     "op5_lm_scoring": ngrams.op5_lm_scoring,
     "op6_quality": quality.op6_quality,
