@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from heatledger.llm import decontam, langid, licenses, linededup, ngrams, packing, quality, simhash, warc
+from heatledger.llm import decontam, langid, licenses, linededup, ngrams, packing, quality, simhash, substrings, warc
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -13,6 +13,7 @@ QUERIES = {
     "op5_lm_scoring": ngrams.op5_lm_scoring,
     "op6_quality": quality.op6_quality,
     "op7_packing": packing.op7_packing,
+    "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_simhash": simhash.op10_simhash,
 }
