@@ -240,3 +240,46 @@ def register(spark: SparkSession) -> list[str]:
     for head, body in SQL_FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURN {body}")
     return [head.partition("(")[0] for head in SQL_FUNCTIONS]
+
+
+def place_bounds(cell: Column) -> tuple[Column, Column]:
+    """Half-open bounds of a half-degree cell along one axis."""
+    return cell.cast("double") - S.PLACE_DEGREES / 2, cell.cast("double") + S.PLACE_DEGREES / 2
+
+
+def record_label(measurement: Column, kind: Column) -> Column:
+    """Short label of a curated record; a range or a mean never reads as an absolute record."""
+    base = F.when(measurement == "air", "air").when(measurement == "land_surface", "surface")
+    return F.when(kind == "diurnal_range", F.concat(base, F.lit(" swing"))).when(kind == "avg_annual", F.concat(base, F.lit(" avg"))).otherwise(base)
+
+
+def temperature_text(c: Column, unit: str = "C") -> Column:
+    return F.concat(F.format_string("%.1f", fahrenheit(c) if unit == "F" else c), F.lit(f" °{unit}"))
+
+
+def token_expiry(token: Column) -> Column:
+    """Expiry of a web token's payload as a timestamp; NULL where it cannot be read."""
+    body = F.translate(F.split_part(token, F.lit("."), F.lit(2)), "-_", "+/")
+    padded = F.rpad(body, (F.ceil(F.length(body) / 4) * 4).cast("int"), F.lit("="))
+    exp = F.get_json_object(F.try_to_binary(padded, F.lit("base64")).cast("string"), "$.exp")
+    return F.timestamp_seconds(exp.try_cast("bigint"))
+
+
+def expiry_state(expires: Column, now: Column, window_days: int = 14) -> Column:
+    """unknown, expired, renew or ok; only an expired token stops a run."""
+    return F.when(expires.isNull(), "unknown").when(expires <= now, "expired").when(F.unix_timestamp(expires) - F.unix_timestamp(now) <= window_days * 86400, "renew").otherwise("ok")
+
+
+def plain_number(x: Column) -> Column:
+    """A number without trailing zeros."""
+    return F.regexp_replace(F.regexp_replace(F.format_string("%.6f", x), r"0+$", ""), r"\.$", "")
+
+
+def bbox_text(west: Column, south: Column, east: Column, north: Column) -> Column:
+    return F.concat_ws(",", *[plain_number(F.round(x, 3)) for x in (west, south, east, north)])
+
+
+def bbox_problem(west: Column, south: Column, east: Column, north: Column) -> Column:
+    """NULL for a valid box; west may be larger than east, which crosses the antimeridian."""
+    bad = west.isNull() | south.isNull() | east.isNull() | north.isNull()
+    return F.when(bad, "four numbers are needed").when(~west.between(-180, 180) | ~east.between(-180, 180) | ~south.between(-90, 90) | ~north.between(-90, 90), "off the globe").when(south >= north, "south must be below north")

@@ -9,7 +9,7 @@ from heatledger.functions import exprs as E
 from heatledger.operators import archive, corroborate, grid, places, raster, readmodel, reduce, screens, worklist
 from heatledger.plans import bindings as B
 from heatledger.plans import sql as Q
-from heatledger.sources import feed, logs
+from heatledger.sources import feed, logs, tables
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -551,14 +551,63 @@ def _(spark, sf):
     running.awaitTermination()
     last = running.lastProgress.batchId if running.lastProgress else -1
     shots = stream.Snapshots(spark, f"{root}/archive")
-    versions = [v for v in range(last, -2, -1) if v < 0 or _exists(spark, shots.path(v))]
+    versions = [v for v in range(last, -2, -1) if v < 0 or tables.exists(spark, shots.path(v))]
     return shots.read(versions[0])
 
 
-def _shared(spark) -> str:
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_shared").rstrip("/")
+@query("upsert_daily_readings", Q.ctes(_RUNS) + """, old AS (SELECT reading_date, user_id, max(value) AS v FROM runs WHERE id % 2 = 0 GROUP BY ALL), new AS (SELECT reading_date, user_id, max(value) AS v FROM runs WHERE id % 2 = 1 AND reading_date >= DATE '2024-01-20' GROUP BY ALL)
+SELECT reading_date, user_id, v FROM new UNION ALL SELECT reading_date, user_id, v FROM old ANTI JOIN new USING (reading_date, user_id)""")
+def _(spark, sf):
+    rows = B.runs(spark, sf)
+    daily = lambda c: rows.filter(c).groupBy("reading_date", "user_id").agg(F.max("value").alias("v"))
+    return tables.merged(daily("id % 2 = 0"), daily("id % 2 = 1 AND reading_date >= DATE '2024-01-20'"), ["reading_date", "user_id"])
+
+
+@query("prunable_dates", "WITH n AS (SELECT DISTINCT CASE WHEN event_id % 3 = 0 THEN 'tmp' ELSE strftime(ts, '%Y-%m-%d') END AS name FROM events) SELECT name FROM n WHERE name <> 'tmp' AND name NOT IN (SELECT name FROM n WHERE name <> 'tmp' ORDER BY name DESC LIMIT 5)")
+def _(spark, sf):
+    name = F.when(F.col("event_id") % 3 == 0, "tmp").otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    return tables.prunable(B.table(spark, sf, "events").select(name.alias("name")).distinct(), 5)
+
+
+@query("job_failure_rate", Q.ctes(_RUNS) + "SELECT count(*) AS attempted, count_if(status = 'failed') AS failed, count_if(status = 'failed')/count(*) AS rate, count_if(status = 'failed')/count(*) <= 0.2 AS acceptable FROM runs")
+def _(spark, sf):
+    return tables.failure_rate(B.runs(spark, sf).select((F.col("status") != "failed").alias("ok")), 0.2)
+
+
+@query("place_cell_bounds", Q.ctes(Q.PLACES) + "SELECT cell_lat, cell_lon, CAST(cell_lat AS DOUBLE) - 0.25 AS lat_min, CAST(cell_lat AS DOUBLE) + 0.25 AS lat_max, CAST(cell_lon AS DOUBLE) - 0.25 AS lon_min, CAST(cell_lon AS DOUBLE) + 0.25 AS lon_max FROM places")
+def _(spark, sf):
+    (a, b), (c, d) = E.place_bounds(F.col("cell_lat")), E.place_bounds(F.col("cell_lon"))
+    return B.places(spark, sf).select("cell_lat", "cell_lon", a.alias("lat_min"), b.alias("lat_max"), c.alias("lon_min"), d.alias("lon_max"))
+
+
+@query("html_escape", "SELECT event_id, replace(replace(replace(props, '&', '&amp;'), '<', '&lt;'), '\"', '&quot;') AS safe FROM events")
+def _(spark, sf):
+    return B.table(spark, sf, "events").select("event_id", E.escape_html(F.col("props")).alias("safe"))
 
 
-def _exists(spark, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+@query("record_labels", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'air' ELSE 'surface' END || CASE event_id % 3 WHEN 1 THEN ' swing' WHEN 2 THEN ' avg' ELSE '' END AS label FROM events")
+def _(spark, sf):
+    k = F.col("event_id")
+    kind = F.when(k % 3 == 1, "diurnal_range").when(k % 3 == 2, "avg_annual").otherwise("all_time_max")
+    return B.table(spark, sf, "events").select("event_id", E.record_label(F.when(k % 2 == 0, "air").otherwise("land_surface"), kind).alias("label"))
+
+
+@query("cause_labels", Q.ctes(P, Q.FIRES, Q.VENTS, Q.ROUTED, Q.ANOMALIES) + "SELECT CASE cause WHEN 'volcanic' THEN 'Volcanic' ELSE 'Wildfire' END AS label, count(*) AS n FROM anomalies GROUP BY ALL")
+def _(spark, sf):
+    return reduce.anomalies(_routed(spark, sf), "d", "product").groupBy(E.cause_label(F.col("cause")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("bbox_arguments", GRID + _HOT + " SELECT d, product, lat, lon, CASE WHEN lat + 1 > 90 OR lon + 1 > 180 OR lon < -180 THEN 'off the globe' END AS problem FROM hot")
+def _(spark, sf):
+    hot = worklist.hot_cells(_grid(spark, sf), 75.0)
+    return hot.select("d", "product", "lat", "lon", E.bbox_problem(F.col("lon"), F.col("lat"), F.col("lon") + 1, F.col("lat") + 1).alias("problem"))
+
+
+@query("stale_days", "SELECT DISTINCT CAST(ts AS DATE) AS d, epoch(TIMESTAMP '2024-01-20 12:00:00') - epoch(CAST(CAST(ts AS DATE) AS TIMESTAMP)) > 2.5*86400 AS stale FROM events")
+def _(spark, sf):
+    days = B.table(spark, sf, "events").select(F.col("ts").cast("date").alias("d")).distinct()
+    return days.select("d", readmodel.stale(F.col("d"), F.lit("2024-01-20 12:00:00").cast("timestamp")).alias("stale"))
+
+
+def _shared(spark) -> str:
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_shared").rstrip("/")
