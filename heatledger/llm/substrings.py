@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heatledger.llm.common import as_bytes, batches, byte_slices, materialise, release
+from heatledger.llm.common import as_bytes, batches, byte_slices, discard, materialise, release
 from heatledger.llm.cover import Hasher, anchors
 
 #: Bytes whose hash decides about samples.
@@ -142,10 +142,11 @@ def sift(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
 def repeated_spans(rows: DataFrame, length: int = 400) -> DataFrame:
     """Rows (d, t, spans): for each text (d, t, text) with repeated strings, the windows that repeat as [s, e)."""
     found = []
-    samples = rows.mapInArrow(_samples(length), ddl(SAMPLE))
-    samples = materialise(samples, "substring-samples")
-    shared = samples.groupBy("near1", "near2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("near1", "near2")
-    samples = materialise(samples.join(shared, ["near1", "near2"]).withColumn("multi", F.lit(False)), "substring-shared-samples")
+    every = materialise(rows.mapInArrow(_samples(length), ddl(SAMPLE)), "substring-samples")
+    # written before it is joined: a join with what was just grouped would be bound to the groups' partitions, and a hot name to one task
+    shared = materialise(every.groupBy("near1", "near2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("near1", "near2"), "substring-shared-names")
+    samples = materialise(every.join(shared, ["near1", "near2"]).withColumn("multi", F.lit(False)), "substring-shared-samples")
+    discard(every, shared)
     release(rows.sparkSession)
     spans, onward = sift(samples, length)
     found.append(materialise(spans, "substring-spans"))
@@ -164,6 +165,7 @@ def repeated_spans(rows: DataFrame, length: int = 400) -> DataFrame:
     keys = windows.groupBy("full1", "full2").agg((F.max("multi") | (F.count(F.lit(1)) > 1)).alias("again")).filter("again").select("full1", "full2")
     spans = windows.filter("NOT multi").join(keys, ["full1", "full2"]).select("d", "t", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
     found.append(materialise(spans, "substring-spans"))
+    discard(samples, pieces, runs, windows, lists)
     release(rows.sparkSession)
     union = found[0].unionByName(found[1]).unionByName(found[2])
     return union.groupBy("d", "t").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
