@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -56,9 +57,11 @@ def discard(*frames: DataFrame) -> None:
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of frames that are out of use.
 
-    It acts only when the driver's heap is collected, which in a long job may be far too late.
+    It acts only when the driver's heap is collected, which in a long job may be far too late; and the bridge to the
+    driver lets go of Python's frames only once a second.
     """
     gc.collect()
+    time.sleep(1.5)
     spark.sparkContext._jvm.System.gc()
 
 

@@ -17,7 +17,6 @@ result; columns of the input named like the result's are replaced.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
 import pyarrow as pa
@@ -187,11 +186,6 @@ def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-def sha(text: bytes) -> str:
-    """Lower-case hex SHA-256."""
-    return hashlib.sha256(text).hexdigest()
-
-
 #: The same rows in DuckDB.
 ORACLE = r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),

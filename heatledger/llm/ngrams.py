@@ -9,7 +9,7 @@ right, the state carried along and the log-probabilities accumulated.
 The automaton grows with the corpus and is nowhere whole. Documents are dealt into blocks of about
 ``block_bytes`` by a hash of the id. Each block counts its n-grams; the counts are shuffled by n-gram and
 summed; back to a block goes the total of each n-gram it has, but only where the total differs from the
-block's own count, which the block knows. Then each block has every arc its documents can take. An
+block's own count, which the block knows. Both ways the ascending keys travel packed as differences. Then each block has every arc its documents can take. An
 n-gram sends one row for each block that has it, so a very frequent word is at most a row a block.
 
 Defined results: null text is empty and has the end token alone; a null id is never held out; rows that repeat
@@ -32,8 +32,10 @@ from heatledger.llm.common import as_bytes, materialise, release
 #: Keys of the end of a text, which is also the state at its start.
 END = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
-COUNT = pa.schema([("h", pa.int64()), ("unigram", pa.bool_()), ("block", pa.int32()), ("n", pa.int32())])
-TOTAL = pa.schema([("block", pa.int32()), ("h", pa.int64()), ("total", pa.int64())])
+#: Counts of one block whose n-grams lie in one part of the key space, packed.
+COUNT = pa.schema([("unigram", pa.bool_()), ("part", pa.int32()), ("block", pa.int32()), ("data", pa.binary())])
+#: Totals for a block, packed; rows of block -1 carry the number of known unigrams and of training tokens instead.
+TOTAL = pa.schema([("block", pa.int32()), ("types", pa.int64()), ("tokens", pa.int64()), ("data", pa.binary())])
 SCORE = pa.schema(
     [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("n_arcs", pa.int64())]
 )
@@ -102,47 +104,64 @@ def _block_counts(table):
     return out
 
 
-def _count(key, table):
-    block = key[0].as_py()
-    (u, nu, _), (b, nb, _) = _block_counts(table)
-    h = np.concatenate((u, b)).view(np.int64)
-    return pa.table([pa.array(h), pa.array(np.arange(len(h)) < len(u)), pa.array(np.full(len(h), block, np.int32)), pa.array(np.concatenate((nu, nb)).astype(np.int32))], schema=COUNT)
+def packed(keys: np.ndarray, values: np.ndarray) -> bytes:
+    """Ascending keys and their counts in few bytes: differences in as many bytes as the largest needs, counts in one with exceptions."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    width = max(1, -(-int(steps[1:].max() if len(steps) > 1 else 0).bit_length() // 8))
+    odd = np.flatnonzero(values > 255)
+    parts = [np.array([len(keys), len(odd), width], np.int64), keys[:1], steps[1:].view(np.uint8).reshape(-1, 8)[:, :width], np.minimum(values, 255).astype(np.uint8), odd.astype(np.int64), values[odd].astype(np.int64)]
+    return b"".join(x.tobytes() for x in parts)
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of ``packed``."""
+    n, n_odd, width = np.frombuffer(data, np.int64, 3).tolist()
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    steps = np.zeros((n, 8), np.uint8)
+    steps[1:, :width] = np.frombuffer(data, np.uint8, (n - 1) * width, 32).reshape(-1, width)
+    flat = steps.reshape(-1).view(np.uint64)
+    flat[0] = np.frombuffer(data, np.uint64, 1, 24)[0]
+    at = 32 + (n - 1) * width
+    values = np.frombuffer(data, np.uint8, n, at).astype(np.int64)
+    values[np.frombuffer(data, np.int64, n_odd, at + n)] = np.frombuffer(data, np.int64, n_odd, at + n + 8 * n_odd)
+    return np.cumsum(flat), values
+
+
+def _count(parts: int):
+    """Packed counts of a block, cut at equal parts of the key space."""
+    edges = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
+
+    def run(key, table):
+        block = key[0].as_py()
+        rows = []
+        for keys, n, unigram in _block_counts(table):
+            cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+            rows += [(unigram, k, block, packed(keys[a:b], n[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+        return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(COUNT)], schema=COUNT)
 
+    return run
 
-def _totals(items):
-    """Totals for the blocks that do not know them; block -1 gets the number of known unigrams and block -2 that of training tokens.
 
-    The rows of a partition come sorted by n-gram.
-    """
-    held = None
-    types = tokens = 0
-
-    def work(cols):
-        nonlocal types, tokens
-        h, uni, block, n = cols
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        size = np.diff(np.append(first, len(h)))
-        total = np.add.reduceat(n, first)
-        known = uni[first]
-        types += int((total[known] > 0).sum())
-        tokens += int(total[known].sum())
-        each = np.repeat(total, size)
-        tell = each != n
-        return pa.RecordBatch.from_arrays([pa.array(block[tell]), pa.array(h[tell]), pa.array(each[tell])], schema=TOTAL)
-
-    for b in items:
-        if not b.num_rows:
-            continue
-        cols = [b.column("h").to_numpy(), b.column("unigram").to_numpy(zero_copy_only=False), b.column("block").to_numpy(), b.column("n").to_numpy().astype(np.int64)]
-        if held is not None:
-            cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
-        last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last n-gram may go on in the next batch
-        held = [x[last:] for x in cols]
-        if last:
-            yield work([x[:last] for x in cols])
-    if held is not None:
-        yield work(held)
-    yield pa.RecordBatch.from_arrays([pa.array([-1, -2], pa.int32()), pa.array([0, 0]), pa.array([types, tokens])], schema=TOTAL)
+def _totals(key, table):
+    """Totals of a part's n-grams, for each block those whose total differs from its own count."""
+    blocks = table.column("block").to_pylist()
+    each = [unpacked(x) for x in table.column("data").to_pylist()]
+    keys = np.concatenate([k for k, _ in each])
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    total = np.add.reduceat(np.concatenate([n for _, n in each])[order], first)
+    known = ordered[first]
+    rows = []
+    for block, (k, n) in zip(blocks, each, strict=True):
+        t = total[np.searchsorted(known, k)]
+        tell = t != n
+        if tell.any():
+            rows.append((block, None, None, packed(k[tell], t[tell])))
+    if key[0].as_py():
+        rows.append((-1, int((total > 0).sum()), int(total.sum()), None))
+    return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(TOTAL)], schema=TOTAL)
 
 
 def _traverse(n_train: int, n_types: int, prior: float):
@@ -154,9 +173,11 @@ def _traverse(n_train: int, n_types: int, prior: float):
         tokens, offsets = tokenise(as_bytes(docs.column("text").combine_chunks()))
         before, pairs = bigrams(tokens, offsets)
         learn = np.repeat(~np.array(out), np.diff(offsets))
-        told = arcs.column("h").to_numpy().view(np.uint64)
-        order = np.argsort(told)
-        told, total = told[order], arcs.column("total").to_numpy()[order]
+        each = [unpacked(x) for x in arcs.column("data").to_pylist()]
+        told = np.concatenate([k for k, _ in each] or [np.zeros(0, np.uint64)])
+        total = np.concatenate([n for _, n in each] or [np.zeros(0, np.int64)])
+        order = np.argsort(told, kind="stable")
+        told, total = told[order], total[order]
 
         def count(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
             own = looked_up(*counted(keys[learn]), wanted)
@@ -176,21 +197,28 @@ def _traverse(n_train: int, n_types: int, prior: float):
     return run
 
 
-def score_documents(docs: DataFrame, prior: float = 4.0, block_bytes: int = 32 << 20) -> DataFrame:
-    """A row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_arcs."""
+def _all_totals(dealt: DataFrame, parts: int) -> DataFrame:
+    """Packed totals of the blocks' n-grams."""
+    counts = dealt.groupBy("block").applyInArrow(_count(parts), "unigram boolean, part int, block int, data binary")
+    return counts.groupBy("unigram", "part").applyInArrow(_totals, "block int, types long, tokens long, data binary")
+
+
+def score_documents(docs: DataFrame, prior: float = 4.0, block_bytes: int = 32 << 20, max_parts: int = 1 << 16) -> DataFrame:
+    """A row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_arcs.
+
+    The key space is cut into four parts a block, ``max_parts`` at most, so that a part's task holds about a quarter block's n-grams.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     blocks = int(size // block_bytes) + 1
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
-    counts = dealt.groupBy("block").applyInArrow(_count, "h long, unigram boolean, block int, n int")
-    totals = counts.repartition("h").sortWithinPartitions("h").mapInArrow(_totals, "block int, h long, total long")
-    totals = materialise(totals, "ngram-totals")
-    release(spark)
-    sums = {r.block: r.n for r in totals.filter("block < 0").groupBy("block").agg(F.sum("total").alias("n")).collect()}
-    arcs = totals.filter("block >= 0")
+    totals = materialise(_all_totals(dealt, min(4 * blocks, max_parts)), "ngram-totals")
+    release(spark)  # the counts' shuffles are not needed beside those to come
+    whole = totals.filter("block < 0").agg(F.sum("types").alias("types"), F.sum("tokens").alias("tokens")).first()
+    arcs = totals.filter("block >= 0").select("block", "data")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_arcs long"
-    return dealt.groupBy("block").cogroup(arcs.groupBy("block")).applyInArrow(_traverse(sums.get(-2, 0), sums.get(-1, 0), prior), schema)
+    return dealt.groupBy("block").cogroup(arcs.groupBy("block")).applyInArrow(_traverse(whole.tokens or 0, whole.types or 0, prior), schema)
 
 
 def op5_lm_scoring(spark, sf_dir: str) -> DataFrame:

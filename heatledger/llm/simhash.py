@@ -145,7 +145,7 @@ def _links(distance: int):
     return run
 
 
-def links(fps: DataFrame, distance: int = 4, blocks: int = 7, chunk: int = 4096) -> DataFrame:
+def links(fps: DataFrame, distance: int = 4, blocks: int = 8, chunk: int = 4096) -> DataFrame:
     """Rows (u, v), u < v: links that connect the distinct fingerprints ``fps`` (column fp) as all links would."""
     t = thermometer(F.col("fp"))
     cells = fps.select("fp", F.posexplode(F.array(*[t.bitwiseAND(F.lit(m).cast("long")) for m in masks(blocks, distance)])).alias("grid", "cell"))
@@ -187,7 +187,7 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     return edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4, blocks: int = 7, chunk: int = 4096) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4, blocks: int = 8, chunk: int = 4096) -> DataFrame:
     """Rows (d, fp, component_id), one for each row of ``docs``."""
     spark = docs.sparkSession
     marks = materialise(fingerprints(docs, id_col, text_col, width), "fingerprints")

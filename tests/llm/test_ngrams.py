@@ -4,10 +4,11 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import SCHEMA, awkward, frame
 
-from heatledger.llm.ngrams import held_out, score_documents
+from heatledger.llm.ngrams import held_out, packed, score_documents, unpacked
 
 
 def brute(rows, prior):
@@ -49,6 +50,15 @@ def test_against_brute_force(spark):
         check(score_documents(docs, block_bytes=block_bytes), list(enumerate(texts)))
 
 
+def test_packing_of_counts():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 2, 1000):
+        keys = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        values = rng.integers(0, 300, len(keys))
+        k, v = unpacked(packed(keys, values))
+        assert (k == keys).all() and (v == values).all()
+
+
 def test_bigrams_help_on_held_out_text(spark):
     texts = ["one two three four five six seven eight nine ten " * (1 + i % 4) for i in range(60)]
     rows = [r for r in score_documents(frame(spark, texts)).collect() if r.held_out]
