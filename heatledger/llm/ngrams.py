@@ -42,9 +42,13 @@ SCORE = pa.schema(
 
 
 class WordKeys(dict):
-    """64-bit key of each word, remembered."""
+    """64-bit key of each word; forgotten and computed anew once ``MEMORY`` words are held."""
+
+    MEMORY = 1 << 18
 
     def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.MEMORY:
+            self.clear()
         key = xxhash.xxh3_64_intdigest(word)
         self[word] = key
         return key
@@ -69,19 +73,24 @@ def tokenise(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), np.array(offsets)
 
 
-def bigrams(tokens: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the state before each token and of the bigram that the two make."""
+def bigrams(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Keys of the bigrams that the state before each token and the token make."""
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
     before[offsets[:-1]] = END
     pair = (before ^ (tokens >> np.uint64(29))) * MIX + tokens
     pair ^= pair >> np.uint64(32)
-    return before, pair * MIX
+    return pair * MIX
 
 
-def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and how often each occurs."""
-    return np.unique(keys, return_counts=True)
+def tallied(keys: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, how often each occurs where ``learn`` holds, the order that sorts the keys, and the distinct key of each in that order."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.concatenate(([True], ordered[1:] != ordered[:-1]))[: len(keys)]
+    first = np.flatnonzero(new)
+    counts = np.add.reduceat(learn[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+    return ordered[first], counts, order, np.cumsum(new) - 1
 
 
 def looked_up(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -98,9 +107,8 @@ def _block_counts(table):
     train = np.array([not held_out(d) for d in table.column("doc_id").to_pylist()], bool)
     tokens, offsets = tokenise(as_bytes(table.column("text").combine_chunks()))
     learn = np.repeat(train, np.diff(offsets))
-    for unigram, keys in ((True, tokens), (False, bigrams(tokens, offsets)[1])):
-        every = np.unique(keys)
-        out.append((every, looked_up(*counted(keys[learn]), every), unigram))
+    for unigram, keys in ((True, tokens), (False, bigrams(tokens, offsets))):
+        out.append((*tallied(keys, learn)[:2], unigram))
     return out
 
 
@@ -171,7 +179,7 @@ def _traverse(n_train: int, n_types: int, prior: float):
         ids = docs.column("doc_id").to_pylist()
         out = [held_out(d) for d in ids]
         tokens, offsets = tokenise(as_bytes(docs.column("text").combine_chunks()))
-        before, pairs = bigrams(tokens, offsets)
+        pairs = bigrams(tokens, offsets)
         learn = np.repeat(~np.array(out), np.diff(offsets))
         each = [unpacked(x) for x in arcs.column("data").to_pylist()]
         told = np.concatenate([k for k, _ in each] or [np.zeros(0, np.uint64)])
@@ -179,12 +187,17 @@ def _traverse(n_train: int, n_types: int, prior: float):
         order = np.argsort(told, kind="stable")
         told, total = told[order], total[order]
 
-        def count(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-            own = looked_up(*counted(keys[learn]), wanted)
-            other = looked_up(told, total, wanted)
-            return np.where(other > 0, other, own)
-
-        c_word, c_state, c_pair = count(tokens, tokens), count(tokens, before), count(pairs, pairs)
+        def count(keys: np.ndarray) -> np.ndarray:
+            known, own, order, which = tallied(keys, learn)
+            other = looked_up(told, total, known)
+            out = np.empty(len(keys), np.int64)
+            out[order] = np.where(other > 0, other, own)[which]
+            return out
+
+        c_word, c_pair = count(tokens), count(pairs)
+        c_state = np.empty_like(c_word)  # the state before a token is the token before, at a start the end token
+        c_state[1:] = c_word[:-1]
+        c_state[offsets[:-1]] = c_word[offsets[1] - 1]
         p = (c_word + 1.0) / (n_train + n_types + 1.0)
         fail = prior / (c_state + prior)
         weight = np.where(c_pair > 0, (c_pair + prior * p) / (c_state + prior), fail * p)
@@ -203,7 +216,7 @@ def _all_totals(dealt: DataFrame, parts: int) -> DataFrame:
     return counts.groupBy("unigram", "part").applyInArrow(_totals, "block int, types long, tokens long, data binary")
 
 
-def score_documents(docs: DataFrame, prior: float = 4.0, block_bytes: int = 32 << 20, max_parts: int = 1 << 16) -> DataFrame:
+def score_documents(docs: DataFrame, prior: float = 4.0, block_bytes: int = 16 << 20, max_parts: int = 1 << 16) -> DataFrame:
     """A row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_arcs.
 
     The key space is cut into four parts a block, ``max_parts`` at most, so that a part's task holds about a quarter block's n-grams.
