@@ -11,6 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Whether Spark drops the shuffle files of a query at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -37,11 +41,17 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
-    This cuts lineage the same way a reliable checkpoint does: the rows survive lost executors.
+    This cuts lineage the same way a reliable checkpoint does: the rows survive lost executors. The shuffle files
+    of the write are dropped when it ends, not when the driver's heap happens to be collected.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
