@@ -3,11 +3,14 @@
 A text becomes a sequence of template tokens: words in lower case without the punctuation around them, with
 numbers, units that follow a number and capitalised names inside a sentence replaced by ``<num>``,
 ``<unit>`` and ``<name>``. Windows of ``width`` template tokens of the benchmark are hash-joined with
-those of the documents. Matches of one document and item that share an alignment are gathered; the
-alignment counts when its windows cover enough of the item and its slots are consistent, that is, every
-slot value of the item stands for one value in the document wherever it occurs, and two values never
-stand for one. So a question asked again with other numbers or names is caught, and a text that only has the
-item's shape is not.
+those of the documents. Matches of one document and item that share a shift are an alignment; it counts when
+its slots are consistent, that is, every slot value of the item stands for one value in the document wherever
+it occurs. Runs of windows of such alignments that follow each other in both texts, at most the item's length apart
+in the document, are summed along the best chain that stays consistent, so inserted, deleted and replaced words cost only
+the windows they touch. A document holds an item when a chain covers enough of its windows, when it has enough of its tokens
+and at least ``passage``, or when one run is a passage of so many tokens. A copy that is edited so often that no
+``width`` tokens in a row are left is not found. So a question asked again with other numbers or names is caught, and a text
+that only has the item's shape is not.
 
 Items shorter than ``width`` are windows of their own length. While the benchmark's windows are no more
 than ``filter_bound`` (counted first), tasks hold their hashes and send only document windows that can
@@ -91,6 +94,7 @@ def window_hashes(tokens: list[bytes], width: int) -> list[int]:
 
 
 ITEM = "item_id long, n_windows int, pos int, h long, width int, slots array<string>"
+FOUND = "doc_id long, item_id long, coverage double, n_slots long, n_changed long"
 HIT = "doc_id long, pos int, h long, width int, slots array<string>"
 
 
@@ -153,6 +157,73 @@ def _doc_windows(widths: list[int], known):
     return run
 
 
+def _mapping(pairs, known=()) -> dict | None:
+    """``known`` with the (item value, document value) ``pairs``; None if an item value would stand for two."""
+    out = dict(known)
+    for a, b in pairs:
+        if out.setdefault(a, b) != b:
+            return None
+    return out
+
+
+def align(hits: list[tuple[int, int, list]], n_windows: int, width: int) -> tuple[int, int, int, int, int]:
+    """Of matched windows (position in document, in item, slot pairs): windows, slots and changed slots of the best chain, most tokens of a chain and of a run."""
+    shifts: dict[int, dict[int, list]] = {}
+    for doc_pos, pos, pairs in hits:
+        shifts.setdefault(doc_pos - pos, {})[pos] = pairs
+    runs: list[tuple[int, int, list]] = []  # first window in document and item, pairs of each window
+    chains: list[tuple] = []
+    for shift, at in shifts.items():
+        slots = _mapping(p for pairs in at.values() for p in pairs)
+        if slots is None:
+            continue
+        chains.append((len(at), slots))
+        for pos in sorted(at):
+            if pos - 1 in at:
+                runs[-1][2].append(at[pos])
+            else:
+                runs.append((shift + pos, pos, [at[pos]]))
+    runs.sort(key=lambda r: r[:2])
+    reach = n_windows + width - 1
+    ends: list[tuple[int, dict, int]] = []  # the best chain that ends with each run: windows, slots, tokens
+    for j, (doc, pos, windows) in enumerate(runs):
+        best = (len(windows), _mapping(p for pairs in windows for p in pairs), len(windows) + width - 1)
+        for i in range(j - 1, -1, -1):
+            before_doc, before_pos, before = runs[i]
+            if doc - before_doc > reach + n_windows:
+                break
+            if doc - before_doc - len(before) > reach:
+                continue
+            skip = max(0, before_doc + len(before) - doc, before_pos + len(before) - pos)
+            if len(windows) - skip + ends[i][0] <= best[0] or skip >= len(windows):
+                continue
+            slots = _mapping((p for pairs in windows[skip:] for p in pairs), ends[i][1])
+            if slots is not None:
+                twice = max(0, max(before_doc - doc, before_pos - pos) + len(before) + width - 1 - skip)
+                best = (ends[i][0] + len(windows) - skip, slots, ends[i][2] + max(0, len(windows) - skip + width - 1 - twice))
+        ends.append(best)
+    if not runs:
+        return 0, 0, 0, 0, 0
+    most, fewest, n_slots = max((n, -sum(a != b for a, b in slots.items()), len(slots)) for n, slots, *_ in chains + ends)
+    return most, n_slots, -fewest, max(e[2] for e in ends), max(len(r[2]) for r in runs) + width - 1
+
+
+def _judge(coverage: float, passage: int):
+    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("coverage", pa.float64()), ("n_slots", pa.int64()), ("n_changed", pa.int64())])
+
+    def run(items):
+        for b in batches(items):
+            rows = []
+            for r in b.to_pylist():
+                n, slots, changed, tokens, longest = align([(x["doc_pos"], x["pos"], [(p["a"], p["b"]) for p in x["pairs"]]) for x in r["hits"]], r["n_windows"], r["width"])
+                length = r["n_windows"] + r["width"] - 1
+                if n and (n / r["n_windows"] >= coverage or longest >= passage or (tokens >= passage and tokens / length >= coverage)):
+                    rows.append((r["doc_id"], r["item_id"], n / r["n_windows"], slots, changed))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
+
+    return run
+
+
 def _vocabulary():
     schema = pa.schema([("word", pa.binary())])
 
@@ -164,11 +235,11 @@ def _vocabulary():
     return run
 
 
-def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, literals: int = 4, coverage: float = 0.5, filter_bound: int = 2_000_000) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, literals: int = 4, coverage: float = 0.5, filter_bound: int = 2_000_000, passage: int = 13) -> DataFrame:
     """Rows (doc_id, item_id, coverage, n_slots, n_changed) of documents that hold a benchmark item.
 
-    ``coverage`` is the share of the item's windows at the best alignment and must reach the parameter;
-    ``literals`` tokens of a window at least must not be slots; ``n_changed`` counts slot values that differ.
+    ``coverage`` is the share of the item's windows in the best chain. It must reach the parameter, unless ``passage``
+    tokens in a row match, or as many in the chain that are this share of the item's; ``literals`` tokens of a window at least must not be slots; ``n_changed`` counts slot values that differ.
     """
     spark = docs.sparkSession
     bench = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
@@ -186,17 +257,10 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, literals: in
     found = found.withColumnRenamed("slots", "doc_slots").withColumnRenamed("pos", "doc_pos")
     met = found.join(windows, ["h", "width"])
     pairs = F.filter(F.arrays_zip(F.col("slots").alias("a"), F.col("doc_slots").alias("b")), lambda x: x["a"].isNotNull() & x["b"].isNotNull())
-    placed = met.select("doc_id", "item_id", (F.col("doc_pos") - F.col("pos")).alias("shift"), "pos", "n_windows", pairs.alias("pairs"))
-    at = placed.groupBy("doc_id", "item_id", "shift").agg(F.count_distinct("pos").alias("hits"), F.first("n_windows").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    left = F.array_distinct(F.transform("pairs", lambda x: x["a"]))
-    right = F.array_distinct(F.transform("pairs", lambda x: x["b"]))
-    judged = at.select(
-        "doc_id", "item_id", (F.col("hits") / F.col("n_windows")).alias("coverage"), F.size("pairs").cast("long").alias("n_slots"),
-        F.size(F.filter("pairs", lambda x: x["a"] != x["b"])).cast("long").alias("n_changed"), ((F.size("pairs") == F.size(left)) & (F.size("pairs") == F.size(right))).alias("consistent"),
-    )
-    passed = judged.filter((F.col("coverage") >= coverage) & F.col("consistent"))
-    best = F.max(F.struct("coverage", (-F.col("n_changed")).alias("same"), "n_slots", "n_changed")).alias("best")
-    return passed.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.coverage", "best.n_slots", "best.n_changed")
+    placed = met.select("doc_id", "item_id", "n_windows", "width", F.struct("doc_pos", "pos", pairs.alias("pairs")).alias("hit"))
+    at = placed.groupBy("doc_id", "item_id", "n_windows", "width").agg(F.collect_set("hit").alias("hits"))
+    best = F.struct("coverage", (-F.col("n_changed")).alias("same"), "n_slots", "n_changed")
+    return at.mapInArrow(_judge(coverage, passage), FOUND).groupBy("doc_id", "item_id").agg(F.max(best).alias("best")).select("doc_id", "item_id", "best.coverage", "best.n_slots", "best.n_changed")
 
 
 def op4_decontamination(spark, sf_dir: str) -> DataFrame:

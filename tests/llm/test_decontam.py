@@ -71,3 +71,24 @@ def test_awkward_and_empty(spark):
     assert contaminated(none, items).collect() == []
     assert contaminated(docs, spark.createDataFrame([], ITEM_SCHEMA)).collect() == []
     assert drop_contaminated(docs, items).count() == 7
+
+
+def test_partial_edited_and_coinciding_copies(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage, split, replaced = [[word() for _ in range(n)] for n in (60, 30, 20)]
+    slots = "the baker sold 48 warm loaves to one crowd and after that sold 12 warm loaves to another crowd nearby"
+    items = [(0, " ".join(passage)), (1, " ".join(split)), (2, slots), (3, " ".join(replaced))]
+    pad = " ".join(word() for _ in range(20))
+    texts = [
+        f"{pad} {' '.join(passage[10:34])} {pad}",  # 24 of 60 tokens in a row
+        f"{pad} {' '.join([*split[:15], 'inserted', *split[15:]])} {pad}",  # 8 windows of 23 at either shift
+        f"{pad} {slots.replace('48', '7').replace('12', '7')} {pad}",  # two values that coincide
+        f"{pad} {' '.join([*replaced[:9], *replaced[11:]])} {pad}",  # two words deleted, 2 windows of 13 at either shift
+        f"{pad} {' '.join(passage[10:20])} {pad} {' '.join(passage[20:30])} {pad}",  # only short pieces
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA)
+    got = {(r.doc_id, r.item_id): r for r in contaminated(docs, spark.createDataFrame(items, ITEM_SCHEMA)).collect()}
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 3)}
+    assert (got[0, 0].coverage, got[1, 1].coverage, got[3, 3].coverage) == (17 / 53, 16 / 23, 4 / 13)
+    assert (got[2, 2].n_slots, got[2, 2].n_changed) == (2, 2)
