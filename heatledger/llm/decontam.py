@@ -12,6 +12,10 @@ and at least ``passage``, or when one run is a passage of so many tokens. A copy
 ``width`` tokens in a row are left is not found. So a question asked again with other numbers or names is caught, and a text
 that only has the item's shape is not.
 
+A window meets windows of the same template when ``literals`` of its tokens at least are not slots, and windows of the same
+words, values included, always. So a window made mostly of numbers or names matches its copies alone, and a verbatim copy is
+found whatever the item is made of and wherever a sentence begins.
+
 Items shorter than ``width`` are windows of their own length. While the benchmark's windows are no more
 than ``filter_bound`` (counted first), tasks hold their hashes and send only document windows that can
 match; beyond it every document window goes through the join. Both give the same rows. A passage
@@ -93,7 +97,7 @@ def window_hashes(tokens: list[bytes], width: int) -> list[int]:
     return np.array([digest(joined[a:b]) for a, b in zip(begins, ends[width - 1 :], strict=False)], np.uint64).view(np.int64).tolist()
 
 
-ITEM = "item_id long, n_windows int, pos int, h long, width int, slots array<string>"
+ITEM = "item_id long, n_windows int, n_open int, pos int, open boolean, h long, width int, slots array<string>"
 FOUND = "doc_id long, item_id long, coverage double, n_slots long, n_changed long"
 HIT = "doc_id long, pos int, h long, width int, slots array<string>"
 
@@ -102,8 +106,32 @@ def _values(slots, i, width):
     return [None if v is None else v.decode("utf-8", "replace") for v in slots[i : i + width]]
 
 
+def window_keys(tokens: list[bytes], slots: list[bytes | None], widths: list[int], literals: int, words=None):
+    """(width, position, hash): of each window's template if enough of it is literal, and of its words if it has slots.
+
+    If ``words`` is given, only windows whose tokens are all in it.
+    """
+    digest = xxhash.xxh3_64_intdigest
+    filled = np.concatenate(([0], np.cumsum([v is not None for v in slots], dtype=np.int64)))
+    spelt = [t if v is None else v.lower() for t, v in zip(tokens, slots, strict=True)] if filled[-1] else tokens
+    for seq in (tokens, spelt) if filled[-1] else (tokens,):
+        miss = None if words is None else np.concatenate(([0], np.cumsum([t not in words for t in seq], dtype=np.int64)))
+        for w in widths:
+            if len(tokens) < w:
+                continue
+            n = filled[w:] - filled[:-w]
+            wanted = n <= w - min(literals, w) if seq is tokens else n > 0
+            if miss is None:
+                hashes = window_hashes(seq, w)
+                yield from ((w, i, hashes[i]) for i in np.flatnonzero(wanted).tolist())
+                continue
+            for i in np.flatnonzero(wanted & (miss[w:] == miss[:-w])).tolist():
+                h = digest(b" ".join(seq[i : i + w]))
+                yield w, i, h - (1 << 64) if h >> 63 else h
+
+
 def _item_windows(width: int, literals: int):
-    schema = pa.schema([("item_id", pa.int64()), ("n_windows", pa.int32()), ("pos", pa.int32()), ("h", pa.int64()), ("width", pa.int32()), ("slots", pa.list_(pa.string()))])
+    schema = pa.schema([("item_id", pa.int64()), ("n_windows", pa.int32()), ("n_open", pa.int32()), ("pos", pa.int32()), ("open", pa.bool_()), ("h", pa.int64()), ("width", pa.int32()), ("slots", pa.list_(pa.string()))])
 
     def run(items):
         for b in batches(items):
@@ -113,14 +141,14 @@ def _item_windows(width: int, literals: int):
                 w = min(width, len(tokens))
                 if item is None or not w:
                     continue
-                good = [(i, h) for i, h in enumerate(window_hashes(tokens, w)) if sum(v is None for v in slots[i : i + w]) >= min(literals, w)]
-                rows += [(item, len(good), i, h, w, _values(slots, i, w)) for i, h in good]
+                is_open = [sum(v is None for v in slots[i : i + w]) >= min(literals, w) for i in range(len(tokens) - w + 1)]
+                rows += [(item, len(is_open), sum(is_open), i, is_open[i], h, w, _values(slots, i, w)) for _, i, h in window_keys(tokens, slots, [w], literals)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
     return run
 
 
-def _doc_windows(widths: list[int], known):
+def _doc_windows(widths: list[int], literals: int, known):
     """Windows of documents; only those whose hash is ``known`` if that is given as (words, {width: hashes})."""
     schema = pa.schema([("doc_id", pa.int64()), ("pos", pa.int32()), ("h", pa.int64()), ("width", pa.int32()), ("slots", pa.list_(pa.string()))])
 
@@ -135,19 +163,7 @@ def _doc_windows(widths: list[int], known):
                 if doc is None:
                     continue
                 tokens, slots = template(text)
-                for w in widths:
-                    if len(tokens) < w:
-                        continue
-                    if words is None:
-                        rows += [(doc, i, h, w, _values(slots, i, w)) for i, h in enumerate(window_hashes(tokens, w))]
-                        continue
-                    miss = np.concatenate(([0], np.cumsum(np.array([t not in words for t in tokens]))))
-                    at = np.flatnonzero(miss[w:] == miss[:-w]).tolist()
-                    own = hashes[w]
-                    for i in at:
-                        h = window_hashes(tokens[i : i + w], w)[0]
-                        if h in own:
-                            rows.append((doc, i, h, w, _values(slots, i, w)))
+                rows += [(doc, i, h, w, _values(slots, i, w)) for w, i, h in window_keys(tokens, slots, widths, literals, words) if hashes is None or h in hashes[w]]
                 if len(rows) > 20000:
                     yield pack(rows)
                     rows = []
@@ -166,18 +182,28 @@ def _mapping(pairs, known=()) -> dict | None:
     return out
 
 
-def align(hits: list[tuple[int, int, list]], n_windows: int, width: int) -> tuple[int, int, int, int, int]:
-    """Of matched windows (position in document, in item, slot pairs): windows, slots and changed slots of the best chain, most tokens of a chain and of a run."""
+def align(hits: list[tuple], n_windows: int, width: int, n_open: int | None = None) -> tuple[float, int, int, int, int]:
+    """Of matched windows (position in document, in item, slot pairs, whether open): share, slots and changed slots of the best chain, most tokens of a chain and of a run.
+
+    The share is that of all ``n_windows``, or of the ``n_open`` that other values may fill if that is greater.
+    """
+    n_open = n_windows if n_open is None else n_open
     shifts: dict[int, dict[int, list]] = {}
-    for doc_pos, pos, pairs in hits:
+    is_open: dict[int, bool] = {}
+    for doc_pos, pos, pairs, *flag in hits:
         shifts.setdefault(doc_pos - pos, {})[pos] = pairs
+        is_open[pos] = flag != [False]
+
+    def share(n: int, opened: int) -> float:
+        return max(n / n_windows, opened / max(1, n_open))
+
     runs: list[tuple[int, int, list]] = []  # first window in document and item, pairs of each window
     chains: list[tuple] = []
     for shift, at in shifts.items():
         slots = _mapping(p for pairs in at.values() for p in pairs)
         if slots is None:
             continue
-        chains.append((len(at), slots))
+        chains.append((share(len(at), sum(is_open[pos] for pos in at)), slots))
         for pos in sorted(at):
             if pos - 1 in at:
                 runs[-1][2].append(at[pos])
@@ -185,9 +211,10 @@ def align(hits: list[tuple[int, int, list]], n_windows: int, width: int) -> tupl
                 runs.append((shift + pos, pos, [at[pos]]))
     runs.sort(key=lambda r: r[:2])
     reach = n_windows + width - 1
-    ends: list[tuple[int, dict, int]] = []  # the best chain that ends with each run: windows, slots, tokens
+    ends: list[tuple[tuple[int, int], dict, int]] = []  # the best chain that ends with each run: windows and open ones, slots, tokens
     for j, (doc, pos, windows) in enumerate(runs):
-        best = (len(windows), _mapping(p for pairs in windows for p in pairs), len(windows) + width - 1)
+        opened = [is_open[p] for p in range(pos, pos + len(windows))]
+        best = ((len(windows), sum(opened)), _mapping(p for pairs in windows for p in pairs), len(windows) + width - 1)
         for i in range(j - 1, -1, -1):
             before_doc, before_pos, before = runs[i]
             if doc - before_doc > reach + n_windows:
@@ -195,16 +222,18 @@ def align(hits: list[tuple[int, int, list]], n_windows: int, width: int) -> tupl
             if doc - before_doc - len(before) > reach:
                 continue
             skip = max(0, before_doc + len(before) - doc, before_pos + len(before) - pos)
-            if len(windows) - skip + ends[i][0] <= best[0] or skip >= len(windows):
+            both = (ends[i][0][0] + len(windows) - skip, ends[i][0][1] + sum(opened[skip:]))
+            if skip >= len(windows) or share(*both) <= share(*best[0]):
                 continue
             slots = _mapping((p for pairs in windows[skip:] for p in pairs), ends[i][1])
             if slots is not None:
                 twice = max(0, max(before_doc - doc, before_pos - pos) + len(before) + width - 1 - skip)
-                best = (ends[i][0] + len(windows) - skip, slots, ends[i][2] + max(0, len(windows) - skip + width - 1 - twice))
+                best = (both, slots, ends[i][2] + max(0, len(windows) - skip + width - 1 - twice))
         ends.append(best)
     if not runs:
         return 0, 0, 0, 0, 0
-    most, fewest, n_slots = max((n, -sum(a != b for a, b in slots.items()), len(slots)) for n, slots, *_ in chains + ends)
+    chains += [(share(*n), slots) for n, slots, _ in ends]
+    most, fewest, n_slots = max((part, -sum(a != b for a, b in slots.items()), len(slots)) for part, slots in chains)
     return most, n_slots, -fewest, max(e[2] for e in ends), max(len(r[2]) for r in runs) + width - 1
 
 
@@ -215,10 +244,10 @@ def _judge(coverage: float, passage: int):
         for b in batches(items):
             rows = []
             for r in b.to_pylist():
-                n, slots, changed, tokens, longest = align([(x["doc_pos"], x["pos"], [(p["a"], p["b"]) for p in x["pairs"]]) for x in r["hits"]], r["n_windows"], r["width"])
+                part, slots, changed, tokens, longest = align([(x["doc_pos"], x["pos"], [(p["a"], p["b"]) for p in x["pairs"]], x["open"]) for x in r["hits"]], r["n_windows"], r["width"], r["n_open"])
                 length = r["n_windows"] + r["width"] - 1
-                if n and (n / r["n_windows"] >= coverage or longest >= passage or (tokens >= passage and tokens / length >= coverage)):
-                    rows.append((r["doc_id"], r["item_id"], n / r["n_windows"], slots, changed))
+                if part and (part >= coverage or longest >= passage or (tokens >= passage and tokens / length >= coverage)):
+                    rows.append((r["doc_id"], r["item_id"], part, slots, changed))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
     return run
@@ -229,7 +258,7 @@ def _vocabulary():
 
     def run(items):
         for b in batches(items):
-            words = {t for text in as_bytes(b.column(0)) for t in template(text)[0]}
+            words = {t for text in as_bytes(b.column(0)) for seq in zip(*template(text), strict=True) for t in (seq[0], (seq[1] or b"").lower()) if t}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(words), pa.binary())], schema=schema)
 
     return run
@@ -238,8 +267,10 @@ def _vocabulary():
 def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, literals: int = 4, coverage: float = 0.5, filter_bound: int = 2_000_000, passage: int = 13) -> DataFrame:
     """Rows (doc_id, item_id, coverage, n_slots, n_changed) of documents that hold a benchmark item.
 
-    ``coverage`` is the share of the item's windows in the best chain. It must reach the parameter, unless ``passage``
-    tokens in a row match, or as many in the chain that are this share of the item's; ``literals`` tokens of a window at least must not be slots; ``n_changed`` counts slot values that differ.
+    ``coverage`` is the share of the item's windows in the best chain, or that of its open windows if it is greater: those
+    in which ``literals`` tokens at least are not slots, so that other values may fill them. It must reach the parameter,
+    unless ``passage`` tokens in a row match, or as many in the chain that are this share of the item's. ``n_changed`` counts
+    slot values that differ.
     """
     spark = docs.sparkSession
     bench = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
@@ -253,12 +284,12 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, literals: in
             by_width[r.width].add(r.h)
         known = spark.sparkContext.broadcast((words, by_width))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = texts.mapInArrow(_doc_windows(widths, known), HIT).dropDuplicates(["doc_id", "pos", "width", "h"])
+    found = texts.mapInArrow(_doc_windows(widths, literals, known), HIT).dropDuplicates(["doc_id", "pos", "width", "h"])
     found = found.withColumnRenamed("slots", "doc_slots").withColumnRenamed("pos", "doc_pos")
     met = found.join(windows, ["h", "width"])
     pairs = F.filter(F.arrays_zip(F.col("slots").alias("a"), F.col("doc_slots").alias("b")), lambda x: x["a"].isNotNull() & x["b"].isNotNull())
-    placed = met.select("doc_id", "item_id", "n_windows", "width", F.struct("doc_pos", "pos", pairs.alias("pairs")).alias("hit"))
-    at = placed.groupBy("doc_id", "item_id", "n_windows", "width").agg(F.collect_set("hit").alias("hits"))
+    placed = met.select("doc_id", "item_id", "n_windows", "n_open", "width", F.struct("doc_pos", "pos", pairs.alias("pairs"), "open").alias("hit"))
+    at = placed.groupBy("doc_id", "item_id", "n_windows", "n_open", "width").agg(F.collect_set("hit").alias("hits"))
     best = F.struct("coverage", (-F.col("n_changed")).alias("same"), "n_slots", "n_changed")
     return at.mapInArrow(_judge(coverage, passage), FOUND).groupBy("doc_id", "item_id").agg(F.max(best).alias("best")).select("doc_id", "item_id", "best.coverage", "best.n_slots", "best.n_changed")
 

@@ -92,3 +92,23 @@ def test_partial_edited_and_coinciding_copies(spark):
     assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 3)}
     assert (got[0, 0].coverage, got[1, 1].coverage, got[3, 3].coverage) == (17 / 53, 16 / 23, 4 / 13)
     assert (got[2, 2].n_slots, got[2, 2].n_changed) == (2, 2)
+
+
+@pytest.mark.parametrize("bound", [2_000_000, 0])
+def test_verbatim_copies_of_slot_rich_items(spark, bound):
+    mixed = "count 1 2 3 4 5 6 7 8 9 and then every child of the village sings one more song at dusk"
+    items = [(0, "What comes next: 2, 4, 8, 16, 32, 64"), (1, "born 1879 Ulm"), (2, mixed), (3, "Short item of words")]
+    pad = "lorem ipsum dolor sit amet elit sed do"
+    texts = [
+        f"{pad}. {items[0][1]}? {pad}",
+        f"{pad} {items[0][1]} {pad}",  # inside a sentence
+        f"{pad}. What comes next: 3, 9, 27, 81, 243, 729? {pad}",  # other values of a window that is all but slots
+        f"{pad} born 1879 Ulm {pad}",
+        f"{pad} born 1880 Ulm {pad}",
+        f"{pad} {mixed.replace('9', '14').replace('1 ', '6 ')} {pad}",  # found by the windows that other values may fill
+        f"{pad} Short item of words {pad}",  # the first word looks like a name
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA)
+    got = {(r.doc_id, r.item_id): r for r in contaminated(docs, spark.createDataFrame(items, ITEM_SCHEMA), filter_bound=bound).collect()}
+    assert set(got) == {(0, 0), (1, 0), (3, 1), (5, 2), (6, 3)}
+    assert (got[0, 0].coverage, got[0, 0].n_changed) == (1, 0)
