@@ -2,7 +2,8 @@
 
 Four kinds of evidence give one posterior for each row: a hashed byte-trigram likelihood of the whole
 text, the language the markup declares, the suffix of the address, and a prior of the host. The text
-model is fitted on at most ``max_train`` labelled rows. Everything else is counted over all rows with
+model has a class for each label that any row with a trigram bears, and each class is fitted on at most ``max_train`` distinct
+rows of its own, so no language is lost because others are larger. Everything else is counted over all rows with
 grouped sums of the text posteriors: how often each language declares each code, which suffixes it
 uses, and the prior of the host, smoothed towards its domain, which is smoothed towards the whole.
 An extra class ``und`` has a uniform likelihood; rows it wins, rows whose best posterior is below
@@ -21,10 +22,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heatledger.llm.common import batches, bounded_sample, byte_slices, materialise
+from heatledger.llm.common import batches, byte_slices, materialise
 
 BUCKETS = 1 << 16
 FOLD = np.arange(256, dtype=np.uint32)
@@ -68,10 +69,25 @@ def _count():
     return run
 
 
+def training_rows(rows: DataFrame, per_label: int) -> DataFrame:
+    """At most ``per_label`` distinct rows (label, key, text) of each label of ``rows``, the same whatever the partitioning.
+
+    Rows are ranked by the hash of id and text. Counts over all rows say below which hash about twice as many rows lie as
+    are wanted, so that only those are ranked.
+    """
+    labelled = rows.filter("label IS NOT NULL AND octet_length(text) >= 3").select("label", F.xxhash64("id", "text").alias("key"), "text")
+    keys = labelled.select("label", "key").distinct()
+    counts = keys.groupBy("label").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("label", "of")
+    share = (F.col("key").cast("double") + 2.0**63) / 2.0**64
+    near = keys.join(F.broadcast(counts), F.col("label") == F.col("of")).filter((F.col("n") <= 2 * per_label + 1000) | (share * F.col("n") < 2 * per_label + 1000))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("key"))
+    chosen = near.select(F.col("label").alias("of"), F.col("key").alias("k"), rank.alias("rank")).filter(F.col("rank") <= per_label)
+    return labelled.join(F.broadcast(chosen), (F.col("label") == F.col("of")) & (F.col("key") == F.col("k")), "left_semi").dropDuplicates(["label", "key"])
+
+
 def fit(rows: DataFrame, max_train: int = 4000) -> tuple[list[str], np.ndarray]:
-    """Classes and log likelihoods [class, bucket] from at most ``max_train`` rows (id, text, label)."""
-    labelled = rows.filter("label IS NOT NULL")
-    picked = labelled.join(F.broadcast(bounded_sample(labelled, "id", max_train)), F.col("id") == F.col("_s_id"), "left_semi")
+    """Classes and log likelihoods [class, bucket] of rows (id, text, label): every label, from at most ``max_train`` distinct rows each."""
+    picked = training_rows(rows, max_train)
     counts = picked.select("label", "text").mapInArrow(_count(), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(set(counts["lang"]) - {"und"})
     table = np.full((len(langs) + 1, BUCKETS), -math.log(BUCKETS), np.float32)

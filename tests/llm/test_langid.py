@@ -71,3 +71,15 @@ def test_page_evidence(spark):
     a, b = langid.page_evidence(pages).orderBy("id").collect()
     assert (a.declared, a.suffix, a.host, a.domain, a.text.split()) == ("de", "de", "www.a.example.de", "example.de", ["der", "die", "das"])
     assert (b.declared, b.host, b.suffix) == (None, None, None)
+
+
+def test_rare_language_has_a_class(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(WORDS[lang]) for _ in range(30)), lang, "a.b", 0) for i in range(600) for lang in [("en", "de")[i % 2]]]
+    rows += [(700 + i, " ".join(rng.choice(WORDS["fr"]) for _ in range(30)), "fr", "a.b", 0) for i in range(3)]
+    rows += [(0, rows[0][1], "en", "a.b", 0)] * 50  # one row, many times
+    evidence = langid.document_evidence(spark.createDataFrame(rows, SCHEMA))
+    assert {r.label: r["count"] for r in langid.training_rows(evidence, 20).groupBy("label").count().collect()} == {"en": 20, "de": 20, "fr": 3}
+    assert langid.fit(evidence, max_train=20)[0] == ["de", "en", "fr", "und"]
+    got = {r.id: r for r in langid.fuse(evidence, max_train=20).collect()}
+    assert all(got[700 + i].lang == "fr" and got[700 + i].declared == "fr" and got[700 + i].kept for i in range(3))
