@@ -2,7 +2,8 @@
 
 A document longer than the capacity gives full pieces, each a bin of its own, and a rest; rests and short
 documents are packed. A bin never holds two pieces of one duplicate cluster, and no more than
-``per_source`` pieces of one source. Each bin carries a bitmap of the sources that are full in it and one of its
+``per_source`` pieces of one source. A cluster is a component of near duplicates by SimHash; texts that are the same but for
+case and white space conflict as well, whatever their component. Each bin carries a bitmap of the sources that are full in it and one of its
 clusters; open bins are kept ordered by residual, and for each piece, longest first, the search starts at the
 smallest residual that fits and goes to the next larger until a bin has neither bit set.
 
@@ -24,6 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heatledger.llm.common import materialise
+from heatledger.llm.simhash import near_duplicates
+
 PIECE = "doc_id long, piece long, bin_id long, slot int, start_token long, n_tokens long, source string, cluster long"
 SCHEMA = pa.schema(
     [("doc_id", pa.int64()), ("piece", pa.int64()), ("bin_id", pa.int64()), ("slot", pa.int32()), ("start_token", pa.int64()), ("n_tokens", pa.int64()), ("source", pa.string()), ("cluster", pa.int64())]
@@ -32,16 +36,18 @@ SCHEMA = pa.schema(
 STRIDE = 1 << 32
 
 
-def best_fit(lengths: list[int], sources: list[int], clusters: list[int], capacity: int, per_source: int) -> list[int]:
-    """Bin of each piece, in the order given; negative sources and clusters conflict with nothing."""
+def best_fit(lengths: list[int], sources: list[int], clusters: list[int], capacity: int, per_source: int, copies: list[int] | None = None) -> list[int]:
+    """Bin of each piece, in the order given; negative sources, clusters and copies conflict with nothing. ``copies`` are a second kind of cluster."""
+    copies = copies or [-1] * len(lengths)
+    above = max(clusters, default=-1) + 1  # bits of clusters
     order: list[tuple[int, int]] = []  # (residual, bin)
     full: list[int] = []  # bitmap of each bin's sources that take no more
     inside: list[int] = []  # bitmap of its clusters
     count: list[dict[int, int]] = []
     bins: list[int] = []
-    for n, s, c in zip(lengths, sources, clusters, strict=True):
+    for n, s, c, x in zip(lengths, sources, clusters, copies, strict=True):
         s_bit = 1 << s if s >= 0 else 0
-        c_bit = 1 << c if c >= 0 else 0
+        c_bit = (1 << c if c >= 0 else 0) | (1 << (above + x) if x >= 0 else 0)
         at = bisect_left(order, (n, -1))
         while at < len(order) and (full[order[at][1]] & s_bit or inside[order[at][1]] & c_bit):
             at += 1
@@ -75,9 +81,9 @@ def _ranks(values: list) -> list[int]:
 def _pack(capacity: int, per_source: int):
     def run(key, table):
         shard = key[0].as_py()
-        rows = sorted(table.select(["doc_id", "n", "source", "cluster"]).to_pylist(), key=lambda r: (-(r["n"] % capacity), r["doc_id"] is None, r["doc_id"] or 0, r["n"], r["cluster"] or 0))
+        rows = sorted(table.select(["doc_id", "n", "source", "cluster", "copy"]).to_pylist(), key=lambda r: (-(r["n"] % capacity), r["doc_id"] is None, r["doc_id"] or 0, r["n"], r["cluster"] or 0, r["copy"] or 0))
         rests = [r for r in rows if r["n"] % capacity]
-        bins = best_fit([r["n"] % capacity for r in rests], _ranks([r["source"] for r in rests]), _ranks([r["cluster"] for r in rests]), capacity, per_source)
+        bins = best_fit([r["n"] % capacity for r in rests], _ranks([r["source"] for r in rests]), _ranks([r["cluster"] for r in rests]), capacity, per_source, _ranks([r["copy"] for r in rests]))
         used: dict[int, int] = {}
         out = []
         for r, b in zip(rests, bins, strict=True):
@@ -106,19 +112,22 @@ def text_cluster(text: Column) -> Column:
 
 
 def pack(rows: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows: int = 2048) -> DataFrame:
-    """Pieces with their bins for ``rows`` (doc_id, source, cluster, n): columns of ``PIECE``."""
+    """Pieces with their bins for ``rows`` (doc_id, source, cluster, copy, n): columns of ``PIECE``."""
     shards = max(1, -(-rows.count() // shard_rows))
-    shard = F.pmod(F.xxhash64(F.coalesce("doc_id", "cluster", F.lit(0)), "n"), F.lit(shards)).cast("long")
+    shard = F.pmod(F.xxhash64(F.coalesce("doc_id", "copy", F.lit(0)), "n"), F.lit(shards)).cast("long")
     return rows.withColumn("shard", shard).groupBy("shard").applyInArrow(_pack(capacity, per_source), PIECE)
 
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows: int = 2048) -> DataFrame:
-    """``pack`` for documents: whole texts counted in words, clusters by text."""
-    from heatledger.llm.common import materialise
-
+    """``pack`` for documents: whole texts counted in words, clusters by SimHash (null for documents without near duplicates), copies by text."""
     text = F.col("text")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text_cluster(text).alias("cluster"), n_tokens(text).alias("n"))
-    return pack(materialise(rows, "lengths"), capacity, per_source, shard_rows)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text_cluster(text).alias("copy"), n_tokens(text).alias("n"))
+    marks = near_duplicates(docs.filter(text_cluster(text).isNotNull())).filter("d IS NOT NULL").groupBy("d").agg(F.min("component_id").alias("component"))
+    shared = marks.filter("component <> d")
+    shared = shared.unionByName(shared.select(F.col("component").alias("d"), "component")).groupBy("d").agg(F.min("component").alias("component"))
+    near = rows.join(shared, F.col("doc_id") == F.col("d"), "left")
+    near = near.select("doc_id", "source", F.when(F.col("copy").isNotNull(), F.col("component")).alias("cluster"), "copy", "n")
+    return pack(materialise(near, "lengths"), capacity, per_source, shard_rows)
 
 
 def op7_packing(spark, sf_dir: str) -> DataFrame:

@@ -67,3 +67,14 @@ def test_awkward_and_empty(spark):
     docs = awkward(spark).selectExpr("*", "1 AS bin_id", "2 AS N", "3 AS shard", "4 AS cluster")
     valid(packing.pack_documents(docs, 1000).collect(), docs.collect(), 1000, 4)
     assert packing.pack_documents(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_near_copies_never_share_a_bin(spark):
+    rng = random.Random(6)
+    words = [rng.choice("abcdefghijklmnopqrst") * 3 + str(rng.randrange(900)) for _ in range(300)]
+    near = [*words[:150], "changed", *words[151:]]
+    texts = [" ".join(words), " ".join(near), "some other text", "one more text here"]
+    docs = spark.createDataFrame([(i, t, "en", f"s{i}", 0) for i, t in enumerate(texts)], SCHEMA)
+    got = {p.doc_id: p for p in packing.pack_documents(docs, 2048).collect()}
+    assert got[0].bin_id != got[1].bin_id
+    assert [got[i].cluster for i in range(4)] == [0, 0, None, None]
