@@ -1,16 +1,17 @@
-"""Language-model scoring with a weighted backoff automaton over word bigrams.
+"""Language-model scoring with a weighted backoff automaton over word trigrams.
 
-States are the training words and the start of a text; each bigram seen in training is an arc, and each state has a
-failure arc to the unigram state. Smoothing is by a Dirichlet prior: the arc of word w from state u weighs
-(c(u, w) + K p(w)) / (c(u) + K), the failure arc K / (c(u) + K), and p(w) = (c(w) + 1) / (N + V + 1), so the weights
-of each state sum to one over the words and the unknown word. A text is traversed once from left to
-right, the state carried along and the log-probabilities accumulated.
+States are histories seen in training: pairs of words, single words (the start of a text is one of them) and the empty
+history. An n-gram seen in training is an arc from its history, with the smoothed log-probability as weight, to the longest
+history that ends with its word. Every other state has a failure arc to the history that is shorter by the oldest word, to be taken, without reading, where no
+arc reads the next word. Smoothing is by hierarchical Dirichlet priors: p(w) = (c(w) + 1) / (N + V + 1), the arc of w from history h weighs
+(c(h w) + K p(w | shorter h)) / (c(h) + K) and the failure arc K / (c(h) + K), so the weights of a state,
+followed to the end, sum to one over the words and the unknown word. A text is walked once from left to right, the state carried
+along, the weights of all arcs taken added up.
 
-The automaton grows with the corpus and is nowhere whole. Documents are dealt into blocks of about
-``block_bytes`` by a hash of the id. Each block counts its n-grams; the counts are shuffled by n-gram and
-summed; back to a block goes the total of each n-gram it has, but only where the total differs from the
-block's own count, which the block knows. Both ways the ascending keys travel packed as differences. Then each block has every arc its documents can take. An
-n-gram sends one row for each block that has it, so a very frequent word is at most a row a block.
+The automaton grows with the corpus and is nowhere whole. Each block of texts counts its n-grams and learns
+their totals over all blocks, as ``blocks`` describes; then it has every state and arc its texts can meet. A block walks all its texts side by
+side, word by word. Texts of more than ``piece_bytes`` are cut after words; a piece comes with the two words before it,
+which bring the walk to the state it had, and the sums of a text's pieces are added up at the end.
 
 Defined results: null text is empty and has the end token alone; a null id is never held out; rows that repeat
 an id are scored each and, when training, counted each; without training rows all counts are zero;
@@ -19,7 +20,9 @@ an empty table gives an empty result; only named columns are read.
 
 from __future__ import annotations
 
+import re
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +30,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heatledger.llm.common import as_bytes, materialise, release
+from heatledger.llm.blocks import SENT, SENT_DDL, answer, batch_of, bundle, messages, tallied, totals, unpack_table, with_answers
+from heatledger.llm.common import batches, discard, materialise
 
-#: Keys of the end of a text, which is also the state at its start.
+#: Key of the end of a text, which as a history is the start of one.
 END = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
-#: Counts of one block whose n-grams lie in one part of the key space, packed.
-COUNT = pa.schema([("unigram", pa.bool_()), ("part", pa.int32()), ("block", pa.int32()), ("data", pa.binary())])
-#: Totals for a block, packed; rows of block -1 carry the number of known unigrams and of training tokens instead.
-TOTAL = pa.schema([("block", pa.int32()), ("types", pa.int64()), ("tokens", pa.int64()), ("data", pa.binary())])
-SCORE = pa.schema(
-    [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("n_arcs", pa.int64())]
-)
+SPACE = re.compile(rb"[\x20\x09-\x0d]")
+#: A piece of a text: the row it belongs to, words in front that are context only, whether it starts where the text does but for these, whether it ends the text.
+PIECE = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("skip", pa.int32()), ("start", pa.bool_()), ("last", pa.bool_()), ("text", pa.binary())])
+SUMS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("n_failures", pa.int64())])
+SUMS_DDL = "row long, doc_id long, n_tokens long, n_known long, base_score double, score double, n_failures long"
 
 
 class WordKeys(dict):
@@ -59,179 +61,207 @@ def held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
 
 
-def tokenise(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the tokens of all texts, each with its end token, and the offsets of the texts."""
-    keys = WordKeys()
-    parts, offsets = [], [0]
-    for text in texts:
-        words = text.lower().split()
-        own = np.empty(len(words) + 1, np.uint64)
-        own[:-1] = np.fromiter(map(keys.__getitem__, words), np.uint64, len(words))
-        own[-1] = END
-        parts.append(own)
-        offsets.append(offsets[-1] + len(own))
-    return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), np.array(offsets)
+def cut_pieces(piece_bytes: int):
+    """Pieces of a text (doc_id, text), as rows of ``PIECE``."""
+
+    def cut(row, fields):
+        doc_id, text = fields
+        at, context, start = 0, [], True
+        while True:
+            found = SPACE.search(text, at + piece_bytes)
+            to = found.start() if found else len(text)
+            own = text[at:to]
+            yield row, doc_id, len(context), start, to == len(text), b" ".join([*context, own])
+            if to == len(text):
+                return
+            words = [*context, *own.split()]
+            start = start and len(words) < 2
+            at, context = to, words[-2:]
+
+    return cut
+
+
+class Lanes(NamedTuple):
+    """Tokens of a block's pieces, a piece after the other, with the places of their n-grams among the distinct ones.
+
+    ``distinct`` holds for each order the distinct keys and their counts in the block's own training texts, ``places`` for each
+    token its n-gram of each order, -1 where the piece does not show its history.
+    """
+
+    offsets: np.ndarray
+    skip: np.ndarray
+    start: np.ndarray
+    distinct: list[tuple[np.ndarray, np.ndarray]]
+    places: list[np.ndarray]
 
 
-def bigrams(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Keys of the bigrams that the state before each token and the token make."""
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[offsets[:-1]] = END
-    pair = (before ^ (tokens >> np.uint64(29))) * MIX + tokens
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    pair = (a ^ (b >> np.uint64(29))) * MIX + b
     pair ^= pair >> np.uint64(32)
     return pair * MIX
 
 
-def tallied(keys: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys in order, how often each occurs where ``learn`` holds, the order that sorts the keys, and the distinct key of each in that order."""
-    order = np.argsort(keys)
-    ordered = keys[order]
-    new = np.concatenate(([True], ordered[1:] != ordered[:-1]))[: len(keys)]
-    first = np.flatnonzero(new)
-    counts = np.add.reduceat(learn[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
-    return ordered[first], counts, order, np.cumsum(new) - 1
-
-
-def looked_up(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Count of each wanted key, 0 where it is missing."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, counts[at], 0)
-
-
-def _block_counts(table):
-    """Distinct unigrams and bigrams of a block's texts and their counts in its training texts (0 for the rest)."""
-    out = []
-    train = np.array([not held_out(d) for d in table.column("doc_id").to_pylist()], bool)
-    tokens, offsets = tokenise(as_bytes(table.column("text").combine_chunks()))
-    learn = np.repeat(train, np.diff(offsets))
-    for unigram, keys in ((True, tokens), (False, bigrams(tokens, offsets))):
-        out.append((*tallied(keys, learn)[:2], unigram))
-    return out
-
-
-def packed(keys: np.ndarray, values: np.ndarray) -> bytes:
-    """Ascending keys and their counts in few bytes: differences in as many bytes as the largest needs, counts in one with exceptions."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    width = max(1, -(-int(steps[1:].max() if len(steps) > 1 else 0).bit_length() // 8))
-    odd = np.flatnonzero(values > 255)
-    parts = [np.array([len(keys), len(odd), width], np.int64), keys[:1], steps[1:].view(np.uint8).reshape(-1, 8)[:, :width], np.minimum(values, 255).astype(np.uint8), odd.astype(np.int64), values[odd].astype(np.int64)]
-    return b"".join(x.tobytes() for x in parts)
-
-
-def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of ``packed``."""
-    n, n_odd, width = np.frombuffer(data, np.int64, 3).tolist()
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    steps = np.zeros((n, 8), np.uint8)
-    steps[1:, :width] = np.frombuffer(data, np.uint8, (n - 1) * width, 32).reshape(-1, width)
-    flat = steps.reshape(-1).view(np.uint64)
-    flat[0] = np.frombuffer(data, np.uint64, 1, 24)[0]
-    at = 32 + (n - 1) * width
-    values = np.frombuffer(data, np.uint8, n, at).astype(np.int64)
-    values[np.frombuffer(data, np.int64, n_odd, at + n)] = np.frombuffer(data, np.int64, n_odd, at + n + 8 * n_odd)
-    return np.cumsum(flat), values
+def lanes_of(pieces: pa.Table) -> Lanes:
+    keys = WordKeys()
+    parts, offsets = [], [0]
+    for text, last in zip(pieces.column("text").to_pylist(), pieces.column("last").to_pylist(), strict=True):
+        words = text.lower().split()
+        own = np.empty(len(words) + last, np.uint64)
+        own[: len(words)] = np.fromiter(map(keys.__getitem__, words), np.uint64, len(words))
+        own[len(words) :] = END
+        parts.append(own)
+        offsets.append(offsets[-1] + len(own))
+    tokens, offsets = np.concatenate(parts), np.array(offsets)
+    n = np.diff(offsets)
+    skip = pieces.column("skip").to_numpy().astype(np.int64)
+    start = pieces.column("start").to_numpy(zero_copy_only=False)
+    train = np.array([not held_out(d) for d in pieces.column("doc_id").to_pylist()], bool)
+    within = np.arange(len(tokens)) - np.repeat(offsets[:-1], n)
+    learn = np.repeat(train, n) & (within >= np.repeat(skip, n))
+    before = np.concatenate((tokens[-1:], tokens[:-1]))
+    before[within == 0] = END  # the start of a text; of other pieces this place is left out
+    bigrams = mixed(before, tokens)
+    trigrams = mixed(np.concatenate((bigrams[-1:], bigrams[:-1])), tokens)
+    distinct, places = [], []
+    for order, grams in enumerate((tokens, bigrams, trigrams)):
+        # with the start in view one word less is needed; the start itself has no history
+        shown = within >= np.where(np.repeat(start, n), max(0, order - 1), order)
+        at = np.flatnonzero(shown)
+        # the end is among a block's words even if no piece shows it, as its count is that of the start as a history
+        extra = [END] if order == 0 else []
+        key, count, place = tallied(np.append(grams[at], np.array(extra, np.uint64)), np.append(learn[at], np.zeros(len(extra), bool)))
+        own = np.full(len(tokens), -1, np.int32)
+        own[at] = place[: len(at)]
+        distinct.append((key, count))
+        places.append(own)
+    return Lanes(offsets, skip, start, distinct, places)
+
+
+class Automaton(NamedTuple):
+    """States and arcs a block can meet: state 0 is the empty history, then come words, then pairs.
+
+    ``arcs`` holds for each order the log10 weight of each n-gram, NaN where training lacks it and so no arc is;
+    ``fail`` the weight of each state's failure arc; ``known`` whether a state exists.
+    """
+
+    arcs: list[np.ndarray]
+    fail: np.ndarray
+    known: np.ndarray
+    n_words: int
+
+
+def automaton(lanes: Lanes, counts: list[np.ndarray], n_train: int, n_types: int, prior: float) -> Automaton:
+    """The automaton of the totals ``counts`` of each order's distinct n-grams."""
+    words, pairs, triples = counts
+    p1 = (words + 1.0) / (n_train + n_types + 1.0)
+    last = [np.zeros(len(c), np.int32) for c in counts]  # for each n-gram that of the next order down it ends with
+    history = [np.zeros(len(c), np.int32) for c in counts]  # and the one it begins with
+    u, b, t = lanes.places
+    end = np.searchsorted(lanes.distinct[0][0], END)
+    has = np.flatnonzero(b >= 0)
+    last[1][b[has]] = u[has]
+    before = np.where(has > 0, u[has - 1], 0)
+    before[np.isin(has, lanes.offsets[:-1])] = end
+    history[1][b[has]] = before
+    has = np.flatnonzero(t >= 0)
+    last[2][t[has]], history[2][t[has]] = b[has], b[has - 1]
+    p2 = (pairs + prior * p1[last[1]]) / (words[history[1]] + prior)
+    p3 = (triples + prior * p2[last[2]]) / (pairs[history[2]] + prior)
+    arcs = [np.log10(p1), np.where(pairs > 0, np.log10(p2), np.nan), np.where(triples > 0, np.log10(p3), np.nan)]
+    seen = np.concatenate(([0], words, pairs))
+    return Automaton(arcs, np.log10(prior / (seen + prior)), np.concatenate(([True], words > 0, pairs > 0)), len(words))
+
+
+def walk(lanes: Lanes, machine: Automaton) -> tuple[np.ndarray, np.ndarray]:
+    """Score of each piece and the failure arcs it took: one step a word for all pieces that still have one."""
+    u, b, t = lanes.places
+    n = np.diff(lanes.offsets)
+    longest_first = np.argsort(-n, kind="stable")
+    length, first, skip = n[longest_first], lanes.offsets[:-1][longest_first], lanes.skip[longest_first]
+    state = np.where(lanes.start[longest_first], 1 + np.searchsorted(lanes.distinct[0][0], END), 0)
+    state = np.where(machine.known[state], state, 0)
+    score, failures = np.zeros(len(n)), np.zeros(len(n), np.int64)
+    n_words = machine.n_words
+    for j in range(int(length[0]) if len(length) else 0):
+        m = int(np.searchsorted(-length, -j))
+        at, here = first[:m] + j, state[:m]
+        weight = np.zeros(m)
+        read = np.zeros(m, bool)
+        for order in (2, 1, 0):
+            low, high = ((0, 1), (1, n_words + 1), (n_words + 1, len(machine.fail)))[order]
+            lane = np.flatnonzero(~read & (here >= low) & (here < high))
+            if not len(lane):
+                continue
+            place = at[lane]
+            arc = machine.arcs[order][(u, b, t)[order][place]]
+            found = ~np.isnan(arc)
+            go, stay = lane[found], lane[~found]
+            weight[go] += arc[found]
+            read[go] = True
+            # to the longest history that ends with this word: a pair where the arc came from a word or a pair
+            here[go] = 1 + u[place[found]] if order == 0 else 1 + n_words + b[place[found]]
+            weight[stay] += machine.fail[here[stay]]
+            failures[stay] += j >= skip[stay]
+            here[stay] = 1 + u[place[~found] - 1] if order == 2 else 0
+        here[~machine.known[here]] = 0
+        score[:m] += np.where(j >= skip[:m], weight, 0)
+    out = np.empty_like(score)
+    out[longest_first] = score
+    failed = np.empty_like(failures)
+    failed[longest_first] = failures
+    return out, failed
 
 
 def _count(parts: int):
-    """Packed counts of a block, cut at equal parts of the key space."""
-    edges = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
+    """Messages about the n-grams of blocks (block, data)."""
 
-    def run(key, table):
-        block = key[0].as_py()
-        rows = []
-        for keys, n, unigram in _block_counts(table):
-            cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-            rows += [(unigram, k, block, packed(keys[a:b], n[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
-        return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(COUNT)], schema=COUNT)
+    def run(items):
+        for batch in batches(items):
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for order, (keys, counts) in enumerate(lanes_of(unpack_table(data.as_py())).distinct):
+                    rows = messages(order, block, keys, counts, parts)
+                    if rows:
+                        yield batch_of(rows, SENT)
 
     return run
 
 
-def _totals(key, table):
-    """Totals of a part's n-grams, for each block those whose total differs from its own count."""
-    blocks = table.column("block").to_pylist()
-    each = [unpacked(x) for x in table.column("data").to_pylist()]
-    keys = np.concatenate([k for k, _ in each])
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
-    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    total = np.add.reduceat(np.concatenate([n for _, n in each])[order], first)
-    known = ordered[first]
-    rows = []
-    for block, (k, n) in zip(blocks, each, strict=True):
-        t = total[np.searchsorted(known, k)]
-        tell = t != n
-        if tell.any():
-            rows.append((block, None, None, packed(k[tell], t[tell])))
-    if key[0].as_py():
-        rows.append((-1, int((total > 0).sum()), int(total.sum()), None))
-    return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(TOTAL)], schema=TOTAL)
-
-
-def _traverse(n_train: int, n_types: int, prior: float):
-    def run(key, docs, arcs):
-        if not docs.num_rows:
-            return SCORE.empty_table()
-        ids = docs.column("doc_id").to_pylist()
-        out = [held_out(d) for d in ids]
-        tokens, offsets = tokenise(as_bytes(docs.column("text").combine_chunks()))
-        pairs = bigrams(tokens, offsets)
-        learn = np.repeat(~np.array(out), np.diff(offsets))
-        each = [unpacked(x) for x in arcs.column("data").to_pylist()]
-        told = np.concatenate([k for k, _ in each] or [np.zeros(0, np.uint64)])
-        total = np.concatenate([n for _, n in each] or [np.zeros(0, np.int64)])
-        order = np.argsort(told, kind="stable")
-        told, total = told[order], total[order]
-
-        def count(keys: np.ndarray) -> np.ndarray:
-            known, own, order, which = tallied(keys, learn)
-            other = looked_up(told, total, known)
-            out = np.empty(len(keys), np.int64)
-            out[order] = np.where(other > 0, other, own)[which]
-            return out
-
-        c_word, c_pair = count(tokens), count(pairs)
-        c_state = np.empty_like(c_word)  # the state before a token is the token before, at a start the end token
-        c_state[1:] = c_word[:-1]
-        c_state[offsets[:-1]] = c_word[offsets[1] - 1]
-        p = (c_word + 1.0) / (n_train + n_types + 1.0)
-        fail = prior / (c_state + prior)
-        weight = np.where(c_pair > 0, (c_pair + prior * p) / (c_state + prior), fail * p)
-        start = offsets[:-1]
-        sums = [np.add.reduceat(x, start) for x in ((c_word > 0).astype(np.int64), np.log10(p), np.log10(weight), (c_pair > 0).astype(np.int64))]
-        n = len(ids)
-        cols = [ids, out, np.diff(offsets), sums[0], np.full(n, n_train), sums[1], sums[2], sums[3]]
-        return pa.table([pa.array(c, f.type) for c, f in zip(cols, SCORE, strict=True)], schema=SCORE)
+def _score(n_train: int, n_types: int, prior: float):
+    """Sums of each piece of blocks (block, data, told)."""
+
+    def run(items):
+        for batch in batches(items):
+            for i in range(batch.num_rows):
+                pieces = unpack_table(batch.column(1)[i].as_py())
+                told = batch.column(2)[i].as_py()
+                lanes = lanes_of(pieces)
+                counts = [answer(told, order) for order in range(3)]
+                score, failures = walk(lanes, automaton(lanes, counts, n_train, n_types, prior))
+                n = np.diff(lanes.offsets)
+                own = np.arange(len(lanes.places[0])) - np.repeat(lanes.offsets[:-1], n) >= np.repeat(lanes.skip, n)
+                count = counts[0][lanes.places[0]]
+                sums = [np.concatenate(([0], np.cumsum(np.where(own, x, 0)))) for x in (own, count > 0, np.log10((count + 1.0) / (n_train + n_types + 1.0)))]
+                each = [s[lanes.offsets[1:]] - s[lanes.offsets[:-1]] for s in sums]
+                columns = [pieces.column("row"), pieces.column("doc_id"), *each, score, failures]
+                yield pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else pa.array(c, f.type) for c, f in zip(columns, SUMS, strict=True)], schema=SUMS)
 
     return run
 
 
-def _all_totals(dealt: DataFrame, parts: int) -> DataFrame:
-    """Packed totals of the blocks' n-grams."""
-    counts = dealt.groupBy("block").applyInArrow(_count(parts), "unigram boolean, part int, block int, data binary")
-    return counts.groupBy("unigram", "part").applyInArrow(_totals, "block int, types long, tokens long, data binary")
-
-
-def score_documents(docs: DataFrame, prior: float = 4.0, block_bytes: int = 16 << 20, max_parts: int = 1 << 16) -> DataFrame:
-    """A row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_arcs.
-
-    The key space is cut into four parts a block, ``max_parts`` at most, so that a part's task holds about a quarter block's n-grams.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def score_documents(docs: DataFrame, prior: float = 4.0, block_bytes: int = 16 << 20, piece_bytes: int = 1 << 16) -> DataFrame:
+    """A row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_failures."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8").alias("text"))
+    blocks = materialise(bundle(rows, cut_pieces(piece_bytes), PIECE, block_bytes), "ngram-blocks")
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-    blocks = int(size // block_bytes) + 1
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
-    totals = materialise(_all_totals(dealt, min(4 * blocks, max_parts)), "ngram-totals")
-    release(spark)  # the counts' shuffles are not needed beside those to come
-    whole = totals.filter("block < 0").agg(F.sum("types").alias("types"), F.sum("tokens").alias("tokens")).first()
-    arcs = totals.filter("block >= 0").select("block", "data")
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_arcs long"
-    return dealt.groupBy("block").cogroup(arcs.groupBy("block")).applyInArrow(_traverse(whole.tokens or 0, whole.types or 0, prior), schema)
+    parts = 4 * (int(size // block_bytes) + 1)
+    told = materialise(totals(blocks.mapInArrow(_count(parts), SENT_DDL)), "ngram-totals")
+    whole = told.filter("block < 0 AND kind = 0").agg(F.sum("types").alias("types"), F.sum("tokens").alias("tokens")).first()
+    n_train, n_types = whole.tokens or 0, whole.types or 0
+    sums = materialise(with_answers(blocks, told).mapInArrow(_score(n_train, n_types, prior), SUMS_DDL), "ngram-sums")
+    discard(blocks, told)
+    out = sums.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score", "n_failures")])
+    held = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 == 2, F.lit(False))
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score", "n_failures")
 
 
 def op5_lm_scoring(spark, sf_dir: str) -> DataFrame:
