@@ -1,89 +1,81 @@
-"""A content-defined cover of byte strings: sampled positions that equal windows share."""
+"""Difference covers of byte positions, and names of byte strings."""
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+
 import numpy as np
 
-#: Odd multipliers of the two rolling hashes and their inverses modulo 2**64.
-BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
-INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
+#: Perfect difference sets: every residue of the period is a difference of two members.
+COVERS = {
+    3: (0, 1),
+    7: (0, 1, 3),
+    13: (0, 1, 3, 9),
+    21: (0, 1, 4, 14, 16),
+    31: (0, 1, 3, 8, 12, 18),
+    57: (0, 1, 3, 13, 32, 36, 43, 52),
+    73: (0, 1, 3, 7, 15, 31, 36, 54, 63),
+    91: (0, 1, 3, 9, 27, 49, 56, 61, 77, 81),
+}
+#: Names are values of polynomials in these two numbers modulo a Mersenne prime.
+PRIME = (1 << 31) - 1
+BASES = (1_236_890_717, 764_913_419)
 _powers: dict[tuple[int, int], np.ndarray] = {}
 
 
+def period_for(length: int) -> int:
+    """Largest period whose samples have at least three names within every window of ``length`` that holds them first; 3 at least."""
+    return max([v for v in COVERS if 4 * v - 1 <= length], default=3)
+
+
+def folded(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime, for x below 2**62."""
+    p, bits = np.uint64(PRIME), np.uint64(31)
+    x = (x & p) + (x >> bits)
+    x = (x & p) + (x >> bits)
+    return np.where(x >= p, x - p, x)
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2**64; kept for the next call up to a few million."""
+    """base ** 0 .. base ** (n - 1) modulo the prime; kept for the next call."""
     size = 1 << max(16, (n - 1).bit_length())
     out = _powers.get((base, size))
     if out is None:
         out = np.ones(1, np.uint64)
-        with np.errstate(over="ignore"):
-            while len(out) < size:
-                out = np.concatenate((out, out * np.uint64(pow(base, len(out), 1 << 64))))
-        if size <= 1 << 23:
+        while len(out) < size:
+            out = np.concatenate((out, folded(out * np.uint64(pow(base, len(out), PRIME)))))
+        if size <= 1 << 22:
             _powers[base, size] = out
     return out[:n]
 
 
-def scramble(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64 bits whose high bits depend on all bits."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+class Namer:
+    """Names of 62 bits of any substrings of some bytes, in constant time each. Equal bytes have equal names; the reverse is very likely only."""
 
+    def __init__(self, data: np.ndarray):
+        self.sums = []
+        for base in BASES:
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(folded((data.astype(np.uint64) + np.uint64(1)) * powers(base, len(data))), out=sums[1:])
+            self.sums.append(sums)
 
-class Hasher:
-    """Hashes of any substrings of some bytes in constant time each."""
+    def at(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Name of data[start:end] for each pair."""
+        high, low = (folded(folded(s[ends] - s[starts]) * powers(pow(b, -1, PRIME), len(s))[starts]) for b, s in zip(BASES, self.sums, strict=True))
+        return (high << np.uint64(31)) | low
 
-    def __init__(self, data: np.ndarray, which: int = 0):
-        self.which = which
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASES[which], len(data)), out=self.sums[1:])
 
-    def at(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hash of data[start:end] for each pair."""
-        return scramble((self.sums[ends] - self.sums[starts]) * powers(INVERSES[self.which], len(self.sums))[starts])
-
-    def every(self, width: int) -> np.ndarray:
-        """Hash of each substring of ``width`` bytes."""
-        n = len(self.sums) - width
-        return scramble((self.sums[width:] - self.sums[:n]) * powers(INVERSES[self.which], n))
-
-
-def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of each run of ``width`` values."""
-    n = len(x) - width + 1
-    if n <= 0:
-        return x[:0]
-    rows = -(-len(x) // width)
-    padded = np.full(rows * width, np.iinfo(x.dtype).max, x.dtype)
-    padded[: len(x)] = x
-    grid = padded.reshape(rows, width)
-    ahead = np.minimum.accumulate(grid, axis=1).ravel()
-    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
-
-
-def anchors(data: np.ndarray, offsets: np.ndarray, window: int, gram: int):
-    """(text, anchor, first, last): for each anchor its text and the windows it stands for, positions in ``data``.
-
-    A window of ``window`` bytes that lies within a text is stood for by the position of its smallest hash of ``gram``
-    bytes, the first of equals; so equal windows have their anchors at the same offset.
-    """
-    empty = np.zeros(0, np.int64)
-    n = len(data) - window + 1
-    if n <= 0:
-        return empty, empty, empty, empty
-    hashes = Hasher(data).every(gram)
-    bits = np.uint64(max(1, len(hashes) - 1).bit_length())
-    mask = (np.uint64(1) << bits) - np.uint64(1)
-    ranked = (hashes & ~mask) | np.arange(len(hashes), dtype=np.uint64)
-    at = (sliding_minimum(ranked, window - gram + 1) & mask).astype(np.int64)
-    starts = np.arange(n)
-    text = np.searchsorted(offsets, starts, side="right") - 1
-    whole = starts + window <= offsets[text + 1]
-    starts, text, at = starts[whole], text[whole], at[whole]
-    if not len(starts):
-        return empty, empty, empty, empty
-    new = np.concatenate(([True], (at[1:] != at[:-1]) | (text[1:] != text[:-1])))
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(starts)) - 1
-    return text[first], at[first], starts[first], starts[last]
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64 bits whose high bits depend on all bits."""
+    m, h = np.uint64(0xD6E8FEB86659FD93), np.uint64(32)
+    x = (x ^ (x >> h)) * m
+    return (x ^ (x >> h)) * m
+
+
+def digests(data: np.ndarray, starts: Sequence[int], ends: Sequence[int], salts: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The two halves of a cryptographic digest of 128 bits of data[start:end] and a salt; equal ones stand for equal bytes."""
+    view = memoryview(np.ascontiguousarray(data))
+    both = b"".join(hashlib.blake2b(view[a:b], digest_size=16, salt=s.to_bytes(8, "little")).digest() for a, b, s in zip(starts, ends, salts, strict=True))
+    halves = np.frombuffer(both, np.int64).reshape(-1, 2)
+    return halves[:, 0], halves[:, 1]

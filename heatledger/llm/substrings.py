@@ -1,174 +1,305 @@
-"""Exact removal of long repeated byte strings, by named samples of a cover.
+"""Exact removal of long repeated byte strings by a distributed difference-cover algorithm.
 
-The scheme is that of difference-cover suffix sorting, cut off at the depth that is asked for. A cover samples
-positions so that any two equal windows of ``length`` bytes have a sample at the same offset; here the
-sample of a window is the place of its smallest hash of ``GRAM`` bytes. Each sample stands for the run of windows that chose it. Samples
-are named, first by the bytes at the sample, then together with all bytes that their windows cover:
+Positions whose residue modulo the period v is in a difference cover are the samples: any two windows of ``length``
+bytes have samples at one same offset below v. Suffixes need to be told apart to that length only, so
 
-* a sample whose first name is unique has no repeated window;
-* samples that share the full name have all their windows repeated;
-* the others go on to the next level, where a run of windows is cut into shorter ones, named by the bytes that all
-  its windows share and by those that any covers, down to single windows, whose two names are one.
+1. the samples are sorted by their first v bytes, and equal neighbours get one name;
+2. recursion on names: samples are sorted by triples of names, those at the sample, v and 2 v bytes on, which makes names of 3 v bytes, and so forth
+   while the name lies in every window that begins less than v bytes before the sample;
+3. the remaining suffixes, those of the up to v windows that begin before a sample and hold it first, are merged in by
+   the name of the sample and the bytes around it;
+4. neighbours in this order are compared to the full length: a window is repeated if a neighbour has the same bytes.
 
-Equal names meet by grouping on 128-bit hashes, which takes the place of sorting the names, and only one member of
-each full name goes on, so a passage held by many documents is named again once. What remains is compared at
-its full length, so a byte goes exactly if a repeated window covers it. Only ids, offsets and hashes are
-shuffled, but for the bytes around the few samples that go on and the texts that are joined with their spans.
+Only equality of neighbours matters, not which of two suffixes is first, so the order is that of hash values: a name is a
+hash of the bytes, and sorting brings equal ones together as the order of the bytes would. A sample whose name is unique has no
+repeated window and is discarded after each step. Names of steps 1 and 2 are only a sieve, which loses no equal pair;
+in steps 3 and 4 strings are equal if their 128-bit cryptographic digests are.
+
+Steps 3 and 4 take the windows of a sample together at first: runs of windows with the same bytes from the first to the last
+are all repeated, and one of them goes on, as it may share some windows with a run that is otherwise different; runs that share
+no more than the bytes common to all their windows are cut into shorter ones, down to single windows.
+
+Equal texts are one text that occurs more than once; a passage shared by many texts goes on from one of them. Texts are
+cut into pieces that own disjoint windows, and pieces packed into blocks, so no text makes a task large.
 
 Defined results: null text is empty; texts shorter than ``length`` stay; rows that repeat an id with the same text
-are two documents, so their long strings are repeated; null ids are kept apart by their text; an empty table gives an
+are two documents, so their long strings are repeated; null ids are documents like others; an empty table gives an
 empty result; only the named columns are read.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heatledger.llm.common import as_bytes, batches, byte_slices, discard, materialise, release
-from heatledger.llm.cover import Hasher, anchors
-
-#: Bytes whose hash decides about samples.
-GRAM = 100
-#: Windows of a run after the first cut.
-RUN = 16
-
-SAMPLE = pa.schema([("d", pa.int64()), ("t", pa.int64()), ("a", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()), ("near1", pa.int64()), ("near2", pa.int64()), ("full1", pa.int64()), ("full2", pa.int64())])
-PIECE = pa.schema([("d", pa.int64()), ("t", pa.int64()), ("a", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()), ("multi", pa.bool_()), ("data", pa.binary())])
-NAMED = pa.schema([("d", pa.int64()), ("t", pa.int64()), ("a", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()), ("multi", pa.bool_()), ("near1", pa.int64()), ("near2", pa.int64()), ("full1", pa.int64()), ("full2", pa.int64())])
-DDL = {pa.int64(): "long", pa.int32(): "int", pa.bool_(): "boolean", pa.binary(): "binary"}
-NAMES = ["near1", "near2", "full1", "full2"]
-
-
-def ddl(schema: pa.Schema) -> str:
-    return ", ".join(f"{f.name} {DDL[f.type]}" for f in schema)
-
-
-def _pack(schema: pa.Schema, cols: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c.view(np.int64) if c.dtype == np.uint64 else c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
-
-
-def _names(data: np.ndarray, near: tuple[np.ndarray, np.ndarray], full: tuple[np.ndarray, np.ndarray], salt: np.ndarray) -> list[np.ndarray]:
-    """Four hashes; the salt keeps apart runs that lie differently to their sample."""
-    out = []
-    for start, end in (near, full):
-        for which in (0, 1):
-            out.append(Hasher(data, which).at(start, end) ^ (salt.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)))
-    return out
-
-
-def _samples(length: int):
-    """Samples of texts (d, t, text)."""
+from heatledger.llm.blocks import SENT, SENT_DDL, answer, batch_of, bundle, messages, tallied, totals, unpack_table, with_answers
+from heatledger.llm.common import as_bytes, batches, byte_slices, discard, materialise
+from heatledger.llm.cover import COVERS, Namer, digests, period_for, scrambled
+
+#: Bits of the sieve's names; other than equal ones meet with a chance of the number of samples in 2**48.
+SIEVE = 48
+
+#: A piece of a text: the text's digest and length, whether it occurs more than once, the windows it owns, the bytes of these.
+PIECE = pa.schema([("t", pa.binary()), ("n", pa.int64()), ("multi", pa.bool_()), ("own_from", pa.int64()), ("own_to", pa.int64()), ("data", pa.binary())])
+#: A run of windows from lo to hi of the text t, in piece i of a block; a is the sample, near names what all windows share.
+RUNS = pa.schema([("block", pa.int64()), ("i", pa.int32()), ("t", pa.binary()), ("a", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("multi", pa.bool_()), ("near", pa.int64()), ("full1", pa.int64()), ("full2", pa.int64())])
+RUNS_DDL = "block long, i int, t binary, a long, lo long, hi long, multi boolean, near long, full1 long, full2 long"
+
+
+def cut_pieces(length: int, piece_bytes: int):
+    """Pieces of a text (t, copies, text), as rows of ``PIECE``."""
+
+    def cut(_, fields):
+        t, copies, text = fields
+        n_windows = len(text) - length + 1
+        for at in range(0, max(0, n_windows), piece_bytes):
+            to = min(at + piece_bytes, n_windows)
+            yield t, len(text), copies > 1, at, to, text[at : to - 1 + length]
+
+    return cut
+
+
+class Samples(NamedTuple):
+    """Samples of a block, in order: the piece of each, its position in the text, its name."""
+
+    piece: np.ndarray
+    at: np.ndarray
+    name: np.ndarray
+
+
+def levels(length: int, period: int) -> int:
+    """How many times names of three can be made of names."""
+    n, reach = 0, period
+    while 3 * reach <= length - period + 1:
+        n, reach = n + 1, 3 * reach
+    return n
+
+
+def first_names(pieces: pa.Table, period: int) -> Samples:
+    """Samples named by their first ``period`` bytes."""
+    cover = np.array(COVERS[period])
+    begin = pieces.column("own_from").to_numpy()
+    found = [], [], []
+    for first, data, offsets in byte_slices(pieces.column("data").combine_chunks(), 2 << 20):
+        n = np.diff(offsets)
+        starts = begin[first : first + len(n)]
+        # all residues of the cover in each piece, in order of position
+        low, high = starts // period, (starts + n - period) // period
+        each = np.maximum(0, high - low + 1)
+        row = np.repeat(np.arange(len(n)), each)
+        turn = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each) + low[row]
+        at = (turn[:, None] * period + cover).ravel()
+        row = np.repeat(row, len(cover))
+        there = (at >= starts[row]) & (at + period <= starts[row] + n[row])
+        row, at = row[there], at[there]
+        local = at - starts[row] + offsets[row]
+        found[0].append(first + row)
+        found[1].append(at)
+        found[2].append(Namer(data).at(local, local + period))
+    return Samples(*(np.concatenate(x) for x in found))
+
+
+def recursed(samples: Samples, told: list | None, step: int, order: int) -> Samples:
+    """Samples whose name, and those ``step`` samples and twice as many on, occur elsewhere, named by the three."""
+    key, _, place = tallied(sieve(samples), np.zeros(len(samples.name), bool))
+    again = answer(told, order)[place] > 1
+    n = max(0, len(again) - 2 * step)
+    ok = again[:n] & again[step : step + n] & again[2 * step :] & (samples.piece[:n] == samples.piece[2 * step :])
+    at = np.flatnonzero(ok)
+    one, two, three = samples.name[at], samples.name[at + step], samples.name[at + 2 * step]
+    with np.errstate(over="ignore"):
+        name = scrambled(scrambled(one * np.uint64(3)) + two) ^ three
+    return Samples(samples.piece[at], samples.at[at], scrambled(name))
+
+
+def sieve(samples: Samples) -> np.ndarray:
+    return scrambled(samples.name) >> np.uint64(64 - SIEVE)
+
+
+def named(pieces: pa.Table, told: list | None, period: int, upto: int) -> Samples:
+    """Samples of a block named by the ``upto``-th level of names."""
+    samples = first_names(pieces, period)
+    if upto:
+        # discarded samples would break the steps of v bytes, so each level starts from all samples of the one before
+        step, kept = len(COVERS[period]), samples
+        for order in range(upto):
+            every = kept
+            kept = recursed(every, told, step, order)
+            if order + 1 < upto:
+                kept = _spread(every, kept)
+                step *= 3
+        return kept
+    return samples
+
+
+def _spread(every: Samples, kept: Samples) -> Samples:
+    """All samples of ``every``; those that were discarded have a name of their own."""
+    where = np.searchsorted(_place(every.piece, every.at), _place(kept.piece, kept.at))
+    name = scrambled(_place(every.piece, every.at).astype(np.uint64) + np.uint64(1))
+    name[where] = kept.name
+    return Samples(every.piece, every.at, name)
+
+
+def _place(piece: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (piece.astype(np.int64) << 36) + at
+
+
+def _send(period: int, order: int, parts: int):
+    """Messages about the names of level ``order`` of blocks (block, data, told)."""
 
     def run(items):
-        for b in batches(items):
-            d, t = (b.column(i).to_numpy(zero_copy_only=False) if not b.column(i).null_count else None for i in (0, 1))
-            for first, data, offsets in byte_slices(b.column(2), 2 << 20):
-                text, a, lo, hi = anchors(data, offsets, length, GRAM)
-                if not len(text):
-                    continue
-                rows, base = first + text, offsets[text]
-                zero = np.zeros(len(a), np.int64)
-                names = _names(data, (a, a + GRAM), (lo, hi + length), zero)
-                names[2] ^= (a - lo).astype(np.uint64)  # equal bytes around another sample are no equal run
-                ids = [pa.array(x[rows]) if x is not None else b.column(i).take(pa.array(rows)) for i, x in enumerate((d, t))]
-                yield _pack(SAMPLE, [*ids, (a - base).astype(np.int32), (lo - base).astype(np.int32), (hi - base).astype(np.int32), *names])
+        for batch in batches(items):
+            for k in range(batch.num_rows):
+                pieces = unpack_table(batch.column(1)[k].as_py())
+                samples = named(pieces, batch.column(2)[k].as_py(), period, order)
+                weight = 1 + pieces.column("multi").to_numpy(zero_copy_only=False).astype(np.int64)
+                keys, counts, _ = tallied(sieve(samples), weight[samples.piece])
+                rows = messages(order, batch.column(0)[k].as_py(), keys, np.minimum(counts, 2), parts, SIEVE)
+                if rows:
+                    yield batch_of(rows, SENT)
 
     return run
 
 
-def _pieces(length: int):
-    """The bytes around the listed samples, from texts (d, t, text, list)."""
+def _runs_of(block: int, pieces: pa.Table, piece: np.ndarray, a: np.ndarray, lo: np.ndarray, hi: np.ndarray, multi: np.ndarray, near: tuple[np.ndarray, np.ndarray], salt: np.ndarray, length: int):
+    """Batches of rows of ``RUNS`` for runs given by piece, in order of pieces; ``near`` and the windows are positions in texts."""
+    begin = pieces.column("own_from").to_numpy()
+    texts = pieces.column("t").combine_chunks()
+    for first, data, offsets in byte_slices(pieces.column("data").combine_chunks(), 2 << 20):
+        f, e = np.searchsorted(piece, [first, first + len(offsets) - 1])
+        if f == e:
+            continue
+        shift = offsets[piece[f:e] - first] - begin[piece[f:e]]
+        names = scrambled(Namer(data).at(near[0][f:e] + shift, near[1][f:e] + shift) ^ scrambled(salt[f:e].astype(np.uint64)))
+        full = digests(data, (lo[f:e] + shift).tolist(), (hi[f:e] + length + shift).tolist(), (salt[f:e] * 65536 + near[0][f:e] - lo[f:e]).tolist())
+        columns = [np.full(e - f, block), piece[f:e].astype(np.int32), texts.take(pa.array(piece[f:e])), a[f:e], lo[f:e], hi[f:e], multi[f:e], names.view(np.int64), *full]
+        yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, g.type) for c, g in zip(columns, RUNS, strict=True)], schema=RUNS)
+
+
+def _merge(length: int, period: int, order: int):
+    """The windows that begin before a sample left by the last level of names, as one run each."""
 
     def run(items):
-        for b in batches(items):
-            rows = []
-            for d, t, text, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), as_bytes(b.column(2)), b.column(3).to_pylist(), strict=True):
-                rows += [(d, t, s["a"], s["lo"], s["hi"], s["multi"], text[s["lo"] : s["hi"] + length]) for s in found]
-                if len(rows) > 20000:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(PIECE)], schema=PIECE)
-                    rows = []
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(PIECE)], schema=PIECE)
+        for batch in batches(items):
+            for k in range(batch.num_rows):
+                pieces, told = unpack_table(batch.column(1)[k].as_py()), batch.column(2)[k].as_py()
+                samples = named(pieces, told, period, order)
+                _, _, place = tallied(sieve(samples), np.zeros(len(samples.name), bool))
+                left = np.flatnonzero(answer(told, order)[place] > 1)
+                piece, a = samples.piece[left], samples.at[left]
+                col = {c: pieces.column(c).to_numpy(zero_copy_only=False)[piece] for c in ("n", "own_from", "own_to", "multi")}
+                lo, hi = np.maximum(col["own_from"], a - period + 1), np.minimum(np.minimum(a, col["n"] - length), col["own_to"] - 1)
+                ok = lo <= hi
+                piece, a, lo, hi, multi = piece[ok], a[ok], lo[ok], hi[ok], col["multi"][ok]
+                yield from _runs_of(batch.column(0)[k].as_py(), pieces, piece, a, lo, hi, multi, (a, a - period + 1 + length), np.zeros(len(a), np.int64), length)
 
     return run
 
 
-def _cut(length: int, run_length: int):
-    """Runs of at most ``run_length`` windows of pieces, cut at multiples of it as counted back from the sample.
-
-    Columns p1 and p2, if there, bound the windows; near is what the windows of the whole run share, full what those at hand cover.
-    """
+def _cut(length: int, size: int):
+    """Runs of at most ``size`` windows of blocks (block, data, found), cut at multiples of it as counted back from the sample."""
 
     def run(items):
-        for b in batches(items):
-            for first, data, offsets in byte_slices(b.column("data"), 2 << 20):
-                rows = np.arange(first, first + len(offsets) - 1)
-                col = {n: b.column(n).to_numpy(zero_copy_only=False)[rows].astype(np.int64) for n in ("a", "lo", "hi")}
-                p1, p2 = (b.column(n).to_numpy(zero_copy_only=False)[rows].astype(np.int64) if n in b.schema.names else col[m] for n, m in (("p1", "lo"), ("p2", "hi")))
-                low, high = (col["a"] - p2) // run_length, (col["a"] - p1) // run_length
+        for batch in batches(items):
+            for k in range(batch.num_rows):
+                found = batch.column(2)[k].values
+                pieces = unpack_table(batch.column(1)[k].as_py())
+                col = {f.name: found.field(f.name).to_numpy(zero_copy_only=False) for f in found.type}
+                order = np.argsort(col["i"], kind="stable")
+                col = {c: x[order] for c, x in col.items()}
+                low, high = (col["a"] - col["hi"]) // size, (col["a"] - col["lo"]) // size
                 each = high - low + 1
-                at = np.repeat(np.arange(len(rows)), each)
+                at = np.repeat(np.arange(len(each)), each)
                 j = np.arange(len(at)) - np.repeat(np.cumsum(each) - each, each) + low[at]
-                near = col["a"][at] - j * run_length
-                begin, end = np.maximum(p1[at], near - run_length + 1), np.minimum(p2[at], near)
-                shift = offsets[at] - col["lo"][at]
-                salt = j * 4096 if run_length > 1 else np.zeros(len(at), np.int64)
-                names = _names(data, (near + shift, near + shift - run_length + 1 + length), (begin + shift, end + shift + length), salt)
-                names[2] ^= (near - begin).astype(np.uint64)
-                source = pa.array(rows[at])
-                yield _pack(NAMED, [b.column("d").take(source), b.column("t").take(source), col["a"][at].astype(np.int32), begin.astype(np.int32), end.astype(np.int32), b.column("multi").take(source), *names])
+                last = col["a"][at] - j * size
+                lo, hi = np.maximum(col["lo"][at], last - size + 1), np.minimum(col["hi"][at], last)
+                # single windows are alike whatever sample led to them
+                salt = j + 1 if size > 1 else np.zeros(len(at), np.int64)
+                yield from _runs_of(batch.column(0)[k].as_py(), pieces, col["i"][at], col["a"][at], lo, hi, col["multi"][at], (last, last - size + 1 + length), salt, length)
 
     return run
 
 
 def sift(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """Spans (d, t, s, e) of the runs whose full name repeats, and the runs (d, t, a, lo, hi, multi) that go on.
+    """Spans (t, s, e) of the runs whose bytes repeat, and the runs (block, i, a, lo, hi, multi) that go on.
 
     ``multi`` marks a run that stands for several. One run of each full name goes on, and only where its near
     name has several full ones of which some run stands for itself alone.
     """
-    place = F.struct("d", "t", "a", "lo", "hi")
-    named = rows.groupBy(*NAMES).agg(F.count(F.lit(1)).alias("n"), F.max("multi").alias("multi"), F.min(place).alias("place"))
-    named = materialise(named.withColumn("multi", F.col("multi") | (F.col("n") > 1)), "substring-names")
-    repeated = named.filter("n > 1").select("full1", "full2", "near1", "near2")
-    spans = rows.filter("NOT multi").join(repeated, NAMES).select("d", "t", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
-    mixed = named.groupBy("near1", "near2").agg(F.count(F.lit(1)).alias("m"), F.max(~F.col("multi")).alias("alone")).filter("m > 1 AND alone")
-    onward = named.join(mixed.select("near1", "near2"), ["near1", "near2"], "left_semi").select("place.*", "multi")
+    names = ["near", "full1", "full2"]
+    place = F.struct("block", "i", "a", "lo", "hi")
+    each = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.max("multi").alias("multi"), F.min(place).alias("place"))
+    each = materialise(each.withColumn("multi", F.col("multi") | (F.col("n") > 1)), "substring-names")
+    repeated = each.filter("n > 1").select(*names)
+    spans = rows.filter("NOT multi").join(repeated, names).select("t", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
+    mixed = each.groupBy("near").agg(F.count(F.lit(1)).alias("m"), F.max(~F.col("multi")).alias("alone")).filter("m > 1 AND alone")
+    onward = each.join(mixed.select("near"), ["near"], "left_semi").select("place.*", "multi")
+    spans, onward = materialise(spans, "substring-spans"), materialise(onward, "substring-runs")
+    discard(each)
     return spans, onward
 
 
-def repeated_spans(rows: DataFrame, length: int = 400) -> DataFrame:
-    """Rows (d, t, spans): for each text (d, t, text) with repeated strings, the windows that repeat as [s, e)."""
-    found = []
-    every = materialise(rows.mapInArrow(_samples(length), ddl(SAMPLE)), "substring-samples")
-    # written before it is joined: a join with what was just grouped would be bound to the groups' partitions, and a hot name to one task
-    shared = materialise(every.groupBy("near1", "near2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("near1", "near2"), "substring-shared-names")
-    samples = materialise(every.join(shared, ["near1", "near2"]).withColumn("multi", F.lit(False)), "substring-shared-samples")
-    discard(every, shared)
-    release(rows.sparkSession)
-    spans, onward = sift(samples, length)
-    found.append(materialise(spans, "substring-spans"))
-    lists = onward.groupBy("d", "t").agg(F.collect_list(F.struct("a", "lo", "hi", "multi")).alias("found"))
-    lists = materialise(lists.select(F.col("d").alias("ld"), F.col("t").alias("lt"), "found"), "substring-lists")
-    texts = rows.join(lists, F.col("d").eqNullSafe(F.col("ld")) & (F.col("t") == F.col("lt"))).select("d", "t", "text", "found")
-    pieces = materialise(texts.mapInArrow(_pieces(length), ddl(PIECE)).dropDuplicates(["d", "t", "lo"]), "substring-pieces")
-    release(rows.sparkSession)
-    runs = materialise(pieces.mapInArrow(_cut(length, RUN), ddl(NAMED)), "substring-runs")
+def _again(blocks: DataFrame, onward: DataFrame) -> DataFrame:
+    """Rows (block, data, found): the blocks that have runs to be cut."""
+    lists = onward.groupBy(F.col("block").alias("run_block")).agg(F.collect_list(F.struct("i", "a", "lo", "hi", "multi")).alias("found"))
+    return blocks.join(lists, F.col("block") == F.col("run_block")).select("block", "data", "found")
+
+
+def _whole(length: int):
+    """Spans of the texts that occur more than once."""
+    schema = pa.schema([("t", pa.binary()), ("s", pa.int64()), ("e", pa.int64())])
+
+    def run(items):
+        for batch in batches(items):
+            for data in batch.column(1):
+                pieces = unpack_table(data.as_py()).filter(pa.compute.field("multi") & (pa.compute.field("own_from") == 0))
+                yield pa.RecordBatch.from_arrays([pieces.column("t").combine_chunks(), pa.array(np.zeros(len(pieces), np.int64)), pieces.column("n").combine_chunks()], schema=schema)
+
+    return run
+
+
+def repeated_spans(rows: DataFrame, length: int = 400, block_bytes: int = 8 << 20, piece_bytes: int = 1 << 20) -> DataFrame:
+    """Rows (t, spans): for each text (t, text) with repeated strings, the windows that repeat as [s, e); t is the text's digest."""
+    if length < 5:
+        raise ValueError("a difference cover of 3 asks for a length of 5 at least")
+    period = period_for(length)
+    last = levels(length, period)
+    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    parts = 4 * (int(size // block_bytes) + 1)
+    texts = rows.filter(F.octet_length("text") >= length).groupBy("t").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"))
+    blocks = materialise(bundle(texts.select("t", "copies", "text"), cut_pieces(length, piece_bytes), PIECE, block_bytes), "substring-blocks")
+    told = []
+    sent = blocks.select("block", "data", F.expr("CAST(NULL AS ARRAY<STRUCT<kind: INT, part: INT, data: BINARY>>)").alias("told"))
+    for order in range(last + 1):
+        told.append(materialise(totals(sent.mapInArrow(_send(period, order, parts), SENT_DDL)), "substring-totals"))
+        known = told[0]
+        for more in told[1:]:
+            known = known.unionByName(more)
+        sent = with_answers(blocks, known)
+    runs = materialise(sent.mapInArrow(_merge(length, period, last), RUNS_DDL), "substring-merged")
+    discard(*told)
+    found = [materialise(blocks.mapInArrow(_whole(length), "t binary, s long, e long"), "substring-whole")]
     spans, onward = sift(runs, length)
+    found.append(spans)
+    shorter = materialise(_again(blocks, onward).mapInArrow(_cut(length, max(2, period // 7)), RUNS_DDL), "substring-shorter")
+    discard(runs, onward)
+    spans, onward = sift(shorter, length)
+    found.append(spans)
+    windows = materialise(_again(blocks, onward).mapInArrow(_cut(length, 1), RUNS_DDL), "substring-windows")
+    discard(shorter, onward, blocks)
+    place = F.struct("t", "lo")  # a window may come from several samples
+    keys = windows.groupBy("full1", "full2").agg((F.max("multi") | (F.min(place) != F.max(place))).alias("again")).filter("again").select("full1", "full2")
+    spans = windows.filter("NOT multi").join(keys, ["full1", "full2"]).select("t", F.col("lo").alias("s"), (F.col("lo") + length).alias("e")).distinct()
     found.append(materialise(spans, "substring-spans"))
-    last = onward.select(F.col("d").alias("rd"), F.col("t").alias("rt"), F.col("a").alias("ra"), F.col("lo").alias("p1"), F.col("hi").alias("p2"), F.col("multi").alias("several"))
-    again = pieces.drop("multi").join(last, F.col("d").eqNullSafe(F.col("rd")) & (F.col("t") == F.col("rt")) & (F.col("a") == F.col("ra")) & F.col("p1").between(F.col("lo"), F.col("hi")))
-    windows = again.select("d", "t", "a", "lo", "hi", "p1", "p2", F.col("several").alias("multi"), "data").mapInArrow(_cut(length, 1), ddl(NAMED))
-    windows = materialise(windows, "substring-windows")
-    keys = windows.groupBy("full1", "full2").agg((F.max("multi") | (F.count(F.lit(1)) > 1)).alias("again")).filter("again").select("full1", "full2")
-    spans = windows.filter("NOT multi").join(keys, ["full1", "full2"]).select("d", "t", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
-    found.append(materialise(spans, "substring-spans"))
-    discard(samples, pieces, runs, windows, lists)
-    release(rows.sparkSession)
-    union = found[0].unionByName(found[1]).unionByName(found[2])
-    return union.groupBy("d", "t").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    discard(windows)
+    union = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+    out = materialise(union.groupBy("t").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "substring-found")
+    discard(*found)
+    return out
 
 
 def _remove():
@@ -190,17 +321,17 @@ def _remove():
                     at = e
                 kept.append(text[at:])
                 out.append((d, len(text), sum(e - s for s, e in merged), len(merged), [{"s": s, "e": e} for s, e in merged], b"".join(kept)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
+            yield batch_of(out, schema)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, **sizes: int) -> DataFrame:
     """Rows (doc_id, n_bytes, n_removed, n_spans, spans, kept) for every document; kept is the bytes that stay."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("d"), text.alias("text")).select("d", F.xxhash64("text").alias("t"), "text")
-    spans = repeated_spans(rows, length).select(F.col("d").alias("sd"), F.col("t").alias("st"), "spans")
-    joined = rows.join(spans, F.col("d").eqNullSafe(F.col("sd")) & (F.col("t") == F.col("st")), "left").select("d", "text", "spans")
+    text = F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "UTF-8")
+    rows = docs.select(F.col(id_col).cast("long").alias("d"), text.alias("text")).withColumn("t", F.unhex(F.substring(F.sha2("text", 256), 1, 32)))
+    spans = repeated_spans(rows.select("t", "text"), length, **sizes).select(F.col("t").alias("st"), "spans")
+    joined = rows.join(spans, F.col("t") == F.col("st"), "left").select("d", "text", "spans")
     return joined.mapInArrow(_remove(), "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<s:long,e:long>>, kept binary")
 
 

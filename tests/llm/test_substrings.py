@@ -4,8 +4,8 @@ from collections import Counter
 import numpy as np
 from helpers import SCHEMA, awkward
 
-from heatledger.llm.cover import Hasher, anchors, sliding_minimum
-from heatledger.llm.substrings import remove_repeats
+from heatledger.llm.cover import COVERS, Namer, digests, period_for
+from heatledger.llm.substrings import levels, remove_repeats
 
 
 def brute(rows, length=400):
@@ -39,7 +39,9 @@ def test_planted_repeats_against_brute_force(spark):
             texts.append(t[:i] + "X" + t[i + 1 :])
     texts += [texts[0], texts[1][5:], "ab" * 1500, "ab" * 900 + "c", "z" * 2000, "z" * 399, "z" * 400, fresh(900) * 2, "", None]
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA).repartition(5)
-    got, want = result(remove_repeats(docs)), brute(list(enumerate(texts)))
+    want = brute(list(enumerate(texts)))
+    assert result(remove_repeats(docs, block_bytes=5000, piece_bytes=450)) == want
+    got = result(remove_repeats(docs))
     assert [g[:4] for g in got] == [w[:4] for w in want]
     assert got == want
 
@@ -54,14 +56,39 @@ def test_awkward_and_empty(spark):
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def test_cover_is_shared_by_equal_windows():
-    rng = np.random.default_rng(3)
-    data = rng.integers(97, 100, 3000).astype(np.uint8)
+def test_covers_and_names():
+    for period, cover in COVERS.items():
+        assert {(a - b) % period for a in cover for b in cover} == set(range(period))
+    assert [(period_for(n), levels(n, period_for(n))) for n in (400, 50, 20, 11, 6)] == [(91, 1), (7, 1), (3, 1), (3, 1), (3, 0)]
+    data = np.random.default_rng(3).integers(97, 100, 3000).astype(np.uint8)
     data[2000:2600] = data[100:700]
-    text, a, lo, hi = anchors(data, np.array([0, 1500, 3000]), 400, 100)
-    chosen = {int(p): int(x) for x, b, e in zip(a, lo, hi, strict=True) for p in range(b, e + 1)}
-    assert sorted(chosen) == [p for p in range(2601) if p + 400 <= 1500 or p >= 1500]
-    assert all(chosen[2000 + k] - 2000 == chosen[100 + k] - 100 for k in range(201))
-    assert (sliding_minimum(np.array([3, 1, 2, 5, 4, 0]), 3) == [1, 1, 2, 0]).all()
-    h = Hasher(data)
-    assert h.at(np.array([2000, 5]), np.array([2500, 9]))[0] == h.at(np.array([100]), np.array([600]))[0]
+    names = Namer(data).at(np.array([2000, 100, 5]), np.array([2500, 600, 505]))
+    assert names[0] == names[1] != names[2]
+    one, two = digests(data, [2000, 100, 100, 101], [2500, 600, 600, 601], [7, 7, 8, 7])
+    assert one[0] == one[1] and two[0] == two[1] and len(set(one.tolist())) == 3
+
+
+def test_other_lengths_and_pieces(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abc") for _ in range(rng.randint(0, 60))) for _ in range(60)] + ["ab" * 40, "é" * 30]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    for length, block, piece in ((5, 100, 7), (12, 1 << 20, 20), (40, 300, 1 << 20)):
+        assert result(remove_repeats(docs, length=length, block_bytes=block, piece_bytes=piece)) == brute(list(enumerate(texts)), length)
+
+
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_patterns_that_defeat_powers_of_two(spark):
+    """Sums of powers modulo 2**64 are equal for a Thue-Morse word and its complement; the texts share no long string."""
+    shared = "".join(chr(97 + i % 26) for i in range(100))
+    one, two = (thue_morse(2048, x) + shared + thue_morse(2048, x[::-1]) for x in ("0@", "@0"))
+    rng = random.Random(9)
+    texts = [one, "".join(chr(112 - ord(c)) if c in "0@" else c for c in two), "".join(rng.choice("xyz") for _ in range(50)) + one[:2300]]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA)
+    assert result(remove_repeats(docs)) == brute(list(enumerate(texts)))
+    a, b = thue_morse(1024, "0@"), thue_morse(1024, "@0")
+    x, y = a[:300] + "-" + a[300:600], b[:300] + "-" + b[300:600]
+    docs = spark.createDataFrame([(0, x, "en", "s", 0), (1, y, "en", "s", 0)], SCHEMA)
+    assert [r[2] for r in result(remove_repeats(docs))] == [w[2] for w in brute([(0, x), (1, y)])]
