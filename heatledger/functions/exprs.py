@@ -257,6 +257,18 @@ def temperature_text(c: Column, unit: str = "C") -> Column:
     return F.concat(F.format_string("%.1f", fahrenheit(c) if unit == "F" else c), F.lit(f" °{unit}"))
 
 
+def day_text(at: Column) -> Column:
+    return F.date_format(at, "MMM d, yyyy")
+
+
+def moment_text(at: Column) -> Column:
+    return F.date_format(at, "MMM d, HH:mm 'UTC'")
+
+
+def month_text(at: Column) -> Column:
+    return F.date_format(at, "MMM yyyy")
+
+
 def token_expiry(token: Column) -> Column:
     """Expiry of a web token's payload as a timestamp; NULL where it cannot be read."""
     body = F.translate(F.split_part(token, F.lit("."), F.lit(2)), "-_", "+/")

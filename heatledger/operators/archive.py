@@ -42,10 +42,13 @@ def running(readings: DataFrame) -> DataFrame:
 
 
 def merge(archive: DataFrame, incoming: DataFrame) -> DataFrame:
-    """The archive after folding readings in; strictly greater wins, so folding again changes nothing."""
-    old = archive.select("tile_lat", "tile_lon", F.col("max_c"), F.col("record_date").alias("d"), "product", "max_lat", "max_lon", F.lit(0).alias("age"))
-    new = incoming.select("tile_lat", "tile_lon", "max_c", "d", "product", "max_lat", "max_lon", F.lit(1).alias("age"))
-    order = F.struct((-F.col("max_c")).alias("m"), F.col("age"), F.col("d"), F.col("product"), F.col("max_lat"), F.col("max_lon"))
+    """The archive after folding readings in, in the order of ``records``: equal to that of all readings at once, in whatever batches they came.
+
+    Folding again changes nothing. An equal maximum of a later day never replaces the one that is stored.
+    """
+    old = archive.select("tile_lat", "tile_lon", F.col("max_c"), F.col("record_date").alias("d"), "product", "max_lat", "max_lon")
+    new = incoming.select("tile_lat", "tile_lon", "max_c", "d", "product", "max_lat", "max_lon")
+    order = F.struct((-F.col("max_c")).alias("m"), F.col("d"), F.col("product"), F.col("max_lat"), F.col("max_lon"))
     best = old.unionByName(new).groupBy("tile_lat", "tile_lon").agg(F.min(order).alias("best"))
     return best.select("tile_lat", "tile_lon", (-F.col("best.m")).alias("max_c"), F.col("best.d").alias("record_date"), F.col("best.product").alias("product"), F.col("best.max_lat").alias("max_lat"), F.col("best.max_lon").alias("max_lon"))
 
@@ -56,3 +59,10 @@ def manifest(archive: DataFrame, prior_since: str | None, prior_through: str | N
     since = F.least(day, F.coalesce(F.try_to_date(F.lit(prior_since)), day)) if prior_since is not None else day
     through = F.greatest(day, F.coalesce(F.try_to_date(F.lit(prior_through)), day)) if prior_through is not None else day
     return archive.agg(F.count(F.lit(1)).alias("tiles"), F.max("max_c").alias("max_c")).withColumns({"since": since, "through": through})
+
+
+def daily_manifest(levels: DataFrame, day: str, generated_at: str, template: str, zooms: tuple[int, int] = (0, 7)) -> DataFrame:
+    """One row (manifest): a day's manifest as JSON with its number of tiles; the keys and their order are fixed."""
+    tiles = levels.select("z", F.shiftright("px", 8), F.shiftright("py", 8)).distinct().agg(F.count(F.lit(1)).alias("tile_count"))
+    fields = {"date": day, "generated_at": generated_at, "min_zoom": zooms[0], "max_zoom": zooms[1], "tile_url_template": template}
+    return tiles.select(F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in fields.items()], "tile_count")).alias("manifest"))

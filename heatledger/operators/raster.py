@@ -78,20 +78,54 @@ def png(pixels: list[tuple[int, int, int]], size: int = S.TILE_PIXELS) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"PLTE", palette) + chunk(b"tRNS", b"\0") + chunk(b"IDAT", zlib.compress(b"".join(rows))) + chunk(b"IEND", b"")
 
 
+def _unfiltered(rows: bytes, stride: int, step: int) -> list[bytearray]:
+    """Rows of an image without their row filters; ``step`` is the distance to the pixel on the left in bytes."""
+    out: list[bytearray] = []
+    above = bytearray(stride)
+    for at in range(0, len(rows), stride + 1):
+        kind, row = rows[at], bytearray(rows[at + 1 : at + 1 + stride])
+        for i in range(stride if kind else 0):
+            left, up, corner = (row[i - step] if i >= step else 0), above[i], (above[i - step] if i >= step else 0)
+            guess = left + up - corner
+            nearest = min((abs(guess - left), 0, left), (abs(guess - up), 1, up), (abs(guess - corner), 2, corner))[2]
+            row[i] = (row[i] + (0, left, up, (left + up) // 2, nearest)[kind]) & 255
+        out.append(row)
+        above = row
+    return out
+
+
 def png_ranks(data: bytes) -> list[tuple[int, int, int]]:
-    """The pixels of ``png`` with a rank."""
-    at, packed, size = 8, b"", 0
+    """The pixels (x, y, rank) with a rank of a palette PNG of any bit depth and row filters; other images are an error."""
+    at, packed, width, depth = 8, b"", 0, 8
     while at < len(data):
         n, kind = struct.unpack(">I4s", data[at : at + 8])
         body = data[at + 8 : at + 8 + n]
         if kind == b"IHDR":
-            size, _, _, colour = struct.unpack(">IIBB", body[:10])
-            if colour != 3:
-                raise ValueError("not a palette image")
+            width, _, depth, colour, _, _, interlaced = struct.unpack(">IIBBBBB", body[:13])
+            if colour != 3 or interlaced:
+                raise ValueError("not a palette image without interlacing")
         packed += body if kind == b"IDAT" else b""
         at += 12 + n
-    flat = zlib.decompress(packed)
-    return [(x, y, flat[y * (size + 1) + x + 1]) for y in range(size) for x in range(size) if flat[y * (size + 1) + x + 1]]
+    each, mask = 8 // depth, (1 << depth) - 1
+    rows = _unfiltered(zlib.decompress(packed), -(-width // each), 1)
+    ranks = ((x, y, row[x // each] >> (8 - depth * (x % each + 1)) & mask) for y, row in enumerate(rows) for x in range(width))
+    return [r for r in ranks if r[2]]
+
+
+def read_tiles(images: DataFrame) -> DataFrame:
+    """Rows (z, px, py, rank) of tiles (z, x, y, image)."""
+    import pyarrow as pa
+
+    schema = pa.schema([(n, pa.int32()) for n in ("z", "px", "py", "rank")])
+
+    def decode(items):
+        for b in items:
+            for z, x, y, image in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                found = png_ranks(image)
+                columns = [[z] * len(found), [x * S.TILE_PIXELS + i for i, _, _ in found], [y * S.TILE_PIXELS + j for _, j, _ in found], [r for _, _, r in found]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()) for c in columns], schema=schema)
+
+    return images.select("z", "x", "y", "image").mapInArrow(decode, "z int, px int, py int, rank int")
 
 
 def tiles(levels: DataFrame) -> DataFrame:

@@ -87,3 +87,9 @@ def geojson(readings: DataFrame) -> DataFrame:
 def stale(latest: Column, now: Column, days: float = 2.5) -> Column:
     """Whether the midnight that starts the latest day is more than ``days`` ago."""
     return (F.unix_timestamp(now) - F.unix_timestamp(latest.cast("timestamp"))) > days * 86400
+
+
+def complete_days(readings: DataFrame, products: list[str]) -> DataFrame:
+    """Readings of the days that have all products: corroboration of a day waits for both satellites."""
+    whole = readings.filter(F.col("product").isin(products)).groupBy("d").agg(F.count_distinct("product").alias("n")).filter(F.col("n") == len(products))
+    return readings.join(whole.select("d"), "d", "left_semi")

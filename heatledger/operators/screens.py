@@ -45,15 +45,21 @@ def vent_cells(vents: DataFrame) -> DataFrame:
 
 
 def vent_matches(pixels: DataFrame, vents: DataFrame) -> DataFrame:
-    """Pixels within a vent's radius, with the nearest vent (the smallest name of equals).
+    """Distinct pixels within a vent's radius, with the nearest vent (the smallest name of equals)."""
+    return with_nearest_vent(pixels, vents).filter("near IS NOT NULL").select(*pixels.columns, F.col("near.vent").alias("vent"), F.col("near.km").alias("km")).distinct()
 
-    An equi-join on one-degree tiles with the distance as residual, never a comparison of each pixel with each vent.
+
+def with_nearest_vent(pixels: DataFrame, vents: DataFrame) -> DataFrame:
+    """Pixels with ``near``: the nearest vent within its radius (km, vent), NULL for most.
+
+    The vents of a one-degree tile are one array, so each pixel meets at most one row: an equi-join that neither multiplies nor regroups pixels.
+    A tile's array is as long as the dimension has vents there.
     """
-    near = pixels.join(vent_cells(vents), (F.col("tile_lat") == F.col("at_lat")) & (F.col("tile_lon") == F.col("at_lon")))
-    km = E.flat_km(F.col("lat"), F.col("lon"), F.col("vent_lat"), F.col("vent_lon"))
-    inside = near.withColumn("km", km).filter(F.col("km") <= F.col("radius_km"))
-    nearest = inside.groupBy(*pixels.columns).agg(F.min(F.struct("km", "vent")).alias("near"))
-    return nearest.select(*pixels.columns, F.col("near.vent").alias("vent"), F.col("near.km").alias("km"))
+    cells = vent_cells(vents).groupBy("at_lat", "at_lon").agg(F.collect_list(F.struct("vent", "vent_lat", "vent_lon", "radius_km")).alias("vents_here"))
+    there = pixels.join(cells, (F.col("tile_lat") == F.col("at_lat")) & (F.col("tile_lon") == F.col("at_lon")), "left")
+    inside = F.filter("vents_here", lambda v: E.flat_km(F.col("lat"), F.col("lon"), v["vent_lat"], v["vent_lon"]) <= v["radius_km"])
+    near = F.array_min(F.transform(inside, lambda v: F.struct(E.flat_km(F.col("lat"), F.col("lon"), v["vent_lat"], v["vent_lon"]).alias("km"), v["vent"].alias("vent"))))
+    return there.withColumn("near", near).drop("at_lat", "at_lon", "vents_here")
 
 
 def fire_bins(fires: DataFrame) -> DataFrame:
@@ -65,8 +71,7 @@ def fire_bins(fires: DataFrame) -> DataFrame:
 
 def route(pixels: DataFrame, vents: DataFrame, bins: DataFrame) -> DataFrame:
     """Clean pixels with ``route``: volcanic, wildfire, implausible or weather, and the vent of volcanic ones."""
-    vents_hit = vent_matches(pixels, vents).select("pixel", "d", "vent").groupBy("pixel", "d").agg(F.min("vent").alias("vent"))
-    marked = pixels.join(vents_hit, ["pixel", "d"], "left")
+    marked = with_nearest_vent(pixels, vents).withColumn("vent", F.col("near.vent")).drop("near")
     burning = bins.select(F.col("bin").alias("fire_bin"))
     marked = marked.join(burning, E.fire_bin(F.col("lat"), F.col("lon")) == F.col("fire_bin"), "left")
     kind = F.when(F.col("vent").isNotNull(), "volcanic").when(F.col("fire_bin").isNotNull(), "wildfire").when(~E.plausible(F.col("lat"), F.col("c")), "implausible").otherwise("weather")

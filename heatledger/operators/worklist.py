@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heatledger.functions import exprs as E
@@ -52,7 +52,8 @@ def merge_boxes(boxes: list[tuple], reach: float) -> list[tuple]:
 def cluster(cells: DataFrame, reach: float = 0.5) -> DataFrame:
     """Rows (d, west, south, east, north): the merged footprints of each day's cells.
 
-    Cells that touch on a row are joined to strips by SQL first, so that a day's group is small; a day has at most the grid's cells.
+    Cells of a row that are within reach of their neighbour are joined to strips by a window first, so what a day's task merges is
+    strips, at most the grid's 3,600 rows by the number of gaps wider than ``reach`` in each.
     """
     import pyarrow as pa
 
@@ -64,7 +65,12 @@ def cluster(cells: DataFrame, reach: float = 0.5) -> DataFrame:
 
     half = 0.025
     points = cells.select("d", "lat", "lon").distinct()
-    boxes = points.select("d", (F.col("lon") - half).alias("west"), (F.col("lat") - half).alias("south"), (F.col("lon") + half).alias("east"), (F.col("lat") + half).alias("north"))
+    row = Window.partitionBy("d", "lat").orderBy("lon")
+    # the same sums and differences as for single cells, so strips end exactly where those would
+    gap = (F.col("lon") - half) - (F.lag("lon").over(row) + half)
+    strips = points.withColumn("new", F.coalesce((gap > reach).cast("int"), F.lit(1))).withColumn("strip", F.sum("new").over(row.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = strips.groupBy("d", "lat", "strip").agg(F.min("lon").alias("first"), F.max("lon").alias("last"))
+    boxes = ends.select("d", (F.col("first") - half).alias("west"), (F.col("lat") - half).alias("south"), (F.col("last") + half).alias("east"), (F.col("lat") + half).alias("north"))
     return boxes.groupBy("d").applyInArrow(run, "d date, west double, south double, east double, north double")
 
 

@@ -47,8 +47,8 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue feeds (feed, body): the orders of a day as entries, some without link, time or id."""
-    o = table(spark, sf_dir, "orders").filter("o_custkey % 3 = 0").selectExpr("o_custkey % 50 AS feed", "o_orderkey AS k", "o_orderstatus AS s")
+    """Catalogue feeds (feed, body): pages of orders as entries, 4,096 order keys a page at most, some without link, time or id."""
+    o = table(spark, sf_dir, "orders").selectExpr("(o_custkey % 50)*1000000000 + o_orderkey DIV 4096 AS feed", "o_orderkey AS k", "o_orderstatus AS s")
     entry = F.expr("""named_struct(
         'producer_granule_id', CASE WHEN k % 11 = 0 THEN NULL ELSE concat(CASE WHEN k % 2 = 0 THEN 'MOD11_L2' ELSE 'MYD11_L2' END, '.A2020', lpad(CAST(k % 366 AS STRING), 3, '0'), '.', lpad(CAST(k % 24 AS STRING), 2, '0'), '05.061.hdf') END,
         'title', CASE WHEN k % 22 = 0 THEN '' ELSE concat('t', CAST(k AS STRING)) END,

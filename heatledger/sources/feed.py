@@ -54,3 +54,8 @@ def pair_fires(refs: DataFrame, fires: DataFrame | None) -> DataFrame:
     stamps = first_of_each(fires.withColumn("stamp", E.overpass_stamp(F.col("granule_id"))), "stamp")
     joined = stamped.join(stamps.select("stamp", F.col("granule_id").alias("fire_id")), "stamp", "left")
     return joined.withColumn("fire_status", F.when(F.col("fire_id").isNull(), "unavailable").otherwise("applied"))
+
+
+def at_most(refs: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` granules in feed order, all for None."""
+    return refs if n is None else refs.orderBy("feed", "pos").limit(n)

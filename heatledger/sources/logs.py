@@ -44,3 +44,10 @@ def flying(days: DataFrame, products: DataFrame) -> DataFrame:
         start = start.when(F.col("product") == name, F.lit(first).cast("date"))
     dim = products.select("product", F.coalesce(start, F.lit("0001-01-01").cast("date")).alias("first"))
     return days.join(F.broadcast(dim), F.col("d") >= F.col("first")).drop("first")  # a product dimension has a handful of rows
+
+
+def lines(codes: DataFrame) -> DataFrame:
+    """Done-log lines (d, line) of exit codes (d, product, code): the day, then product=code by product."""
+    each = F.array_sort(F.collect_list(F.struct("product", F.concat_ws("=", "product", F.col("code").cast("string")).alias("text"))))
+    days = codes.groupBy("d").agg(each.alias("each"))
+    return days.select("d", F.concat_ws(" ", F.date_format("d", "yyyy-MM-dd"), F.transform("each", lambda x: x["text"])).alias("line"))

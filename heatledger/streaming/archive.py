@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heatledger.operators import archive
+from heatledger.sources.tables import exists, remove
 
 SCHEMA = "tile_lat int, tile_lon int, max_c double, record_date date, product string, max_lat double, max_lon double"
 
@@ -34,6 +35,8 @@ class Snapshots:
         """Write the version of ``batch_id`` from the one before it."""
         merged = archive.merge(self.read(batch_id - 1), batch)
         merged.write.mode("overwrite").parquet(self.path(batch_id))
+        if batch_id >= 2 and exists(self.spark, self.path(batch_id - 2)):  # a batch that is run again reads the one before it only
+            remove(self.spark, self.path(batch_id - 2))
 
 
 def start(readings: DataFrame, root: str, checkpoint: str):
