@@ -57,7 +57,9 @@ def template(text: bytes) -> tuple[list[bytes], list[bytes | None]]:
     for word in text.split():
         core = word.strip(EDGE)
         if core:
-            if core.isalpha() and core.islower():
+            # letters of any script tell about names and case, bytes do only where all are ASCII
+            seen = core if core.isascii() else core.decode("utf-8", "replace")
+            if seen.isalpha() and seen.islower():
                 if tokens and tokens[-1] is NUM and core in UNITS:
                     tokens.append(UNIT)
                     slots.append(core)
@@ -70,14 +72,14 @@ def template(text: bytes) -> tuple[list[bytes], list[bytes | None]]:
             elif (glued := GLUED.match(core)) and glued[2].lower() in UNITS:
                 tokens += [NUM, UNIT]
                 slots += [glued[1], glued[2].lower()]
-            elif not starts and core[:1].isupper() and core[1:].islower() and core.isalpha():
+            elif not starts and seen[:1].isupper() and seen[1:].islower() and seen.isalpha():
                 tokens.append(NAME)
                 slots.append(core)
             elif tokens and tokens[-1] is NUM and core.lower() in UNITS:
                 tokens.append(UNIT)
                 slots.append(core.lower())
             else:
-                tokens.append(core.lower())
+                tokens.append(core.lower() if seen is core else seen.lower().encode())
                 slots.append(None)
             starts = False
         if word[-1:] in b".!?:":

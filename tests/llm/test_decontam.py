@@ -112,3 +112,10 @@ def test_verbatim_copies_of_slot_rich_items(spark, bound):
     got = {(r.doc_id, r.item_id): r for r in contaminated(docs, spark.createDataFrame(items, ITEM_SCHEMA), filter_bound=bound).collect()}
     assert set(got) == {(0, 0), (1, 0), (3, 1), (5, 2), (6, 3)}
     assert (got[0, 0].coverage, got[0, 0].n_changed) == (1, 0)
+
+
+def test_names_of_any_script_are_slots():
+    tokens, slots = template("Then José gave Zoë 3 apples; Élan vital, über 5 km. Straße".encode())
+    assert [t for t, s in zip(tokens, slots, strict=True) if s is not None] == [b"<name>", b"<name>", b"<num>", b"<name>", b"<num>", b"<unit>"]
+    assert [s.decode() for s in slots if s is not None][:2] == ["José", "Zoë"]
+    assert "straße".encode() in tokens
