@@ -170,7 +170,9 @@ def range_records(path: str, start: int, end: int, keep_payload: bool = True):
             want = min(start + n, total) - start - len(held)
             if want > 0:
                 f.seek(start + len(held))
-                held.extend(f.read(max(want, min(STEP, total - start - len(held)))))
+                # a long record beyond the range is read in growing steps, so that copies of what is held add up to a few times its size
+                beyond = max(STEP, len(held) - (end - start))
+                held.extend(f.read(max(want, min(beyond, total - start - len(held)))))
             return memoryview(bytes(held)) if len(held) < STEP else memoryview(held[:])
 
         data = more(end - start + len(MAGIC))
