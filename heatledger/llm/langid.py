@@ -100,7 +100,8 @@ def fit(rows: DataFrame, max_train: int = 4000) -> tuple[list[str], np.ndarray]:
 
 
 def _score(model, evidence: int):
-    """Rows (n, letters, ll[]) with the columns of the input but the text, which comes first."""
+    """Rows (n, letters, ll[], p[]) with the columns of the input but the text, which comes first; p is what the text alone says of each language."""
+
     def run(items):
         table = model.value
         for b in batches(items):
@@ -119,20 +120,14 @@ def _score(model, evidence: int):
                 for k, row in enumerate(table):
                     ll[first + have, k] = np.add.reduceat(row[padded], spans, dtype=np.float64)[::2]
             ll *= (np.minimum(n, evidence) / np.maximum(n, 1))[:, None]
-            yield pa.RecordBatch.from_arrays(
-                [*[b.column(i) for i in range(1, b.num_columns)], pa.array(n), pa.array(letters), pa.ListArray.from_arrays(np.arange(0, ll.size + 1, len(table), dtype=np.int32), ll.ravel())],
-                names=[*b.schema.names[1:], "n", "letters", "ll"],
-            )
+            p = np.exp(ll - ll.max(axis=1, keepdims=True))
+            p /= p.sum(axis=1, keepdims=True)
+            lists = [pa.ListArray.from_arrays(np.arange(0, x.size + 1, len(table), dtype=np.int32), x.ravel()) for x in (ll, p)]
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(1, b.num_columns)], pa.array(n), pa.array(letters), *lists], names=[*b.schema.names[1:], "n", "letters", "ll", "p"])
 
     return run
 
 
-def _softmax(logs: list[Column]) -> list[Column]:
-    top = F.greatest(*logs) if len(logs) > 1 else logs[0]
-    total = sum((F.exp(x - top) for x in logs[1:]), F.exp(logs[0] - top))
-    return [F.exp(x - top) / total for x in logs]
-
-
 def fuse(rows: DataFrame, max_train: int = 4000, evidence: int = 60, strength: float = 20.0, least: float = 0.5) -> DataFrame:
     """Rows (id, text_hash, lang, confidence, declared, n_grams, kept) of rows (id, text, label, declared, suffix, host, domain).
 
@@ -146,10 +141,10 @@ def fuse(rows: DataFrame, max_train: int = 4000, evidence: int = 60, strength: f
     known = F.when(F.col("declared").isNull(), None).otherwise(F.when(code.isin(langs), code).otherwise("other"))
     narrow = rows.select("text", "id", F.xxhash64("text").alias("text_hash"), known.alias("declared"), F.col("suffix").alias("suffix"), "host", "domain")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in narrow.schema if f.name != "text")
-    scored = materialise(narrow.mapInArrow(_score(model, evidence), f"{kinds}, n long, letters long, ll array<double>"), "language-scores")
+    scored = materialise(narrow.mapInArrow(_score(model, evidence), f"{kinds}, n long, letters long, ll array<double>, p array<double>"), "language-scores")
     k = range(len(langs))
-    text_only = scored.select("*", *[p.alias(f"p{i}") for i, p in enumerate(_softmax([F.col("ll")[i] for i in k]))]).filter("letters > 0")
-    sums = [F.sum(f"p{i}").alias(f"c{i}") for i in k]
+    text_only = scored.filter("letters > 0")
+    sums = [F.sum(F.col("p")[i]).alias(f"c{i}") for i in k]
     whole = text_only.agg(*sums).first()
     count = [float(whole[i] or 0.0) for i in k]
     base = [(c + 1.0) / (sum(count) + len(langs)) for c in count]
@@ -173,10 +168,14 @@ def fuse(rows: DataFrame, max_train: int = 4000, evidence: int = 60, strength: f
     joined = scored.join(hosts, (F.col("host") == F.col("h")) & F.col("domain").eqNullSafe(F.col("hd")), "left")
     joined = joined.join(likelihood("suffix", "s"), F.col("suffix") == F.col("s"), "left").join(likelihood("declared", "m"), F.col("declared") == F.col("m"), "left")
     logs = [F.col("ll")[i] + F.coalesce(F.col(f"h{i}"), F.lit(math.log(base[i]))) + F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + F.coalesce(F.col(f"m{i}"), F.lit(0.0)) for i in k]
-    best = F.array_max(F.array(*[F.struct(p.alias("p"), F.lit(-i).alias("i")) for i, p in zip(k, _softmax(logs), strict=True)]))
-    out = joined.select("id", "text_hash", "declared", F.col("n").alias("n_grams"), "letters", best.alias("best"))
-    lang = F.when((F.col("letters") > 0) & (F.col("best.p") >= least), F.element_at(F.array(*[F.lit(x) for x in langs]), 1 - F.col("best.i"))).otherwise("und")
-    return out.select("id", "text_hash", lang.alias("lang"), F.col("best.p").alias("confidence"), "declared", "n_grams", (lang != "und").alias("kept"))
+    out = joined.select("id", "text_hash", "declared", F.col("n").alias("n_grams"), "letters", F.array(*logs).alias("logs"))
+    out = out.withColumn("top", F.array_max("logs"))
+    # the likeliest language's share of the sum of all, the first of equals
+    p = 1 / F.aggregate("logs", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("top")))
+    at = F.array_position("logs", F.col("top")).cast("int")
+    out = out.select("id", "text_hash", "declared", "n_grams", "letters", p.alias("p"), at.alias("at"))
+    lang = F.when((F.col("letters") > 0) & (F.col("p") >= least), F.element_at(F.array(*[F.lit(x) for x in langs]), F.col("at"))).otherwise("und")
+    return out.select("id", "text_hash", lang.alias("lang"), F.col("p").alias("confidence"), "declared", "n_grams", (lang != "und").alias("kept"))
 
 
 def address(host: Column) -> tuple[Column, Column]:
