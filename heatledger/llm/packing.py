@@ -114,7 +114,8 @@ def text_cluster(text: Column) -> Column:
 def pack(rows: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows: int = 2048) -> DataFrame:
     """Pieces with their bins for ``rows`` (doc_id, source, cluster, copy, n): columns of ``PIECE``."""
     shards = max(1, -(-rows.count() // shard_rows))
-    shard = F.pmod(F.xxhash64(F.coalesce("doc_id", "copy", F.lit(0)), "n"), F.lit(shards)).cast("long")
+    # rows without an id are told apart by their place in the table, so that they make no shard large
+    shard = F.pmod(F.xxhash64(F.coalesce("doc_id", F.monotonically_increasing_id()), "n"), F.lit(shards)).cast("long")
     return rows.withColumn("shard", shard).groupBy("shard").applyInArrow(_pack(capacity, per_source), PIECE)
 
 
