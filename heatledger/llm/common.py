@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import gc
-import time
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,20 +37,26 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that end within drop their shuffle files then, not when the driver's heap happens to be collected."""
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
-    This cuts lineage the same way a reliable checkpoint does: the rows survive lost executors. The shuffle files
-    of the write are dropped when it ends, not when the driver's heap happens to be collected.
+    This cuts lineage the same way a reliable checkpoint does: the rows survive lost executors.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    before = spark.conf.get(SHUFFLE_CLEANUP)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with dropping_shuffles(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
@@ -64,17 +69,6 @@ def discard(*frames: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of frames that are out of use.
-
-    It acts only when the driver's heap is collected, which in a long job may be far too late; and the bridge to the
-    driver lets go of Python's frames only once a second.
-    """
-    gc.collect()
-    time.sleep(1.5)
-    spark.sparkContext._jvm.System.gc()
-
-
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns whose names equal one of ``names``, whatever their case."""
     gone = {n.lower() for n in names}

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heatledger.llm.common import as_bytes, batches, materialise, release, without
+from heatledger.llm.common import as_bytes, batches, discard, dropping_shuffles, materialise, without
 
 #: White space stripped at both ends of a line.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -105,7 +105,8 @@ class Runs:
 
     def _write(self, df: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
-        df.repartition(self.buckets, "h1").write.format("parquet").bucketBy(self.buckets, "h1").sortBy("h1", "h2").saveAsTable(name)
+        with dropping_shuffles(self.spark):
+            df.repartition(self.buckets, "h1").write.format("parquet").bucketBy(self.buckets, "h1").sortBy("h1", "h2").saveAsTable(name)
         return name
 
     def unseen(self, df: DataFrame) -> DataFrame:
@@ -151,16 +152,18 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hashes = rows.mapInArrow(_hashes(min_chars, splits), "batch int, d long, h1 long, h2 long")
     hashes = materialise(hashes, "line-hashes")
     runs, gone = Runs(spark, fanout), None
-    for k in range(len(splits) + 1):
-        own = hashes.filter(F.col("batch") == k).select("d", "h1", "h2")
-        best = own.groupBy("h1", "h2").agg(F.min("d").alias("owner"))
-        fresh = runs.add(runs.unseen(best))
-        lost = own.join(fresh.withColumnRenamed("owner", "d"), ["h1", "h2", "d"], "left_anti")
-        lost = materialise(lost, "lines-lost")
-        gone = lost if gone is None else gone.unionByName(lost)
-        runs.compact()
-    runs.drop()
-    release(spark)
+    try:
+        for k in range(len(splits) + 1):
+            own = hashes.filter(F.col("batch") == k).select("d", "h1", "h2")
+            best = own.groupBy("h1", "h2").agg(F.min("d").alias("owner"))
+            fresh = runs.add(runs.unseen(best))
+            lost = own.join(fresh.withColumnRenamed("owner", "d"), ["h1", "h2", "d"], "left_anti")
+            lost = materialise(lost, "lines-lost")
+            gone = lost if gone is None else gone.unionByName(lost)
+            runs.compact()
+    finally:
+        runs.drop()
+        discard(hashes)
     return gone.groupBy("d").agg(F.collect_set(F.struct("h1", "h2")).alias("gone"))
 
 

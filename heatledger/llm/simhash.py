@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heatledger.llm.common import as_bytes, batches, materialise, release
+from heatledger.llm.common import as_bytes, batches, discard, materialise
 
 #: Seed of the shingle hash.
 SEED = 42
@@ -170,20 +170,20 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     edges = materialise(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u < v").distinct(), "links")
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "large-star")
-        large = both.filter("v > u").join(lowest, "u").select(F.col("m").alias("u"), "v").filter("u < v").distinct()
+        nearest = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "large-star")
+        large = both.filter("v > u").join(nearest, "u").select(F.col("m").alias("u"), "v").filter("u < v").distinct()
         large = materialise(large, "links")
         lowest = large.groupBy(F.col("v").alias("w")).agg(F.min("u").alias("m"))
         lowest = materialise(lowest, "small-star")
         small = large.join(lowest, large["v"] == lowest["w"]).select("m", F.explode(F.array("u", "v")).alias("x")).filter("m < x")
         small = materialise(small.select(F.col("m").alias("u"), F.col("x").alias("v")).distinct(), "links")
         same = small.join(edges, ["u", "v"], "left_anti").isEmpty() and edges.join(small, ["u", "v"], "left_anti").isEmpty()
+        discard(edges, nearest, large, lowest)
         edges = small
         if same:
             break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    release(spark)
     return edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("root"))
 
 
@@ -197,7 +197,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = firsts.join(both, firsts["fp"] == both["node"], "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     named = materialise(linked.select("fp", "root").join(lowest, "root").select("fp", "component_id"), "fingerprint-components")
-    release(spark)
     return marks.join(named, "fp").select("d", "fp", "component_id")
 
 
