@@ -54,10 +54,12 @@ class Namer:
     """Names of 62 bits of any substrings of some bytes, in constant time each. Equal bytes have equal names; the reverse is very likely only."""
 
     def __init__(self, data: np.ndarray):
+        if len(data) > 1 << 23:
+            raise ValueError("sums of so many bytes do not fit into 62 bits")
         self.sums = []
         for base in BASES:
             sums = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(folded((data.astype(np.uint64) + np.uint64(1)) * powers(base, len(data))), out=sums[1:])
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(base, len(data)), out=sums[1:])
             self.sums.append(sums)
 
     def at(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -73,9 +75,8 @@ def scrambled(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> h)) * m
 
 
-def digests(data: np.ndarray, starts: Sequence[int], ends: Sequence[int], salts: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
-    """The two halves of a cryptographic digest of 128 bits of data[start:end] and a salt; equal ones stand for equal bytes."""
+def digests(data: np.ndarray, starts: Sequence[int], ends: Sequence[int], salts: Sequence[int], size: int = 16) -> np.ndarray:
+    """A cryptographic digest of ``size`` bytes, 8 or 16, of data[start:end] and a salt, a row for each; equal ones of 16 stand for equal bytes."""
     view = memoryview(np.ascontiguousarray(data))
-    both = b"".join(hashlib.blake2b(view[a:b], digest_size=16, salt=s.to_bytes(8, "little")).digest() for a, b, s in zip(starts, ends, salts, strict=True))
-    halves = np.frombuffer(both, np.int64).reshape(-1, 2)
-    return halves[:, 0], halves[:, 1]
+    every = b"".join(hashlib.blake2b(view[a:b], digest_size=size, salt=s.to_bytes(8, "little")).digest() for a, b, s in zip(starts, ends, salts, strict=True))
+    return np.frombuffer(every, np.int64).reshape(-1, size // 8)

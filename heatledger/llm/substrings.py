@@ -33,11 +33,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heatledger.llm.blocks import SENT, SENT_DDL, answer, batch_of, bundle, messages, tallied, totals, unpack_table, with_answers
-from heatledger.llm.common import as_bytes, batches, byte_slices, discard, materialise
+from heatledger.llm.common import batches, byte_slices, discard, materialise
 from heatledger.llm.cover import COVERS, Namer, digests, period_for, scrambled
 
 #: Bits of the sieve's names; other than equal ones meet with a chance of the number of samples in 2**48.
@@ -174,9 +175,9 @@ def _runs_of(block: int, pieces: pa.Table, piece: np.ndarray, a: np.ndarray, lo:
         if f == e:
             continue
         shift = offsets[piece[f:e] - first] - begin[piece[f:e]]
-        names = scrambled(Namer(data).at(near[0][f:e] + shift, near[1][f:e] + shift) ^ scrambled(salt[f:e].astype(np.uint64)))
+        common = digests(data, (near[0][f:e] + shift).tolist(), (near[1][f:e] + shift).tolist(), salt[f:e].tolist(), 8)
         full = digests(data, (lo[f:e] + shift).tolist(), (hi[f:e] + length + shift).tolist(), (salt[f:e] * 65536 + near[0][f:e] - lo[f:e]).tolist())
-        columns = [np.full(e - f, block), piece[f:e].astype(np.int32), texts.take(pa.array(piece[f:e])), a[f:e], lo[f:e], hi[f:e], multi[f:e], names.view(np.int64), *full]
+        columns = [np.full(e - f, block), piece[f:e].astype(np.int32), texts.take(pa.array(piece[f:e])), a[f:e], lo[f:e], hi[f:e], multi[f:e], common[:, 0], full[:, 0], full[:, 1]]
         yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, g.type) for c, g in zip(columns, RUNS, strict=True)], schema=RUNS)
 
 
@@ -256,7 +257,7 @@ def _whole(length: int):
     def run(items):
         for batch in batches(items):
             for data in batch.column(1):
-                pieces = unpack_table(data.as_py()).filter(pa.compute.field("multi") & (pa.compute.field("own_from") == 0))
+                pieces = unpack_table(data.as_py()).filter(pc.field("multi") & (pc.field("own_from") == 0))
                 yield pa.RecordBatch.from_arrays([pieces.column("t").combine_chunks(), pa.array(np.zeros(len(pieces), np.int64)), pieces.column("n").combine_chunks()], schema=schema)
 
     return run
@@ -302,26 +303,37 @@ def repeated_spans(rows: DataFrame, length: int = 400, block_bytes: int = 8 << 2
     return out
 
 
+def merged(found: list) -> list[list[int]]:
+    """Spans without overlaps or contacts, in order."""
+    out: list[list[int]] = []
+    for s, e in sorted((x["s"], x["e"]) for x in found):
+        if out and s <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], e)
+        else:
+            out.append([s, e])
+    return out
+
+
 def _remove():
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("spans", pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))), ("kept", pa.binary())])
 
     def run(items):
         for b in batches(items):
-            out = []
-            for d, text, found in zip(b.column(0).to_pylist(), as_bytes(b.column(1)), b.column(2).to_pylist(), strict=True):
-                merged: list[list[int]] = []
-                for s, e in sorted((x["s"], x["e"]) for x in found or ()):
-                    if merged and s <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], e)
-                    else:
-                        merged.append([s, e])
-                kept, at = [], 0
-                for s, e in merged:
-                    kept.append(text[at:s])
-                    at = e
-                kept.append(text[at:])
-                out.append((d, len(text), sum(e - s for s, e in merged), len(merged), [{"s": s, "e": e} for s, e in merged], b"".join(kept)))
-            yield batch_of(out, schema)
+            texts, found = b.column(1).cast(pa.binary()), b.column(2)
+            hit = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+            # only texts with spans are touched one by one, the others stay where they are
+            which, n_removed, n_spans = np.arange(len(texts)), np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+            spans, kept = [[]] * len(texts), []
+            for k in hit.tolist():
+                text, cuts = texts[k].as_py(), merged(found[k].as_py())
+                edges = [0, *(x for cut in cuts for x in cut), len(text)]
+                which[k] = len(texts) + len(kept)
+                kept.append(b"".join(text[s:e] for s, e in zip(edges[::2], edges[1::2], strict=True)))
+                n_removed[k], n_spans[k] = sum(e - s for s, e in cuts), len(cuts)
+                spans[k] = [{"s": s, "e": e} for s, e in cuts]
+            rest = pa.concat_arrays([texts, pa.array(kept, pa.binary())]).take(pa.array(which)) if kept else texts
+            columns = [b.column(0), pc.binary_length(texts).cast(pa.int64()), pa.array(n_removed), pa.array(n_spans), pa.array(spans, schema.field("spans").type), rest]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
 

@@ -64,8 +64,8 @@ def test_covers_and_names():
     data[2000:2600] = data[100:700]
     names = Namer(data).at(np.array([2000, 100, 5]), np.array([2500, 600, 505]))
     assert names[0] == names[1] != names[2]
-    one, two = digests(data, [2000, 100, 100, 101], [2500, 600, 600, 601], [7, 7, 8, 7])
-    assert one[0] == one[1] and two[0] == two[1] and len(set(one.tolist())) == 3
+    rows = digests(data, [2000, 100, 100, 101], [2500, 600, 600, 601], [7, 7, 8, 7]).tolist()
+    assert rows[0] == rows[1] and len({tuple(r) for r in rows}) == 3
 
 
 def test_other_lengths_and_pieces(spark):
