@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterable
 from typing import NamedTuple
 
 import numpy as np
@@ -91,8 +92,8 @@ class Lanes(NamedTuple):
     offsets: np.ndarray
     skip: np.ndarray
     start: np.ndarray
-    distinct: list[tuple[np.ndarray, np.ndarray]]
-    places: list[np.ndarray]
+    distinct: dict[int, tuple[np.ndarray, np.ndarray]]
+    places: dict[int, np.ndarray]
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -101,7 +102,8 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return pair * MIX
 
 
-def lanes_of(pieces: pa.Table) -> Lanes:
+def lanes_of(pieces: pa.Table, orders: Iterable[int] = range(3)) -> Lanes:
+    """The lanes of a block's pieces, with the n-grams of the given orders only, counted from 0."""
     keys = WordKeys()
     parts, offsets = [], [0]
     for text, last in zip(pieces.column("text").to_pylist(), pieces.column("last").to_pylist(), strict=True):
@@ -118,22 +120,21 @@ def lanes_of(pieces: pa.Table) -> Lanes:
     train = np.array([not held_out(d) for d in pieces.column("doc_id").to_pylist()], bool)
     within = np.arange(len(tokens)) - np.repeat(offsets[:-1], n)
     learn = np.repeat(train, n) & (within >= np.repeat(skip, n))
+    distinct, places = {}, {}
     before = np.concatenate((tokens[-1:], tokens[:-1]))
     before[within == 0] = END  # the start of a text; of other pieces this place is left out
     bigrams = mixed(before, tokens)
-    trigrams = mixed(np.concatenate((bigrams[-1:], bigrams[:-1])), tokens)
-    distinct, places = [], []
-    for order, grams in enumerate((tokens, bigrams, trigrams)):
+    for order in orders:
+        grams = (tokens, bigrams)[order] if order < 2 else mixed(np.concatenate((bigrams[-1:], bigrams[:-1])), tokens)
         # with the start in view one word less is needed; the start itself has no history
-        shown = within >= np.where(np.repeat(start, n), max(0, order - 1), order)
-        at = np.flatnonzero(shown)
+        at = np.flatnonzero(within >= np.where(np.repeat(start, n), max(0, order - 1), order))
         # the end is among a block's words even if no piece shows it, as its count is that of the start as a history
         extra = [END] if order == 0 else []
         key, count, place = tallied(np.append(grams[at], np.array(extra, np.uint64)), np.append(learn[at], np.zeros(len(extra), bool)))
         own = np.full(len(tokens), -1, np.int32)
         own[at] = place[: len(at)]
-        distinct.append((key, count))
-        places.append(own)
+        distinct[order] = key, count
+        places[order] = own
     return Lanes(offsets, skip, start, distinct, places)
 
 
@@ -156,7 +157,7 @@ def automaton(lanes: Lanes, counts: list[np.ndarray], n_train: int, n_types: int
     p1 = (words + 1.0) / (n_train + n_types + 1.0)
     last = [np.zeros(len(c), np.int32) for c in counts]  # for each n-gram that of the next order down it ends with
     history = [np.zeros(len(c), np.int32) for c in counts]  # and the one it begins with
-    u, b, t = lanes.places
+    u, b, t = (lanes.places[order] for order in range(3))
     end = np.searchsorted(lanes.distinct[0][0], END)
     has = np.flatnonzero(b >= 0)
     last[1][b[has]] = u[has]
@@ -174,7 +175,7 @@ def automaton(lanes: Lanes, counts: list[np.ndarray], n_train: int, n_types: int
 
 def walk(lanes: Lanes, machine: Automaton) -> tuple[np.ndarray, np.ndarray]:
     """Score of each piece and the failure arcs it took: one step a word for all pieces that still have one."""
-    u, b, t = lanes.places
+    u, b, t = (lanes.places[order] for order in range(3))
     n = np.diff(lanes.offsets)
     longest_first = np.argsort(-n, kind="stable")
     length, first, skip = n[longest_first], lanes.offsets[:-1][longest_first], lanes.skip[longest_first]
@@ -212,13 +213,13 @@ def walk(lanes: Lanes, machine: Automaton) -> tuple[np.ndarray, np.ndarray]:
     return out, failed
 
 
-def _count(parts: int):
-    """Messages about the n-grams of blocks (block, data)."""
+def _count(orders: tuple[int, ...], parts: int):
+    """Messages about the n-grams of some orders of blocks (block, data)."""
 
     def run(items):
         for batch in batches(items):
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for order, (keys, counts) in enumerate(lanes_of(unpack_table(data.as_py())).distinct):
+                for order, (keys, counts) in lanes_of(unpack_table(data.as_py()), orders).distinct.items():
                     rows = messages(order, block, keys, counts, parts)
                     if rows:
                         yield batch_of(rows, SENT)
@@ -248,17 +249,18 @@ def _score(n_train: int, n_types: int, prior: float):
     return run
 
 
-def score_documents(docs: DataFrame, prior: float = 4.0, block_bytes: int = 16 << 20, piece_bytes: int = 1 << 16) -> DataFrame:
+def score_documents(docs: DataFrame, prior: float = 4.0, block_bytes: int = 8 << 20, piece_bytes: int = 1 << 16) -> DataFrame:
     """A row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_failures."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8").alias("text"))
     blocks = materialise(bundle(rows, cut_pieces(piece_bytes), PIECE, block_bytes), "ngram-blocks")
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     parts = 4 * (int(size // block_bytes) + 1)
-    told = materialise(totals(blocks.mapInArrow(_count(parts), SENT_DDL)), "ngram-totals")
+    # words and pairs first, then triples, so that only one half of the messages is in the shuffle at a time
+    told, more = (materialise(totals(blocks.mapInArrow(_count(orders, parts), SENT_DDL)), "ngram-totals") for orders in ((0, 1), (2,)))
     whole = told.filter("block < 0 AND kind = 0").agg(F.sum("types").alias("types"), F.sum("tokens").alias("tokens")).first()
     n_train, n_types = whole.tokens or 0, whole.types or 0
-    sums = materialise(with_answers(blocks, told).mapInArrow(_score(n_train, n_types, prior), SUMS_DDL), "ngram-sums")
-    discard(blocks, told)
+    sums = materialise(with_answers(blocks, told.unionByName(more)).mapInArrow(_score(n_train, n_types, prior), SUMS_DDL), "ngram-sums")
+    discard(blocks, told, more)
     out = sums.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score", "n_failures")])
     held = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 == 2, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score", "n_failures")

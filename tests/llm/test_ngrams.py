@@ -122,7 +122,7 @@ def test_a_block_walks_like_the_slow_automaton():
     rows += [p for i, t in enumerate(tests) for p in cut_pieces(99)(9 + i, (tried, t))]
     table = pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(PIECE)], schema=PIECE)
     lanes = lanes_of(table)
-    counts = [c for _, c in lanes.distinct]
+    counts = [c for _, c in lanes.distinct.values()]
     n, v = int(counts[0].sum()), int((counts[0] > 0).sum())
     assert END in lanes.distinct[0][0] and n == 3 + 4 + 3 + 3
     score, _ = walk(lanes, automaton(lanes, counts, n, v, 4.0))
