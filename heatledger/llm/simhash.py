@@ -147,6 +147,8 @@ def _links(distance: int):
 
 def links(fps: DataFrame, distance: int = 4, blocks: int = 8, chunk: int = 4096) -> DataFrame:
     """Rows (u, v), u < v: links that connect the distinct fingerprints ``fps`` (column fp) as all links would."""
+    # fingerprints are a few bytes each, so their files are few; their copies need all tasks
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     t = thermometer(F.col("fp"))
     cells = fps.select("fp", F.posexplode(F.array(*[t.bitwiseAND(F.lit(m).cast("long")) for m in masks(blocks, distance)])).alias("grid", "cell"))
     sizes = cells.groupBy("grid", "cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -166,7 +168,6 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     Large-star and small-star steps alternate until nothing changes; each round is written to the shared
     folder. The number of rounds grows with the logarithm of the nodes.
     """
-    spark = edges.sparkSession
     edges = materialise(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u < v").distinct(), "links")
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -184,19 +185,21 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
             break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("root"))
+    roots = materialise(edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("root")), "components")
+    discard(edges)
+    return roots
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4, blocks: int = 8, chunk: int = 4096) -> DataFrame:
     """Rows (d, fp, component_id), one for each row of ``docs``."""
-    spark = docs.sparkSession
     marks = materialise(fingerprints(docs, id_col, text_col, width), "fingerprints")
     firsts = materialise(marks.groupBy("fp").agg(F.min("d").alias("first")), "distinct-fingerprints")
-    roots = materialise(components(links(firsts.select("fp"), distance, blocks, chunk)), "components")
+    roots = components(links(firsts.select("fp"), distance, blocks, chunk))
     both = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()).distinct()
     linked = firsts.join(both, firsts["fp"] == both["node"], "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     named = materialise(linked.select("fp", "root").join(lowest, "root").select("fp", "component_id"), "fingerprint-components")
+    discard(firsts, roots)
     return marks.join(named, "fp").select("d", "fp", "component_id")
 
 
