@@ -1,13 +1,24 @@
-"""Granule attributes and an optional reader of HDF4 swaths; Parquet is the working format."""
+"""Granule attributes and optional readers of HDF4 swaths, fire swaths and daily grids; Parquet is the working format."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from heatledger import schema as S
 
+#: Fixed names of datasets: temperature and quality of a swath and of a daily grid, its view time, a swath's coordinates, fire pixels.
+SWATH = ("LST", "QC", "Latitude", "Longitude")
+GRID, VIEW_TIME = ("LST_Day_CMG", "QC_Day"), "Day_view_time"
+FIRES = ("FP_latitude", "FP_longitude")
+#: Fixed size of a daily grid.
+GRID_SHAPE = (3600, 7200)
+#: Pixels of an Arrow batch.
+BATCH_PIXELS = 1 << 16
+
 
 def checked_scaling(granules: DataFrame) -> DataFrame:
     """Granules (attrs map) with scale, offset and fill; an absent or unexpected scale is an error, not a guess."""
@@ -22,8 +33,47 @@ def view_hours(raw):
     return F.when(raw != 255, raw * 0.2)
 
 
-class SwathReader(DataSourceReader):
-    """A file is a partition; rows (granule_id, row, col, raw, qc)."""
+def _present(file, name: str, wanted: tuple[str, ...]) -> None:
+    gone = sorted(set(wanted) - set(file.datasets()))
+    if gone:
+        raise ValueError(f"{name} lacks the datasets {', '.join(gone)}")
+
+
+def _attributes(dataset) -> list[tuple[str, float]]:
+    """Numeric attributes; the fill value comes from the file's own record where no attribute states it."""
+    found = {k: float(v) for k, v in dataset.attributes().items() if isinstance(v, int | float | np.number)}
+    if "_FillValue" not in found:
+        from pyhdf.error import HDF4Error
+
+        try:
+            found["_FillValue"] = float(dataset.getfillvalue())
+        except HDF4Error:
+            pass  # no fill value was recorded; checked_scaling takes 0
+    return sorted(found.items())
+
+
+def _pixels(name: str, arrays: dict[str, np.ndarray], attrs: list, schema: pa.Schema):
+    """Batches of the pixels of equally shaped arrays in row order, each with the granule's name and attributes."""
+    height, width = next(iter(arrays.values())).shape
+    flat = {k: a.reshape(-1) for k, a in arrays.items()}
+    for at in range(0, height * width, BATCH_PIXELS):
+        place = np.arange(at, min(at + BATCH_PIXELS, height * width))
+        n = len(place)
+        known = {"granule_id": pa.repeat(name, n), "row": place // width, "col": place % width}
+        known |= {k: a[place] for k, a in flat.items()}
+        if "attrs" in schema.names:
+            known["attrs"] = pa.repeat(pa.scalar(attrs, schema.field("attrs").type), n)
+        columns = [known.get(f.name, pa.nulls(n, f.type)) for f in schema]
+        yield pa.RecordBatch.from_arrays([(c if isinstance(c, pa.Array) else pa.array(c)).cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+_ATTRS = ("attrs", pa.map_(pa.string(), pa.float64()))
+
+
+class FileReader(DataSourceReader):
+    """A file is a partition; subclasses turn one into Arrow batches of ``fields``."""
+
+    fields: pa.Schema
 
     def __init__(self, options: dict):
         self.paths = options["paths"].split(",")
@@ -32,25 +82,126 @@ class SwathReader(DataSourceReader):
         return [InputPartition(p) for p in self.paths]
 
     def read(self, partition):
+        file = self.opened(partition.value)
+        try:
+            yield from self.batches(file, partition.value.rpartition("/")[2])
+        finally:
+            file.end()
+
+    def opened(self, path: str):
         from pyhdf.SD import SD  # an optional library
 
-        file = SD(partition.value)
-        raw, qc = file.select("LST").get(), file.select("QC").get()
-        name = partition.value.rpartition("/")[2]
-        for i in range(raw.shape[0]):
-            for j in range(raw.shape[1]):
-                yield name, i, j, int(raw[i, j]), int(qc[i, j])
+        return SD(path)
+
+    def batches(self, file, name: str):
+        raise NotImplementedError
+
+
+class SwathReader(FileReader):
+    """Pixels of swaths."""
+
+    fields = pa.schema([("granule_id", pa.string()), ("row", pa.int32()), ("col", pa.int32()), ("raw", pa.int32()), ("qc", pa.int32()), _ATTRS])
+
+    def batches(self, file, name):
+        _present(file, name, SWATH)
+        lst = file.select(SWATH[0])
+        arrays = {"raw": np.asarray(lst.get()), "qc": np.asarray(file.select(SWATH[1]).get())}
+        if arrays["qc"].shape != arrays["raw"].shape:
+            raise ValueError(f"{name}: quality {arrays['qc'].shape} does not fit temperature {arrays['raw'].shape}")
+        return _pixels(name, arrays, _attributes(lst), self.fields)
+
+
+class LocationReader(FileReader):
+    """Coordinates of swaths, on their coarser grid."""
+
+    fields = pa.schema([("granule_id", pa.string()), ("row", pa.int32()), ("col", pa.int32()), ("lat", pa.float64()), ("lon", pa.float64())])
+
+    def batches(self, file, name):
+        _present(file, name, SWATH)
+        arrays = {"lat": np.asarray(file.select(SWATH[2]).get()), "lon": np.asarray(file.select(SWATH[3]).get())}
+        if arrays["lat"].shape != arrays["lon"].shape:
+            raise ValueError(f"{name}: latitudes {arrays['lat'].shape} do not fit longitudes {arrays['lon'].shape}")
+        return _pixels(name, arrays, [], self.fields)
+
+
+class GridReader(FileReader):
+    """Cells of daily grids; without a view time in the file it is null."""
+
+    fields = pa.schema([("granule_id", pa.string()), ("row", pa.int32()), ("col", pa.int32()), ("raw", pa.int32()), ("qc", pa.int32()), ("view", pa.int32()), _ATTRS])
+    shape = GRID_SHAPE
+
+    def batches(self, file, name):
+        _present(file, name, GRID)
+        lst = file.select(GRID[0])
+        arrays = {"raw": np.asarray(lst.get()), "qc": np.asarray(file.select(GRID[1]).get())}
+        if VIEW_TIME in file.datasets():
+            arrays["view"] = np.asarray(file.select(VIEW_TIME).get())
+        for what, a in arrays.items():
+            if a.shape != self.shape:
+                raise ValueError(f"{name}: {what} is {a.shape}, not {self.shape}")
+        return _pixels(name, arrays, _attributes(lst), self.fields)
+
+
+class FireReader(FileReader):
+    """Fire pixels, a row each; a file without the datasets, or with empty ones, saw no fire and gives no rows."""
+
+    fields = pa.schema([("granule_id", pa.string()), ("fire_lat", pa.float64()), ("fire_lon", pa.float64())])
+
+    def batches(self, file, name):
+        if not set(FIRES) <= set(file.datasets()):
+            return
+        found = []
+        for dataset in map(file.select, FIRES):
+            empty = not np.all(dataset.info()[2])  # the library cannot get a dataset without values
+            found.append(np.zeros(0) if empty else np.asarray(dataset.get(), np.float64).reshape(-1))
+        if len(found[0]) != len(found[1]):
+            raise ValueError(f"{name}: {len(found[0])} fire latitudes, {len(found[1])} longitudes")
+        if len(found[0]):
+            yield pa.RecordBatch.from_arrays([pa.repeat(name, len(found[0])), *map(pa.array, found)], schema=self.fields)
 
 
 class SwathSource(DataSource):
     """``spark.dataSource.register(SwathSource)``, then ``spark.read.format("swath").option("paths", "a.hdf,b.hdf").load()``."""
 
+    reads: type[FileReader] = SwathReader
+    ddl = "granule_id string, row int, col int, raw int, qc int, attrs map<string, double>"
+
     @classmethod
     def name(cls):
         return "swath"
 
     def schema(self):
-        return "granule_id string, row int, col int, raw int, qc int"
+        return self.ddl
 
     def reader(self, schema):
-        return SwathReader(self.options)
+        return self.reads(self.options)
+
+
+class LocationSource(SwathSource):
+    """Coordinates of swaths, as format ``swath_locations``."""
+
+    reads, ddl = LocationReader, "granule_id string, row int, col int, lat double, lon double"
+
+    @classmethod
+    def name(cls):
+        return "swath_locations"
+
+
+class GridSource(SwathSource):
+    """Daily grids, as format ``daily_grid``."""
+
+    reads, ddl = GridReader, "granule_id string, row int, col int, raw int, qc int, view int, attrs map<string, double>"
+
+    @classmethod
+    def name(cls):
+        return "daily_grid"
+
+
+class FireSource(SwathSource):
+    """Fire pixels of swaths, as format ``swath_fires``."""
+
+    reads, ddl = FireReader, "granule_id string, fire_lat double, fire_lon double"
+
+    @classmethod
+    def name(cls):
+        return "swath_fires"
