@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from heatledger.llm import decontam, langid, licenses, linededup, ngrams, packing, quality, simhash, substrings, warc
+from heatledger.llm import decontam, langid, licenses, linededup, ngrams, packing, quality, simhash, substrings, warc, whitening
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -16,5 +16,6 @@ QUERIES = {
     "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_simhash": simhash.op10_simhash,
+    "op12_whitening": whitening.op12_whitening,
 }
 ORACLES = {"op9_line_dedup": linededup.ORACLE}
