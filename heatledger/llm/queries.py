@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from heatledger.llm import decontam, langid, licenses, linededup, ngrams, packing, quality, simhash, substrings, warc, whitening
+from heatledger.llm import decontam, langid, licenses, linededup, ngrams, packing, quality, simhash, substrings, urlfilter, warc, whitening
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -17,5 +17,6 @@ QUERIES = {
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_simhash": simhash.op10_simhash,
     "op12_whitening": whitening.op12_whitening,
+    "op13_url_filter": urlfilter.op13_url_filter,
 }
 ORACLES = {"op9_line_dedup": linededup.ORACLE}
