@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from heatledger.llm import decontam, langid, licenses, linededup, ngrams, packing, quality, simhash, substrings, urlfilter, warc, whitening
+from heatledger.llm import decontam, langid, licenses, linededup, ngrams, packing, phrases, quality, simhash, substrings, urlfilter, warc, whitening
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -16,7 +16,8 @@ QUERIES = {
     "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_simhash": simhash.op10_simhash,
+    "op11_collocations": phrases.op11_collocations,
     "op12_whitening": whitening.op12_whitening,
     "op13_url_filter": urlfilter.op13_url_filter,
 }
-ORACLES = {"op9_line_dedup": linededup.ORACLE}
+ORACLES = {"op9_line_dedup": linededup.ORACLE, "op11_collocations": phrases.ORACLE}
