@@ -8,8 +8,8 @@ To learn how often a key occurs in all blocks, each block sends its distinct key
 parts of the key space, differences instead of keys. The task of a part adds up equal keys and answers each block with
 the totals of the keys it sent, in the order they were sent, so an answer needs no keys. A key sends one value for each block that has
 it, however often it occurs there. A part sees all blocks' keys of its range and their number is four times that of full blocks, so its
-task holds about a quarter of a block's keys. Messages without keys are not sent: at any size there are at most as many as
-a plain aggregation by key would send rows.
+task holds about a quarter of a block's keys. Only parts that a block has keys for are touched, so work and messages of a block follow its
+keys, not the number of parts: at most a message for each key, as many as a plain aggregation by key would send rows.
 """
 
 from __future__ import annotations
@@ -127,11 +127,19 @@ def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(flat), unpack_counts(data[24 + (n - 1) * width :])
 
 
+def part_of(keys: np.ndarray, parts: int, bits: int) -> np.ndarray:
+    """The part of each key: the key space of ``bits`` bits cut into ``parts`` equal parts, at most 2**31 of them."""
+    keys = keys << np.uint64(64 - bits)
+    low = (keys & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)
+    return ((keys >> np.uint64(32)) * np.uint64(parts) + low >> np.uint64(32)).astype(np.int64)
+
+
 def messages(kind: int, block: int, keys: np.ndarray, counts: np.ndarray, parts: int, bits: int = 64) -> list[tuple]:
-    """Rows of ``SENT``: ascending keys of ``bits`` bits and their counts, by part of the key space."""
-    edges = np.array([(k << bits) // parts for k in range(1, parts)], np.uint64)
-    cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-    return [(kind, k, block, packed(keys[a:b], counts[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+    """Rows of ``SENT``: ascending keys of ``bits`` bits and their counts, by part of the key space; only parts with keys are touched."""
+    part = part_of(keys, parts, bits)
+    cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))[: len(part)]
+    ends = np.append(cuts[1:], len(part)).tolist()
+    return [(kind, k, block, packed(keys[a:b], counts[a:b])) for k, a, b in zip(part[cuts].tolist(), cuts.tolist(), ends, strict=False)]
 
 
 def _answers(key, table):
