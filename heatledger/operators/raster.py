@@ -60,6 +60,55 @@ def refresh(levels: DataFrame, merged: DataFrame, changed: DataFrame) -> DataFra
     return kept.unionByName(fresh)
 
 
+#: Tiles along an edge of a block, the unit in which stored levels are read.
+BLOCK_TILES = 8
+
+
+def write_levels(levels: DataFrame, path: str) -> None:
+    """Store rank rows (z, px, py, rank) in a folder for each zoom and block of 8 by 8 tiles."""
+    side = S.TILE_PIXELS * BLOCK_TILES
+    keyed = levels.withColumns({"bx": F.expr(f"px DIV {side}").cast("int"), "by": F.expr(f"py DIV {side}").cast("int")})
+    keyed.repartition("z", "bx", "by").write.partitionBy("z", "bx", "by").parquet(path)
+
+
+def dirty_tiles(changed: DataFrame) -> DataFrame:
+    """The changed base tiles (tx, ty) and all their ancestors as (z, tx, ty); 21,845 tiles at most, as the base has 128 by 128."""
+    up = changed.select("tx", "ty", F.explode(F.sequence(F.lit(0), F.lit(S.BASE_ZOOM))).alias("z"))
+    return up.select("z", F.expr(f"shiftright(tx, {S.BASE_ZOOM} - z)").alias("tx"), F.expr(f"shiftright(ty, {S.BASE_ZOOM} - z)").alias("ty")).distinct()
+
+
+def read_levels(stored: DataFrame, dirty: DataFrame) -> DataFrame:
+    """Stored rank rows of dirty tiles; ``stored`` is partitioned as ``write_levels`` does.
+
+    The blocks of the dirty tiles, 341 of them at most, become a filter on the partition columns, so other blocks' files are not opened.
+    """
+    blocks = dirty.select("z", F.expr(f"tx DIV {BLOCK_TILES}").cast("int").alias("bx"), F.expr(f"ty DIV {BLOCK_TILES}").cast("int").alias("by")).distinct().collect()
+    by_column: dict[tuple[int, int], list[int]] = {}
+    for b in blocks:
+        by_column.setdefault((b.z, b.bx), []).append(b.by)
+    wanted = F.lit(False)
+    for (z, bx), bys in sorted(by_column.items()):
+        wanted |= (F.col("z") == z) & (F.col("bx") == bx) & F.col("by").isin(sorted(bys))
+    rows = stored.filter(wanted).select("z", "px", "py", "rank", F.shiftright("px", 8).alias("tx"), F.shiftright("py", 8).alias("ty"))
+    return rows.join(dirty, ["z", "tx", "ty"], "left_semi")
+
+
+def changed_levels(state: DataFrame, changed: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What a change of base tiles does to the stored levels: rank rows (z, px, py, rank) of all tiles to be rewritten, and
+    these tiles (z, tx, ty, created), created where the store has no pixel of them yet.
+
+    Ranks rise with the temperature, so the rank of a maximum is the maximum of ranks, and a parent is its stored ranks raised by its changed children. Only
+    pixels of changed base tiles (of ``state``, px, py, centi) are pooled, and only blocks of the store with dirty tiles are read.
+    """
+    dirty = dirty_tiles(changed)
+    own = state.join(changed.select("tx", "ty").distinct(), (F.shiftright("px", 8) == F.col("tx")) & (F.shiftright("py", 8) == F.col("ty")), "left_semi")
+    pooled = ranks(pyramid(own.select("px", "py", "centi"))).select("z", "px", "py", "rank")
+    old = read_levels(stored, dirty)
+    levels = pooled.unionByName(old.select("z", "px", "py", "rank")).groupBy("z", "px", "py").agg(F.max("rank").alias("rank"))
+    had = old.select("z", "tx", "ty").distinct().withColumn("had", F.lit(True))
+    return levels, dirty.join(had, ["z", "tx", "ty"], "left").select("z", "tx", "ty", F.col("had").isNull().alias("created"))
+
+
 #: Fixed heat colours of ranks 1 to 5.
 COLOURS = ("C9B896", "C79B5B", "BC7431", "9A4E17", "6E3410")
 

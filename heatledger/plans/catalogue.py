@@ -552,19 +552,12 @@ def _(spark, sf):
     """The archive folded from the daily weather by a stream; equal to ``alltime_records``."""
     from heatledger.streaming import archive as stream
 
-    base = f"{_shared(spark)}/stream"
-    import uuid
-
-    root = f"{base}-{uuid.uuid4().hex}"
+    root = tables.scratch(spark, "stream")
     corroborate.weather(_judged(spark, sf)).repartition(4).write.parquet(f"{root}/in")
     rows = spark.read.parquet(f"{root}/in")
     live = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
-    running = stream.start(live, f"{root}/archive", f"{root}/checkpoint")
-    running.awaitTermination()
-    last = running.lastProgress.batchId if running.lastProgress else -1
-    shots = stream.Snapshots(spark, f"{root}/archive")
-    versions = [v for v in range(last, -2, -1) if v < 0 or tables.exists(spark, shots.path(v))]
-    return shots.read(versions[0])
+    stream.start(live, f"{root}/archive", f"{root}/checkpoint").awaitTermination()
+    return stream.Ledger(spark, f"{root}/archive").read()
 
 
 @query("upsert_daily_readings", Q.ctes(_RUNS) + """, old AS (SELECT reading_date, user_id, max(value) AS v FROM runs WHERE id % 2 = 0 GROUP BY ALL), new AS (SELECT reading_date, user_id, max(value) AS v FROM runs WHERE id % 2 = 1 GROUP BY ALL)
@@ -621,8 +614,4 @@ def _(spark, sf):
     return days.select("d", readmodel.stale(F.col("d"), F.lit("2024-01-20 12:00:00").cast("timestamp")).alias("stale"))
 
 
-def _shared(spark) -> str:
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_shared").rstrip("/")
-
-
-from heatledger.plans import products  # noqa: E402, F401 - registers its queries
+from heatledger.plans import products, stateful  # noqa: E402, F401 - register their queries

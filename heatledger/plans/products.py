@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from heatledger.functions import exprs as E
@@ -112,7 +110,7 @@ def _(spark, sf):
 
 @query("candidate_csv_round_trip", GRID + ", cand AS (SELECT product, d, \"row\", col, max(centi) AS centi FROM g WHERE centi >= 6000 GROUP BY ALL) SELECT product, d, round(89.975E0 - \"row\"*0.05E0, 3) AS cell_lat, round(-179.975E0 + col*0.05E0, 3) AS cell_lon, centi/100 AS max_c FROM cand")
 def _(spark, sf):
-    path = f"{C._shared(spark)}/candidates-{uuid.uuid4().hex}"
+    path = tables.scratch(spark, "candidates")
     grid.write_candidates(grid.candidates(grid.cells(C._clean(spark, sf, True)), 60.0), path)
     return grid.read_candidates(spark, path)
 

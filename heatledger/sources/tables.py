@@ -8,6 +8,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, else one below the warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_shared").rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, in whatever file system."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

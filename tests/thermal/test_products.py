@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from heatledger.operators import grid, places, raster, readmodel, worklist
 from heatledger.sources import feed, logs
-from heatledger.streaming import archive as stream
 
 DAY = date(2020, 7, 15)
 
@@ -146,16 +145,3 @@ def test_logs(spark):
     assert [str(r.d) for r in logs.done_days(lines).collect()] == ["2020-01-03"]
     assert logs.calendar(spark, "2020-01-02", "2020-01-01").count() == 0
     assert [str(r.d) for r in logs.pending(logs.calendar(spark, "2020-01-01", "2020-01-04"), logs.succeeded_days(lines), 2).collect()] == ["2020-01-02", "2020-01-03"]
-
-
-def test_streaming_archive_is_idempotent(spark, tmp_path):
-    rows = spark.createDataFrame([(DAY, "T", 1, 1, 50.0, 1.5, 1.5), (date(2019, 1, 1), "T", 1, 1, 55.0, 1.5, 1.5), (DAY, "A", 2, 2, 40.0, 2.5, 2.5)], READING)
-    shots = stream.Snapshots(spark, str(tmp_path / "s"))
-    shots.fold(rows.limit(1), 0)
-    shots.fold(rows, 1)
-    shots.fold(rows, 1)
-    assert sorted((r.tile_lat, r.max_c, str(r.record_date)) for r in shots.read(1).collect()) == [(1, 55.0, "2019-01-01"), (2, 40.0, "2020-07-15")]
-    rows.write.parquet(str(tmp_path / "in"))
-    live = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-    stream.start(live, str(tmp_path / "a"), str(tmp_path / "k")).awaitTermination()
-    assert stream.Snapshots(spark, str(tmp_path / "a")).read(0).count() == 2
