@@ -59,3 +59,11 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
             named_struct('rel', 'http://esipfed.org/ns/fedsearch/1.1/data#', 'href', concat('https://data.nasa.gov/', CAST(k AS STRING), '.hdf'), 'inherited', k % 5 = 0),
             named_struct('rel', 'http://esipfed.org/ns/fedsearch/1.1/s3#', 'href', concat('s3://', CASE WHEN s = 'F' THEN 'lp-prod-public' ELSE 'other' END, '/', CAST(k AS STRING), '.hdf'), 'inherited', false)))""")
     return o.withColumn("e", entry).groupBy("feed").agg(F.to_json(F.struct(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("k", "e"))), lambda x: x["e"]).alias("entry")).alias("feed"))).alias("body"))
+
+
+def fire_texts(refs: DataFrame) -> DataFrame:
+    """Fire swaths (granule_id, content) as JSON texts, one for each granule of a feed; some empty, some cut off, some with lists of different lengths."""
+    k = F.regexp_extract("url", r"(\d+)\.hdf", 1).cast("long")
+    lists = F.expr("to_json(named_struct('FP_latitude', transform(sequence(1L, k % 5), i -> (k*37 + i) % 90 + 0.25D), 'FP_longitude', transform(sequence(1L, k % 5 + CASE WHEN k % 7 = 2 THEN 1L ELSE 0L END), i -> (k*53 + i) % 180 + 0.75D)))")
+    whole = refs.select("granule_id", k.alias("k")).withColumn("whole", lists)
+    return whole.select("granule_id", F.expr("CASE WHEN k % 7 = 0 THEN '{}' WHEN k % 7 = 1 THEN substring(whole, 1, CAST(length(whole) DIV 2 AS INT)) ELSE whole END").alias("content"))

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from heatledger.operators import raster
+from heatledger.plans import bindings as B
 from heatledger.plans import catalogue as C
-from heatledger.plans.catalogue import JUDGED, G, query
 from heatledger.plans import sql as Q
-from heatledger.sources import tables
+from heatledger.plans.catalogue import _FEED, _FIRST, JUDGED, G, query
+from heatledger.sources import feed, granules, tables
+from heatledger import schema as S
 
 
 @query("streaming_barrier", JUDGED + "SELECT d, tile_lat, tile_lon, winner_product, winner_max_c, witness_product, witness_max_c, verdict, ceiling FROM judged")
@@ -54,3 +56,19 @@ def _(spark, sf):
     levels, tiles = raster.changed_levels(state, changed, spark.read.parquet(path))
     sums = levels.groupBy("z", F.shiftright("px", 8).alias("tx"), F.shiftright("py", 8).alias("ty")).agg(F.count(F.lit(1)).alias("pixels"), F.max("rank").alias("max_rank"), F.sum("rank").alias("rank_sum"))
     return tiles.join(sums, ["z", "tx", "ty"]).select("z", F.col("tx").alias("x"), F.col("ty").alias("y"), "created", "pixels", "max_rank", "rank_sum")
+
+
+@query("fire_status_by_granule", Q.ctes(_FEED) + _FIRST + r""", st AS (SELECT *, nullif(regexp_extract(granule_id, '\.(A\d{7}\.\d{4})\.', 1), '') AS stamp FROM firsts),
+fi AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stamp ORDER BY feed, pos) AS n FROM st WHERE stamp IS NOT NULL AND feed < 10000000000) WHERE n = 1),
+fk AS (SELECT granule_id, CAST(regexp_extract(url, '(\d+)\.hdf', 1) AS BIGINT) AS k, stamp FROM fi),
+j AS (SELECT st.granule_id, fk.granule_id AS fire_id, fk.k FROM st LEFT JOIN fk ON st.stamp = fk.stamp WHERE st.feed >= 10000000000)
+SELECT granule_id, fire_id, CASE WHEN k IS NULL OR k % 7 IN (1, 2) THEN 'unavailable' WHEN k % 7 = 0 THEN 'none' ELSE 'applied' END AS status,
+  CASE WHEN k % 7 = 0 THEN 0 WHEN k % 7 NOT IN (1, 2) THEN CAST(k % 5 AS INT) END AS fires,
+  CASE WHEN k % 7 NOT IN (0, 1, 2) THEN (k*37 + 1) % 90 + 0.25E0 END AS first_lat, """ + f"""'{S.QC_NOTE}' || CASE WHEN k IS NULL OR k % 7 IN (1, 2) THEN '{S.FIRE_UNAVAILABLE_NOTE}' ELSE '' END AS qc_note FROM j""")
+def _(spark, sf):
+    """Swaths with what their fire swath could tell: fires, none, or nothing, as it is missing or cannot be read."""
+    refs = feed.first_of_each(feed.parse(B.feeds(spark, sf)))
+    fires = refs.filter("feed < 10000000000")
+    paired = feed.pair_fires(refs.filter("feed >= 10000000000"), fires).select("granule_id", "fire_id")
+    out = granules.with_fire_status(paired, granules.fire_status_of_text(B.fire_texts(fires)))
+    return out.select("granule_id", "fire_id", "status", F.size("fires").alias("fires"), F.get("fires", F.lit(0))["lat"].alias("first_lat"), "qc_note")
