@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from heatledger.operators import raster
+from heatledger import schema as S
+from heatledger.operators import places, publish, raster, reduce
 from heatledger.plans import bindings as B
 from heatledger.plans import catalogue as C
 from heatledger.plans import sql as Q
-from heatledger.plans.catalogue import _FEED, _FIRST, JUDGED, G, query
+from heatledger.plans.catalogue import _FEED, _FIRST, JUDGED, RASTER, TILES, G, P, query
 from heatledger.sources import feed, granules, tables
-from heatledger import schema as S
+from heatledger.sources.versions import Versions
 
 
 @query("streaming_barrier", JUDGED + "SELECT d, tile_lat, tile_lon, winner_product, winner_max_c, witness_product, witness_max_c, verdict, ceiling FROM judged")
@@ -72,3 +73,74 @@ def _(spark, sf):
     paired = feed.pair_fires(refs.filter("feed >= 10000000000"), fires).select("granule_id", "fire_id")
     out = granules.with_fire_status(paired, granules.fire_status_of_text(B.fire_texts(fires)))
     return out.select("granule_id", "fire_id", "status", F.size("fires").alias("fires"), F.get("fires", F.lit(0))["lat"].alias("first_lat"), "qc_note")
+
+
+@query("alltime_published", RASTER + f"SELECT z, px, py, {C._RANK} AS rank FROM levels")
+def _(spark, sf):
+    """Display levels after folding the days up to a date and those after it, the latter twice, into a store of versions; equal to one pyramid of all days."""
+    store, px, days = Versions(spark, tables.scratch(spark, "published")), C._clean(spark, sf, True), C._days(spark, sf).select(*C.READ)
+    for early, day in ((True, "1998-09-30"), (False, "1998-12-31"), (False, "1998-12-31")):
+        when = f"d < {_SPLIT}" if early else f"d >= {_SPLIT}"
+        publish.fold_day(store, raster.base(px.filter(when)), days.filter(when), day)
+    return publish.read(store)[0]
+
+
+_NAMED_ROWS = """, r AS (SELECT d, product, tile_lat, tile_lon, cause, max_c, max_lat, max_lon, CASE WHEN (tile_lat + tile_lon) % 3 = 0 THEN 'kept' END AS place_name, CASE WHEN (tile_lat + tile_lon) % 2 = 0 THEN 'K' END AS country FROM anomalies)"""
+
+
+@query("place_backfill_update", Q.ctes(P, Q.FIRES, Q.VENTS, Q.ROUTED, Q.ANOMALIES, Q.PLACES) + _NAMED_ROWS + f""" SELECT d, product, tile_lat, tile_lon, cause, max_c, coalesce(r.place_name, p.place_name) AS place_name, CASE WHEN p.place_name IS NULL THEN r.country ELSE p.country END AS country
+FROM r LEFT JOIN places p ON r.place_name IS NULL AND cause <> 'volcanic' AND p.place_name IS NOT NULL AND {Q.cell('max_lat')} = p.cell_lat AND {Q.cell('max_lon')} = p.cell_lon""")
+def _(spark, sf):
+    """Stored anomalies, some named before, after an update that names the rest by their cells; the update runs twice."""
+    store = Versions(spark, tables.scratch(spark, "anomalies"))
+    rows = reduce.anomalies(C._routed(spark, sf), "d", "product").drop("source")
+    at = F.col("tile_lat") + F.col("tile_lon")
+    places.put_rows(store, rows.withColumns({"place_name": F.when(at % 3 == 0, "kept"), "country": F.when(at % 2 == 0, "K")}), 8)
+    for _ in range(2):
+        places.name_rows(store, B.places(spark, sf))
+    return places.rows_of(store).select("d", "product", "tile_lat", "tile_lon", "cause", "max_c", "place_name", "country")
+
+
+@query("place_resolver_states", TILES.rstrip() + ",\n" + Q.PLACES + f""", want AS (SELECT DISTINCT {Q.cell('max_lat')} AS cell_lat, {Q.cell('max_lon')} AS cell_lon FROM tiles),
+c AS (SELECT want.*, h.h, n_name, p.cell_lat IS NOT NULL AS held, p.place_name AS cached_name, p.country AS cached_country, h.h % 11 <> 0 AND h.h % 5 <> 1 AS fine_ok, h.h % 5 <> 0 AS fine_named, h.h % 7 <> 0 AS coarse_ok, h.h % 3 <> 0 AS coarse_named
+  FROM want JOIN (SELECT cell_lat, cell_lon, CAST(cell_lat*2 AS BIGINT)*31 + CAST(cell_lon*2 AS BIGINT)*17 AS h FROM want) h USING (cell_lat, cell_lon) JOIN nation ON n_nationkey = h.h % 25
+  LEFT JOIN places p ON p.cell_lat = want.cell_lat AND p.cell_lon = want.cell_lon AND CAST(p.cell_lat*2 AS BIGINT) % 2 = 0)
+SELECT cell_lat, cell_lon, CASE WHEN held THEN 'cached' WHEN NOT fine_ok THEN 'unanswered' WHEN fine_named THEN 'named' WHEN NOT coarse_ok THEN 'unanswered' WHEN coarse_named THEN 'named' ELSE 'nameless' END AS state,
+  CASE WHEN held THEN cached_name WHEN NOT fine_ok THEN NULL WHEN fine_named THEN 'S' || h || ', ' || n_name WHEN coarse_ok AND coarse_named THEN n_name END AS place_name,
+  CASE WHEN held THEN cached_country WHEN NOT fine_ok THEN NULL WHEN fine_named THEN n_name WHEN coarse_ok AND coarse_named THEN n_name END AS country,
+  CASE WHEN held THEN 0 WHEN fine_ok AND NOT fine_named THEN 2 ELSE 1 END AS requests FROM c""")
+def _(spark, sf):
+    """What a run learns of the cells of the day tiles from a cache and captured replies at two levels."""
+    wanted = places.with_cell(C._days(spark, sf)).select("cell_lat", "cell_lon").distinct()
+    cache = B.places(spark, sf).filter("CAST(cell_lat*2 AS BIGINT) % 2 = 0")
+    keyed = wanted.withColumn("h", F.expr("CAST(cell_lat*2 AS BIGINT)*31 + CAST(cell_lon*2 AS BIGINT)*17")).withColumn("nk", F.expr("h % 25"))
+    named = keyed.join(B.table(spark, sf, "nation"), F.col("nk") == F.col("n_nationkey"))
+    fine = named.selectExpr("cell_lat", "cell_lon", "'fine' AS level", "CASE WHEN h % 11 = 0 THEN 503 ELSE 200 END AS status",
+        """CASE h % 5 WHEN 0 THEN '{"error":"none"}' WHEN 1 THEN 'oops' ELSE concat('{"address":{"state":"S', h, '","country":"', n_name, '"}}') END AS payload""")
+    coarse = named.selectExpr("cell_lat", "cell_lon", "'coarse' AS level", "CASE WHEN h % 7 = 0 THEN 429 ELSE 200 END AS status",
+        """CASE WHEN h % 3 = 0 THEN '{"address":{}}' ELSE concat('{"address":{"country":"', n_name, '"}}') END AS payload""")
+    return places.look_up(wanted, cache, fine.unionByName(coarse))
+
+
+@query("grid_scaling_by_granule", Q.ctes(G) + """, gr AS (SELECT DISTINCT product || '.' || d AS granule_id, (month(d)*3 + CASE WHEN product = 'MOD11_L2' THEN 1 ELSE 0 END + year(d)) % 7 AS k FROM pix),
+pr AS (SELECT granule_id, k, CASE k WHEN 0 THEN 'no scale_factor' WHEN 1 THEN 'scale_factor is not 0.02' WHEN 2 THEN 'valid_range is inverted' WHEN 3 THEN 'valid_range has 1 entries' END AS problem FROM gr)
+SELECT pr.granule_id, problem, count(v.c) AS cells, min(v.c) AS low_c, max(v.c) AS high_c FROM pr LEFT JOIN v ON v.product || '.' || v.d = pr.granule_id AND problem IS NULL AND c BETWEEN -150 AND 200 AND (k = 4 OR raw BETWEEN 15000 AND 17000) GROUP BY ALL""")
+def _(spark, sf):
+    """Cells that each daily grid yields by its own scaling and range, or why it is refused."""
+    px = B.pixels(spark, sf, True).withColumn("granule_id", F.concat_ws(".", "product", "d"))
+    k = F.expr("(month(d)*3 + CASE WHEN product = 'MOD11_L2' THEN 1 ELSE 0 END + year(d)) % 7")
+    grids = px.select("granule_id", k.alias("k")).distinct().select(
+        "granule_id", F.expr("CASE k WHEN 0 THEN map('_FillValue', 0.0D) WHEN 1 THEN map('scale_factor', 0.05D) ELSE map('scale_factor', 0.02D) END").alias("attrs"),
+        F.expr("CASE k WHEN 2 THEN array(16500.0D, 14500.0D) WHEN 3 THEN array(7500.0D) WHEN 5 THEN array(15000.0D, 17000.0D) WHEN 6 THEN array(15000.0D, 17000.0D) END").alias("valid_range"))
+    scaling = granules.grid_scaling(grids)
+    kept = granules.decode_grid(px, scaling).groupBy("granule_id").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("low_c"), F.max("c").alias("high_c"))
+    return scaling.join(kept, "granule_id", "left").select("granule_id", "problem", F.coalesce("n", F.lit(0)).alias("cells"), "low_c", "high_c")
+
+
+@query("grid_feed_of_day", Q.ctes(_FEED) + """, g AS (SELECT feed, CAST(pos AS INT) AS pos, k, coalesce(CASE WHEN k % 11 = 0 THEN NULL ELSE CASE WHEN k % 2 = 0 THEN 'MOD11_L2' ELSE 'MYD11_L2' END || '.A2020' || lpad(CAST(k % 366 AS VARCHAR), 3, '0') || '.' || lpad(CAST(k % 24 AS VARCHAR), 2, '0') || '05.061.hdf' END,
+  CASE WHEN k % 22 = 0 THEN NULL ELSE 't' || k END, k || '.hdf') AS granule_id, 'https://data.nasa.gov/' || k || '.hdf' AS url, coalesce(CASE WHEN k % 13 = 0 THEN NULL ELSE '2020-01-01T' || lpad(CAST(k % 24 AS VARCHAR), 2, '0') || ':05:00Z' END, '') AS time_start FROM o WHERE k % 5 <> 0 AND feed % 3 <> 0)
+SELECT feed, arg_min(pos, pos) AS pos, arg_min(granule_id, pos) AS granule_id, arg_min(url, pos) AS url, arg_min(time_start, pos) AS time_start FROM g GROUP BY feed""")
+def _(spark, sf):
+    """The grid of each feed; every third feed has links of another relation that ends alike, and so none."""
+    other = F.when(F.col("feed") % 3 == 0, F.replace("body", F.lit("fedsearch/1.1/data#"), F.lit("fedsearch/2.0/data#"))).otherwise(F.col("body"))
+    return feed.grid_of_day(feed.parse_grids(B.feeds(spark, sf).withColumn("body", other)))

@@ -40,6 +40,27 @@ def parse(feeds: DataFrame) -> DataFrame:
     return out.select("feed", "pos", name.alias("granule_id"), "url", F.coalesce(blank("e.time_start"), blank("e.updated")).alias("observed_at"), F.get(F.filter("e.links", s3_link), F.lit(0))["href"].alias("s3_url")).filter("observed_at IS NOT NULL")
 
 
+#: Fixed relation of a grid's own data link.
+DATA_REL = "http://esipfed.org/ns/fedsearch/1.1/data#"
+
+
+def parse_grids(feeds: DataFrame) -> DataFrame:
+    """Rows (feed, pos, granule_id, url, time_start) of feeds (feed, body) of daily grids: links match the data relation exactly, entries need no time, the first of each id in a feed counts."""
+    body = F.from_json("body", f"feed struct<entry:array<{ENTRY}>>")
+    rows = feeds.select("feed", F.posexplode(body["feed"]["entry"]).alias("pos", "e"))
+    own = lambda link: data_link(link) & (link["rel"] == DATA_REL)
+    out = rows.withColumn("url", F.get(F.filter("e.links", own), F.lit(0))["href"]).filter("url IS NOT NULL")
+    blank = lambda c: F.nullif(F.col(c), F.lit(""))
+    name = F.coalesce(blank("e.producer_granule_id"), blank("e.title"), F.element_at(F.split("url", "/"), -1))
+    refs = out.select("feed", "pos", name.alias("granule_id"), "url", F.coalesce("e.time_start", F.lit("")).alias("time_start"))
+    return refs.withColumn("nth", F.row_number().over(Window.partitionBy("feed", "granule_id").orderBy("pos"))).filter("nth = 1").drop("nth")
+
+
+def grid_of_day(refs: DataFrame) -> DataFrame:
+    """The one grid of each feed, the first listed; feeds of days without a grid have no row."""
+    return refs.groupBy("feed").agg(F.min_by(F.struct("pos", "granule_id", "url", "time_start"), "pos").alias("r")).select("feed", "r.*")
+
+
 def first_of_each(refs: DataFrame, key: str = "granule_id") -> DataFrame:
     """The first row of each key in feed order."""
     order = Window.partitionBy(key).orderBy("feed", "pos")

@@ -34,6 +34,31 @@ def checked_scaling(granules: DataFrame) -> DataFrame:
     return granules.withColumns({"scale": checked, "offset": F.coalesce(F.col("attrs")["add_offset"], F.lit(0.0)), "fill": F.coalesce(F.col("attrs")["_FillValue"], F.lit(0.0))})
 
 
+def grid_scaling(granules: DataFrame) -> DataFrame:
+    """Daily grids (granule_id, attrs map, valid_range array) with scale, offset, fill, the valid counts low and high, and ``problem``: NULL, or why the grid is refused.
+
+    A scale that is absent or unexpected, a range without two ends and an inverted one are refused; a grid without a range accepts all counts.
+    """
+    a, r = F.col("attrs"), F.col("valid_range")
+    scale = a["scale_factor"]
+    far = F.abs(scale - S.SCALE) > 1e-6 * F.greatest(F.abs(scale), F.lit(S.SCALE))
+    low, high = F.get(r, F.lit(0)).cast("long"), F.get(r, F.lit(1)).cast("long")
+    problem = (
+        F.when(scale.isNull(), "no scale_factor").when(far, "scale_factor is not 0.02")
+        .when(F.size(r) != 2, F.concat(F.lit("valid_range has "), F.size(r).cast("string"), F.lit(" entries"))).when(low > high, "valid_range is inverted")
+    )
+    return granules.withColumns({"scale": scale, "offset": F.coalesce(a["add_offset"], F.lit(0.0)), "fill": F.coalesce(a["_FillValue"], F.lit(0.0)).cast("long"), "low": low, "high": high, "problem": problem})
+
+
+def decode_grid(cells: DataFrame, scaling: DataFrame) -> DataFrame:
+    """Cells (granule_id, raw, ...) of accepted grids with a temperature ``c``: no fill, within the grid's own range and within the physical one."""
+    use = scaling.filter("problem IS NULL").select("granule_id", "scale", "offset", "fill", "low", "high")
+    c = F.col("raw") * F.col("scale") + F.col("offset") + S.OFFSET
+    inside = F.coalesce(F.col("raw").between(F.col("low"), F.col("high")), F.lit(True))
+    met = cells.join(use, "granule_id").filter((F.col("raw") != F.col("fill")) & inside).withColumn("c", c)
+    return met.filter(F.col("c").between(S.VALID_MIN, S.VALID_MAX)).drop("scale", "offset", "fill", "low", "high")
+
+
 def view_hours(raw):
     """Hours of a raw view time; 255 is unknown."""
     return F.when(raw != 255, raw * 0.2)
@@ -58,8 +83,8 @@ def _attributes(dataset) -> list[tuple[str, float]]:
     return sorted(found.items())
 
 
-def _pixels(name: str, arrays: dict[str, np.ndarray], attrs: list, schema: pa.Schema, first_row: int = 0, keep=None):
-    """Batches of the pixels of equally shaped arrays in row order, each with the granule's name and attributes; ``first_row`` is the number of the arrays' first row.
+def _pixels(name: str, arrays: dict[str, np.ndarray], attrs: dict, schema: pa.Schema, first_row: int = 0, keep=None):
+    """Batches of the pixels of equally shaped arrays in row order, each with the granule's name and ``attrs``; ``first_row`` is the number of the arrays' first row.
 
     ``keep`` tells which of some pixels, given as a dictionary of columns, are wanted.
     """
@@ -75,8 +100,7 @@ def _pixels(name: str, arrays: dict[str, np.ndarray], attrs: list, schema: pa.Sc
         if not n:
             continue
         known["granule_id"] = pa.repeat(name, n)
-        if "attrs" in schema.names:
-            known["attrs"] = pa.repeat(pa.scalar(attrs, schema.field("attrs").type), n)
+        known |= {k: pa.repeat(pa.scalar(v, schema.field(k).type), n) for k, v in attrs.items() if k in schema.names}
         columns = [known.get(f.name, pa.nulls(n, f.type)) for f in schema]
         yield pa.RecordBatch.from_arrays([(c if isinstance(c, pa.Array) else pa.array(c)).cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
@@ -155,9 +179,9 @@ class FileReader(DataSourceReader):
         schema = self.fields.append(pa.field("error", pa.string())) if self.report else self.fields
         return pa.RecordBatch.from_arrays([pa.array([known.get(f.name)], f.type) for f in schema], schema=schema)
 
-    def pixels(self, name: str, arrays: dict[str, np.ndarray], attrs: list, first_row: int):
+    def pixels(self, name: str, arrays: dict[str, np.ndarray], attrs: list, first_row: int, valid_range: list | None = None):
         schema = self.fields.append(pa.field("error", pa.string())) if self.report else self.fields
-        return _pixels(name, arrays, attrs, schema, first_row, self.wanted if self.filters else None)
+        return _pixels(name, arrays, {"attrs": attrs, "valid_range": valid_range}, schema, first_row, self.wanted if self.filters else None)
 
     def rows_of(self, file, names: dict[str, str], k: int, name: str, shape: tuple[int, int] | None = None) -> tuple[int, dict[str, np.ndarray]]:
         """The first row of split ``k`` and its rows of equally shaped datasets; only these are read."""
@@ -220,7 +244,7 @@ class LocationReader(FileReader):
 class GridReader(FileReader):
     """Cells of daily grids; without a view time in the file it is null. A split is 240 of the 3,600 rows by default."""
 
-    fields = pa.schema([("granule_id", pa.string()), ("row", pa.int32()), ("col", pa.int32()), ("raw", pa.int32()), ("qc", pa.int32()), ("view", pa.int32()), _ATTRS])
+    fields = pa.schema([("granule_id", pa.string()), ("row", pa.int32()), ("col", pa.int32()), ("raw", pa.int32()), ("qc", pa.int32()), ("view", pa.int32()), _ATTRS, ("valid_range", pa.list_(pa.float64()))])
     compared = ("row", "col", "raw", "qc")
     shape = GRID_SHAPE
     splits = 15
@@ -233,7 +257,9 @@ class GridReader(FileReader):
         _present(file, name, GRID)
         names = {"raw": GRID[0], "qc": GRID[1]} | ({"view": VIEW_TIME} if VIEW_TIME in file.datasets() else {})
         first, arrays = self.rows_of(file, names, k, name, self.shape)
-        return self.pixels(name, arrays, _attributes(file.select(GRID[0])), first)
+        declared = file.select(GRID[0]).attributes().get("valid_range")
+        span = None if declared is None else [float(x) for x in np.asarray(declared).reshape(-1)]
+        return self.pixels(name, arrays, _attributes(file.select(GRID[0])), first, span)
 
 
 def fire_pixels(file, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -315,7 +341,7 @@ class LocationSource(SwathSource):
 class GridSource(SwathSource):
     """Daily grids, as format ``daily_grid``."""
 
-    reads, ddl = GridReader, "granule_id string, row int, col int, raw int, qc int, view int, attrs map<string, double>"
+    reads, ddl = GridReader, "granule_id string, row int, col int, raw int, qc int, view int, attrs map<string, double>, valid_range array<double>"
 
     @classmethod
     def name(cls):

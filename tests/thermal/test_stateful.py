@@ -2,10 +2,13 @@
 
 import os
 from datetime import date
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from heatledger.operators import archive, corroborate, raster
+from heatledger.operators import archive, corroborate, places, publish, raster
+from heatledger.sources import granules as G
 from heatledger.sources.versions import Versions
 from heatledger.streaming import archive as stream
 from heatledger.streaming import barrier
@@ -128,3 +131,99 @@ def test_only_blocks_of_changed_tiles_are_read(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)parquet"):
         stored.agg({"rank": "max"}).collect()
     assert raster.changed_levels(state, changed.filter("tx < 0"), stored)[1].collect() == []
+
+
+def test_a_stop_leaves_a_whole_version(spark, tmp_path):
+    """The day fails after each of its steps; readers see the day before until the pointer is there, and the day run again gives the same as without a stop."""
+    pixels = "px int, py int, centi int"
+    first = spark.createDataFrame([(5, 5, 4100), (300, 5, 4200), (20000, 9000, 5000)], pixels)
+    second = spark.createDataFrame([(5, 5, 4000), (301, 5, 7700), (9000, 9000, 5200)], pixels)
+    weather = [spark.createDataFrame([reading("T", 1, 1, 50 + n, date(2020, 1, 1 + n)), reading("A", 2, n, 41)], READING) for n in (0, 1)]
+
+    def shown(store):
+        levels, state, rows, manifest = publish.read(store)
+        return sorted(map(tuple, levels.select("z", "px", "py", "rank").collect())), sorted(map(tuple, state.collect())), sorted(map(tuple, rows.collect())), manifest
+
+    whole = Versions(spark, str(tmp_path / "whole"))
+    publish.fold_day(whole, first, weather[0], "2020-01-02")
+    before = shown(whole)
+    publish.fold_day(whole, second, weather[1], "2020-01-01")
+    after = shown(whole)
+    state = first.unionByName(second).groupBy("px", "py").agg(F.max("centi").alias("centi"))
+    full = raster.ranks(raster.pyramid(state))
+    assert after[0] == sorted((r.z, r.px, r.py, r["rank"]) for r in full.collect()) and after[1] == sorted(map(tuple, state.collect()))
+    tiles = len({(z, x >> 8, y >> 8) for z, x, y, _ in after[0]})
+    assert after[3] == {"since": "2020-01-01", "through": "2020-01-02", "tile_count": tiles}
+
+    class Stop(Exception):
+        pass
+
+    for step in ("levels", "state", "rows"):
+        store = Versions(spark, str(tmp_path / step))
+        publish.fold_day(store, first, weather[0], "2020-01-02")
+
+        def stop(done, at=step):
+            if done == at:
+                raise Stop
+
+        with pytest.raises(Stop):
+            publish.fold_day(store, second, weather[1], "2020-01-01", stop)
+        assert shown(store) == before
+        publish.fold_day(store, second, weather[1], "2020-01-01")
+        assert shown(store) == after
+        store.clean(keep=1)  # also what the stopped run wrote
+        assert shown(store) == after and len(store._names("data")) <= 5
+    publish.fold_day(whole, second, weather[1], "2020-01-01")  # a day again changes nothing
+    assert shown(whole) == after
+    blocks = whole.content(1)["levels"]
+    assert [k for k, v in whole.content(2)["levels"].items() if blocks[k] != v] == []
+
+
+def test_update_of_names_leaves_other_files(spark, tmp_path):
+    row = "tile_lat int, tile_lon int, max_c double, max_lat double, max_lon double, cause string, place_name string, country string"
+    rows = [(lat, 10, 50.0, lat + 0.1, 10.1, cause, name, None) for lat in range(0, 80, 2) for cause, name in (("wildfire", None), ("volcanic", None), ("wildfire", "kept"))]
+    store = Versions(spark, str(tmp_path / "t"))
+    places.put_rows(store, spark.createDataFrame(rows, row), 8)
+    files = store.current()[1]["files"]
+    known = spark.createDataFrame([(Decimal("4.0"), Decimal("10.0"), "Here", "C"), (Decimal("6.0"), Decimal("10.0"), None, "C"), (Decimal("-50.0"), Decimal("10.0"), "Far", "C")], "cell_lat decimal(5,1), cell_lon decimal(5,1), place_name string, country string")
+    assert places.name_rows(store, known) == 1
+    after = store.current()[1]["files"]
+    assert len(set(files) & set(after)) == len(files) - 1
+    got = {(r.tile_lat, r.cause, r.place_name, r.country) for r in places.rows_of(store).filter("place_name IS NOT NULL AND place_name <> 'kept' OR country IS NOT NULL").collect()}
+    assert got == {(4, "wildfire", "Here", "C")} and places.rows_of(store).count() == len(rows)
+    assert places.name_rows(store, known) == 0 and store.current()[1]["files"] == after and store.current()[0] == 1
+
+
+def test_answers_are_kept_and_silence_is_not(spark, tmp_path):
+    cell = lambda i: (Decimal(f"{i}.0"), Decimal("10.0"))
+    key = "cell_lat decimal(5,1), cell_lon decimal(5,1)"
+    wanted = spark.createDataFrame([cell(i) for i in range(7)] + [cell(0)], key)
+    named, empty = '{"address":{"state":"S","country":"C"}}', '{"error":"x"}'
+    replies = spark.createDataFrame([
+        (*cell(0), "fine", 200, named), (*cell(1), "fine", 200, empty), (*cell(1), "coarse", 200, '{"address":{"country":"C"}}'), (*cell(2), "fine", 200, empty), (*cell(2), "coarse", 200, "[]"),
+        (*cell(3), "fine", 503, named), (*cell(4), "fine", 200, "<html>"), (*cell(5), "fine", 200, empty), (*cell(5), "coarse", 429, named)], key + ", level string, status int, payload string")
+    store = Versions(spark, str(tmp_path / "c"))
+
+    def ask():
+        out = places.look_up(wanted, places.cached(store), replies)
+        return out, {int(r.cell_lat): (r.state, r.place_name, r.requests) for r in out.collect()}
+
+    out, found = ask()
+    assert found == {0: ("named", "S, C", 1), 1: ("named", "C", 2), 2: ("nameless", None, 2), 3: ("unanswered", None, 1), 4: ("unanswered", None, 1), 5: ("unanswered", None, 2), 6: ("unanswered", None, 1)}
+    places.remember(store, out)
+    first = store.current()[1]["answers"]
+    again, found = ask()
+    assert {k: v[0] for k, v in found.items()} == {0: "cached", 1: "cached", 2: "cached", 3: "unanswered", 4: "unanswered", 5: "unanswered", 6: "unanswered"} and found[2] == ("cached", None, 0)
+    places.remember(store, again)
+    assert store.current()[1]["answers"][:1] == first
+
+
+def test_scaling_of_grids(spark):
+    grids = [("ok", {"scale_factor": 0.02}, [7500.0, 65535.0]), ("free", {"scale_factor": 0.02, "_FillValue": 9.0, "add_offset": 1.0}, None), ("none", {}, None), ("far", {"scale_factor": 0.021}, None), ("short", {"scale_factor": 0.02}, [1.0]), ("turned", {"scale_factor": 0.02}, [9.0, 1.0])]
+    scaling = G.grid_scaling(spark.createDataFrame(grids, "granule_id string, attrs map<string, double>, valid_range array<double>"))
+    assert {r.granule_id: r.problem for r in scaling.collect()} == {"ok": None, "free": None, "none": "no scale_factor", "far": "scale_factor is not 0.02", "short": "valid_range has 1 entries", "turned": "valid_range is inverted"}
+    cells = spark.createDataFrame([(g, raw) for g, _, _ in grids for raw in (0, 9, 7499, 7500, 15000, 65535)], "granule_id string, raw int")
+    kept = {}
+    for r in G.decode_grid(cells, scaling).collect():
+        kept.setdefault(r.granule_id, []).append((r.raw, round(r.c, 2)))
+    assert {k: sorted(v) for k, v in kept.items()} == {"ok": [(7500, -123.15), (15000, 26.85)], "free": [(7499, -122.17), (7500, -122.15), (15000, 27.85)]}
