@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Sequence
 
 import numpy as np
+import xxhash
 
 #: Perfect difference sets: every residue of the period is a difference of two members.
 COVERS = {
@@ -18,10 +19,7 @@ COVERS = {
     73: (0, 1, 3, 7, 15, 31, 36, 54, 63),
     91: (0, 1, 3, 9, 27, 49, 56, 61, 77, 81),
 }
-#: Names are values of polynomials in these two numbers modulo a Mersenne prime.
-PRIME = (1 << 31) - 1
-BASES = (1_236_890_717, 764_913_419)
-_powers: dict[tuple[int, int], np.ndarray] = {}
+MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
 def period_for(length: int) -> int:
@@ -29,54 +27,36 @@ def period_for(length: int) -> int:
     return max([v for v in COVERS if 4 * v - 1 <= length], default=3)
 
 
-def folded(x: np.ndarray) -> np.ndarray:
-    """x modulo the prime, for x below 2**62."""
-    p, bits = np.uint64(PRIME), np.uint64(31)
-    x = (x & p) + (x >> bits)
-    x = (x & p) + (x >> bits)
-    return np.where(x >= p, x - p, x)
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo the prime; kept for the next call."""
-    size = 1 << max(16, (n - 1).bit_length())
-    out = _powers.get((base, size))
-    if out is None:
-        out = np.ones(1, np.uint64)
-        while len(out) < size:
-            out = np.concatenate((out, folded(out * np.uint64(pow(base, len(out), PRIME)))))
-        if size <= 1 << 22:
-            _powers[base, size] = out
-    return out[:n]
-
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64 bits whose high bits depend on all bits."""
+    h = np.uint64(32)
+    x = (x ^ (x >> h)) * MIX
+    return (x ^ (x >> h)) * MIX
 
-class Namer:
-    """Names of 62 bits of any substrings of some bytes, in constant time each. Equal bytes have equal names; the reverse is very likely only."""
 
-    def __init__(self, data: np.ndarray):
-        if len(data) > 1 << 23:
-            raise ValueError("sums of so many bytes do not fit into 62 bits")
-        self.sums = []
-        for base in BASES:
-            sums = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(base, len(data)), out=sums[1:])
-            self.sums.append(sums)
+def byte_names(data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """64-bit names of data[start : start + size] for each start: words of eight bytes, taken in one after the other by products and shifts.
 
-    def at(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Name of data[start:end] for each pair."""
-        high, low = (folded(folded(s[ends] - s[starts]) * powers(pow(b, -1, PRIME), len(s))[starts]) for b, s in zip(BASES, self.sums, strict=True))
-        return (high << np.uint64(31)) | low
+    Equal bytes have equal names; the reverse is very likely only.
+    """
+    out = np.full(len(starts), size, np.uint64)
+    width = min(size, 8)
+    # eight bytes from every position on; the last word overlaps the one before where the size is no multiple of eight
+    words = np.ndarray((max(0, len(data) - 7),), "<u8", np.ascontiguousarray(data), strides=(1,)) if width == 8 else data
+    for at in [*range(0, size - width, width), size - width] if width == 8 else range(size):
+        out = (out ^ words[starts + at]) * MIX
+        out ^= out >> np.uint64(32)
+    return scrambled(out)
 
 
-def scrambled(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64 bits whose high bits depend on all bits."""
-    m, h = np.uint64(0xD6E8FEB86659FD93), np.uint64(32)
-    x = (x ^ (x >> h)) * m
-    return (x ^ (x >> h)) * m
+def digests(data: np.ndarray, starts: Sequence[int], ends: Sequence[int], salts: Sequence[int]) -> np.ndarray:
+    """Cryptographic digests of 16 bytes of data[start:end] and a salt, a row of two longs each; equal ones stand for equal bytes."""
+    view = memoryview(np.ascontiguousarray(data))
+    every = b"".join(hashlib.blake2b(view[a:b], digest_size=16, salt=s.to_bytes(8, "little")).digest() for a, b, s in zip(starts, ends, salts, strict=True))
+    return np.frombuffer(every, np.int64).reshape(-1, 2)
 
 
-def digests(data: np.ndarray, starts: Sequence[int], ends: Sequence[int], salts: Sequence[int], size: int = 16) -> np.ndarray:
-    """A cryptographic digest of ``size`` bytes, 8 or 16, of data[start:end] and a salt, a row for each; equal ones of 16 stand for equal bytes."""
+def sketches(data: np.ndarray, starts: Sequence[int], ends: Sequence[int], salts: Sequence[int]) -> np.ndarray:
+    """Hashes of 64 bits of data[start:end] and a salt: equal bytes have equal ones, the reverse is very likely only."""
     view = memoryview(np.ascontiguousarray(data))
-    every = b"".join(hashlib.blake2b(view[a:b], digest_size=size, salt=s.to_bytes(8, "little")).digest() for a, b, s in zip(starts, ends, salts, strict=True))
-    return np.frombuffer(every, np.int64).reshape(-1, size // 8)
+    return np.array([xxhash.xxh3_64_intdigest(view[a:b], s) for a, b, s in zip(starts, ends, salts, strict=True)], np.uint64).view(np.int64)

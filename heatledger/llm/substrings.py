@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from heatledger.llm.blocks import SENT, SENT_DDL, answer, batch_of, bundle, messages, tallied, totals, unpack_table, with_answers
 from heatledger.llm.common import batches, byte_slices, discard, materialise
-from heatledger.llm.cover import COVERS, Namer, digests, period_for, scrambled
+from heatledger.llm.cover import COVERS, byte_names, digests, period_for, scrambled, sketches
 
 #: Bits of the sieve's names; other than equal ones meet with a chance of the number of samples in 2**48.
 SIEVE = 48
@@ -100,7 +100,7 @@ def first_names(pieces: pa.Table, period: int) -> Samples:
         local = at - starts[row] + offsets[row]
         found[0].append(first + row)
         found[1].append(at)
-        found[2].append(Namer(data).at(local, local + period))
+        found[2].append(byte_names(data, local, period))
     return Samples(*(np.concatenate(x) for x in found))
 
 
@@ -166,8 +166,8 @@ def _send(period: int, order: int, parts: int):
     return run
 
 
-def _runs_of(block: int, pieces: pa.Table, piece: np.ndarray, a: np.ndarray, lo: np.ndarray, hi: np.ndarray, multi: np.ndarray, near: tuple[np.ndarray, np.ndarray], salt: np.ndarray, length: int):
-    """Batches of rows of ``RUNS`` for runs given by piece, in order of pieces; ``near`` and the windows are positions in texts."""
+def _runs_of(block: int, pieces: pa.Table, piece: np.ndarray, a: np.ndarray, lo: np.ndarray, hi: np.ndarray, multi: np.ndarray, near: tuple[np.ndarray, np.ndarray] | None, salt: np.ndarray, length: int):
+    """Batches of rows of ``RUNS`` for runs given by piece, in order of pieces; ``near``, none for single windows, and the windows are positions in texts."""
     begin = pieces.column("own_from").to_numpy()
     texts = pieces.column("t").combine_chunks()
     for first, data, offsets in byte_slices(pieces.column("data").combine_chunks(), 2 << 20):
@@ -175,9 +175,10 @@ def _runs_of(block: int, pieces: pa.Table, piece: np.ndarray, a: np.ndarray, lo:
         if f == e:
             continue
         shift = offsets[piece[f:e] - first] - begin[piece[f:e]]
-        common = digests(data, (near[0][f:e] + shift).tolist(), (near[1][f:e] + shift).tolist(), salt[f:e].tolist(), 8)
-        full = digests(data, (lo[f:e] + shift).tolist(), (hi[f:e] + length + shift).tolist(), (salt[f:e] * 65536 + near[0][f:e] - lo[f:e]).tolist())
-        columns = [np.full(e - f, block), piece[f:e].astype(np.int32), texts.take(pa.array(piece[f:e])), a[f:e], lo[f:e], hi[f:e], multi[f:e], common[:, 0], full[:, 0], full[:, 1]]
+        # what is alike for single windows needs no name besides the full one
+        common = sketches(data, (near[0][f:e] + shift).tolist(), (near[1][f:e] + shift).tolist(), salt[f:e].tolist()) if near is not None else np.zeros(e - f, np.int64)
+        full = digests(data, (lo[f:e] + shift).tolist(), (hi[f:e] + length + shift).tolist(), (salt[f:e] * 65536 + (near[0][f:e] - lo[f:e] if near is not None else 0)).tolist())
+        columns = [np.full(e - f, block), piece[f:e].astype(np.int32), texts.take(pa.array(piece[f:e])), a[f:e], lo[f:e], hi[f:e], multi[f:e], common, full[:, 0], full[:, 1]]
         yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, g.type) for c, g in zip(columns, RUNS, strict=True)], schema=RUNS)
 
 
@@ -220,7 +221,7 @@ def _cut(length: int, size: int):
                 lo, hi = np.maximum(col["lo"][at], last - size + 1), np.minimum(col["hi"][at], last)
                 # single windows are alike whatever sample led to them
                 salt = j + 1 if size > 1 else np.zeros(len(at), np.int64)
-                yield from _runs_of(batch.column(0)[k].as_py(), pieces, col["i"][at], col["a"][at], lo, hi, col["multi"][at], (last, last - size + 1 + length), salt, length)
+                yield from _runs_of(batch.column(0)[k].as_py(), pieces, col["i"][at], col["a"][at], lo, hi, col["multi"][at], (last, last - size + 1 + length) if size > 1 else None, salt, length)
 
     return run
 
@@ -232,13 +233,14 @@ def sift(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     name has several full ones of which some run stands for itself alone.
     """
     names = ["near", "full1", "full2"]
-    place = F.struct("block", "i", "a", "lo", "hi")
-    each = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.max("multi").alias("multi"), F.min(place).alias("place"))
+    # one run of each, that of the smallest hash: in numbers, so that groups are hashed and not sorted
+    place, one = ("block", "i", "a", "lo", "hi"), F.xxhash64("block", "i", "a", "lo", "hi")
+    each = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.max("multi").alias("multi"), *[F.min_by(c, one).alias(c) for c in place])
     each = materialise(each.withColumn("multi", F.col("multi") | (F.col("n") > 1)), "substring-names")
     repeated = each.filter("n > 1").select(*names)
     spans = rows.filter("NOT multi").join(repeated, names).select("t", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
     mixed = each.groupBy("near").agg(F.count(F.lit(1)).alias("m"), F.max(~F.col("multi")).alias("alone")).filter("m > 1 AND alone")
-    onward = each.join(mixed.select("near"), ["near"], "left_semi").select("place.*", "multi")
+    onward = each.join(mixed.select("near"), ["near"], "left_semi").select(*place, "multi")
     spans, onward = materialise(spans, "substring-spans"), materialise(onward, "substring-runs")
     discard(each)
     return spans, onward
@@ -292,8 +294,10 @@ def repeated_spans(rows: DataFrame, length: int = 400, block_bytes: int = 8 << 2
     found.append(spans)
     windows = materialise(_again(blocks, onward).mapInArrow(_cut(length, 1), RUNS_DDL), "substring-windows")
     discard(shorter, onward, blocks)
-    place = F.struct("t", "lo")  # a window may come from several samples
-    keys = windows.groupBy("full1", "full2").agg((F.max("multi") | (F.min(place) != F.max(place))).alias("again")).filter("again").select("full1", "full2")
+    # a window may come from several samples; two places have different hashes
+    places = F.xxhash64("t", "lo"), F.xxhash64("lo", "t")
+    keys = windows.groupBy("full1", "full2").agg(F.max("multi").alias("multi"), *[f(p).alias(f"{n}{i}") for i, p in enumerate(places) for n, f in (("low", F.min), ("high", F.max))])
+    keys = keys.filter("multi OR low0 <> high0 OR low1 <> high1").select("full1", "full2")
     spans = windows.filter("NOT multi").join(keys, ["full1", "full2"]).select("t", F.col("lo").alias("s"), (F.col("lo") + length).alias("e")).distinct()
     found.append(materialise(spans, "substring-spans"))
     discard(windows)

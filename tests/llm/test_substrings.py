@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 from helpers import SCHEMA, awkward
 
-from heatledger.llm.cover import COVERS, Namer, digests, period_for
+from heatledger.llm.cover import COVERS, byte_names, digests, period_for
 from heatledger.llm.substrings import levels, remove_repeats
 
 
@@ -62,8 +62,11 @@ def test_covers_and_names():
     assert [(period_for(n), levels(n, period_for(n))) for n in (400, 50, 20, 11, 6)] == [(91, 1), (7, 1), (3, 1), (3, 1), (3, 0)]
     data = np.random.default_rng(3).integers(97, 100, 3000).astype(np.uint8)
     data[2000:2600] = data[100:700]
-    names = Namer(data).at(np.array([2000, 100, 5]), np.array([2500, 600, 505]))
-    assert names[0] == names[1] != names[2]
+    for size in (1, 3, 7, 8, 9, 16, 91, 500):
+        every = {}
+        for at, name in enumerate(byte_names(data, np.arange(len(data) - size + 1), size).tolist()):
+            assert every.setdefault(name, bytes(data[at : at + size])) == bytes(data[at : at + size])
+        assert len(every) == len({bytes(data[i : i + size]) for i in range(len(data) - size + 1)})
     rows = digests(data, [2000, 100, 100, 101], [2500, 600, 600, 601], [7, 7, 8, 7]).tolist()
     assert rows[0] == rows[1] and len({tuple(r) for r in rows}) == 3
 
