@@ -62,11 +62,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def remove(spark: SparkSession, name: str) -> None:
+    """Delete a path of the shared folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete what ``materialise`` wrote for frames that nothing reads any more."""
     for df in frames:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, df.stored_at)
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:

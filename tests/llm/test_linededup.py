@@ -1,9 +1,11 @@
 import hashlib
+import os
 import random
 import re
 
 from helpers import SCHEMA, awkward, frame
 
+from heatledger.llm import linededup
 from heatledger.llm.linededup import dedup_lines
 
 
@@ -52,3 +54,37 @@ def test_empty_table(spark):
 
 def test_digest_is_of_utf8(spark):
     assert hashlib.sha256("é".encode()).hexdigest() == frame(spark, ["é"]).selectExpr("sha2(cast(text as binary), 256) s").first().s
+
+
+def test_runs_are_read_as_they_lie(spark):
+    """A batch meets the runs in merge joins that neither shuffle nor sort them, with and without adaptive execution and whatever broadcasts are allowed."""
+    runs = linededup.Runs(spark, fanout=2)
+    row = "h1 long, h2 long, owner long"
+    keys = [(i * 7919 % 1009, i * 104729 % 997, i) for i in range(3000)]
+    try:
+        for part in (keys[:1000], keys[1000:2000]):
+            runs.add(spark.createDataFrame(part, row))
+        for adaptive in ("true", "false"):
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            with linededup.sorted_buckets(spark):
+                df = runs.unseen(spark.createDataFrame(keys[1500:], row))
+                df.collect()
+                plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            assert plan.count("SortMergeJoin") == 2 and plan.count("Bucketed: true") == 2
+            assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1  # the batch alone
+            assert sorted(map(tuple, df.collect())) == sorted(keys[2000:])
+        runs.compact()
+        assert [len(level) for level in runs.levels] == [0, 1] and len(runs.paths) == 3
+        assert spark.table(runs.levels[1][0]).count() == 2000
+        assert len({p for p in runs.paths.values() if os.path.exists(p)}) == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        runs.drop()
+    assert not any(os.path.exists(p) for p in runs.paths.values())
+
+
+def test_more_batches_where_one_would_grow(spark):
+    rng = random.Random(8)
+    texts = ["\n".join(f"a line that some share {rng.randrange(40)}" for _ in range(5)) for _ in range(40)]
+    docs = frame(spark, texts)
+    assert result(dedup_lines(docs, n_batches=1, batch_lines=30)) == brute(list(enumerate(texts)))
