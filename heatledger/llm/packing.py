@@ -12,7 +12,7 @@ spreads evenly over all shards, and each shard is packed by itself in a task. On
 hashes and lengths are shuffled. Two pieces of a cluster in different shards are in different bins anyway.
 
 Defined results: null or empty texts have the end token alone; a null source conflicts with no other piece;
-a null id is packed like any other and reported as null; rows that repeat an id are packed each; an
+a null id is packed like any other and reported as null, near copies with null ids conflict like others; rows that repeat an id are packed each; an
 empty table gives no bins; only named columns are read.
 """
 
@@ -114,19 +114,24 @@ def text_cluster(text: Column) -> Column:
 def pack(rows: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows: int = 2048) -> DataFrame:
     """Pieces with their bins for ``rows`` (doc_id, source, cluster, copy, n): columns of ``PIECE``."""
     shards = max(1, -(-rows.count() // shard_rows))
-    # rows without an id are told apart by their place in the table, so that they make no shard large
-    shard = F.pmod(F.xxhash64(F.coalesce("doc_id", F.monotonically_increasing_id()), "n"), F.lit(shards)).cast("long")
-    return rows.withColumn("shard", shard).groupBy("shard").applyInArrow(_pack(capacity, per_source), PIECE)
+    # rows without an id, and those that repeat one, are told apart by their place in the table, so that they make no shard large
+    again = rows.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1 AND _id IS NOT NULL").select("_id")
+    marked = rows.join(again, F.col("doc_id") == F.col("_id"), "left")
+    place = F.when(F.col("doc_id").isNull() | F.col("_id").isNotNull(), F.monotonically_increasing_id()).otherwise(0)
+    shard = F.pmod(F.xxhash64("doc_id", "n", place), F.lit(shards)).cast("long")
+    return marked.withColumn("shard", shard).drop("_id").groupBy("shard").applyInArrow(_pack(capacity, per_source), PIECE)
 
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows: int = 2048) -> DataFrame:
     """``pack`` for documents: whole texts counted in words, clusters by SimHash (null for documents without near duplicates), copies by text."""
     text = F.col("text")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text_cluster(text).alias("copy"), n_tokens(text).alias("n"))
-    marks = near_duplicates(docs.filter(text_cluster(text).isNotNull())).filter("d IS NOT NULL").groupBy("d").agg(F.min("component_id").alias("component"))
+    # a document without an id takes part in clusters under a name made of its text, below all ids one meets
+    name = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text).bitwiseOR(F.lit(-(1 << 63))))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), name.alias("name"), F.col("source").cast("string").alias("source"), text_cluster(text).alias("copy"), n_tokens(text).alias("n"))
+    marks = near_duplicates(docs.select(name.alias("doc_id"), "text").filter(text_cluster(text).isNotNull())).groupBy("d").agg(F.min("component_id").alias("component"))
     shared = marks.filter("component <> d")
     shared = shared.unionByName(shared.select(F.col("component").alias("d"), "component")).groupBy("d").agg(F.min("component").alias("component"))
-    near = rows.join(shared, F.col("doc_id") == F.col("d"), "left")
+    near = rows.join(shared, F.col("name") == F.col("d"), "left")
     near = near.select("doc_id", "source", F.when(F.col("copy").isNotNull(), F.col("component")).alias("cluster"), "copy", "n")
     return pack(materialise(near, "lengths"), capacity, per_source, shard_rows)
 

@@ -3,6 +3,7 @@ import random
 from helpers import SCHEMA, awkward
 
 from heatledger.llm import packing
+from heatledger.llm.simhash import fingerprint
 
 
 def brute(lengths, sources, clusters, capacity, per_source):
@@ -78,3 +79,35 @@ def test_near_copies_never_share_a_bin(spark):
     got = {p.doc_id: p for p in packing.pack_documents(docs, 2048).collect()}
     assert got[0].bin_id != got[1].bin_id
     assert [got[i].cluster for i in range(4)] == [0, 0, None, None]
+
+
+def test_clusters_of_documents_against_brute_force(spark):
+    """Clusters are the components of fingerprints that more than one document has a part in, also of documents without an id; equal texts conflict besides."""
+    rng = random.Random(7)
+    base = [[rng.choice("abcdefghijklmnopqrst") * 3 + str(rng.randrange(900)) for _ in range(200)] for _ in range(4)]
+    rows = []
+    for k, words in enumerate(base):
+        for c in range(4):
+            copy = list(words)
+            copy[100] = f"edit{c}"
+            rows.append((None if (k, c) in ((0, 1), (0, 2), (1, 3)) else 10 * k + c, " ".join(copy)))
+    rows += [(90, "alone in its kind of text here"), (None, "alone too but without an id"), (91, ""), (92, None)]
+    docs = spark.createDataFrame([(d, t, "en", f"s{i}", 0) for i, (d, t) in enumerate(rows)], SCHEMA)
+    pieces = {p.source: p for p in packing.pack_documents(docs, 4096, 50).collect()}
+    prints = [fingerprint((t or "").encode()) for _, t in rows]
+    group = list(range(len(rows)))
+    for _ in rows:
+        group = [min(group[j] for j in range(len(rows)) if (prints[i] ^ prints[j]).bit_count() <= 4 and (rows[i][1] or "").strip() and (rows[j][1] or "").strip()) if (rows[i][1] or "").strip() else i for i in range(len(rows))]
+    for i in range(len(rows)):
+        mates = [j for j in range(len(rows)) if group[j] == group[i]]
+        assert (pieces[f"s{i}"].cluster is not None) == (len(mates) > 1)
+        for j in mates:
+            assert pieces[f"s{i}"].cluster == pieces[f"s{j}"].cluster
+            assert i == j or pieces[f"s{i}"].bin_id != pieces[f"s{j}"].bin_id
+    assert sum(len([j for j in range(len(rows)) if group[j] == group[i]]) > 1 for i in range(len(rows))) >= 12
+
+
+def test_rows_that_repeat_an_id_fill_many_shards(spark):
+    docs = spark.range(400).selectExpr("CAST(5 AS LONG) AS doc_id", "'src' AS source", "CAST(NULL AS LONG) AS cluster", "CAST(NULL AS LONG) AS copy", "CAST(7 AS LONG) AS n")
+    pieces = packing.pack(docs, 100, 50, 20).collect()
+    assert len(pieces) == 400 and len({p.bin_id // packing.STRIDE for p in pieces}) > 15
