@@ -1,7 +1,7 @@
 """The corpus pipeline: stages over ``documents``, each written and read again before the next.
 
 Every stage works on all rows its predecessor kept. Rows with a null ``doc_id`` go through unless a stage
-rejects their text; repeated rows count as one document. All stages but the last return the columns of ``documents``.
+rejects their text; of rows that repeat an id the near-duplicate stage keeps one. All stages but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -24,12 +24,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return out.select(*docs.columns)
 
 
+def one_row_an_id(docs: DataFrame) -> DataFrame:
+    """Of rows that repeat an id that with the smallest text (of equal ones the smallest of the other columns); rows without an id all stay."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    many = docs.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id")
+    many = materialise(many, "repeated-ids")
+    best = docs.join(many, docs["doc_id"] == many["_id"], "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *rest)).alias("r"))
+    return docs.join(many, docs["doc_id"] == many["_id"], "left_anti").unionByName(best.select("doc_id", "r.*").select(*docs.columns))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component, that with the smallest id."""
-    keep = simhash.near_duplicates(docs).filter(F.col("d").isNull() | (F.col("d") == F.col("component_id")))
-    first = materialise(keep.select(F.col("d").alias("_sh_id")).filter("_sh_id IS NOT NULL").distinct(), "near-duplicate-firsts")
-    named = docs.join(first, F.col("doc_id") == F.col("_sh_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    docs = one_row_an_id(docs)
+    keep = simhash.near_duplicates(docs).filter("d = component_id")
+    first = materialise(keep.select(F.col("d").alias("_sh_id")), "near-duplicate-firsts")
+    return docs.join(first, docs["doc_id"] == first["_sh_id"], "left_semi").unionByName(docs.filter("doc_id IS NULL"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
