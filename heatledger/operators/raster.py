@@ -5,7 +5,7 @@ from __future__ import annotations
 import struct
 import zlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heatledger import schema as S
@@ -177,6 +177,15 @@ def read_tiles(images: DataFrame) -> DataFrame:
     return images.select("z", "x", "y", "image").mapInArrow(decode, "z int, px int, py int, rank int")
 
 
+def object_path(kind: str, z: Column, x: Column, y: Column, day: Column | None = None) -> Column:
+    """Where an object lies: a day's tile, a tile of all time or the state of a base tile (``day``, ``alltime``, ``state``)."""
+    if kind == "day":
+        return F.concat_ws("/", F.date_format(day, "yyyy-MM-dd"), z, x, F.concat(y.cast("string"), F.lit(".png")))
+    if kind == "alltime":
+        return F.concat_ws("/", F.lit("alltime"), z, x, F.concat(y.cast("string"), F.lit(".png")))
+    return F.concat_ws("/", F.lit("alltime-state"), x, F.concat(y.cast("string"), F.lit(".npy")))
+
+
 def tiles(levels: DataFrame) -> DataFrame:
     """Rows (z, x, y, path, image): a PNG for each tile with a pixel; a tile has 65,536 pixels at most."""
     import pyarrow as pa

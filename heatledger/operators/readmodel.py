@@ -48,6 +48,12 @@ def leaderboard(readings: DataFrame, *conditions: Column, top: int = 10) -> Data
     return readings.orderBy(F.desc("max_c"), "tile_lat", "tile_lon", "d", "product").limit(top)
 
 
+def leaderboards(readings: DataFrame, board: Column, top: int = 10) -> DataFrame:
+    """The hottest readings of each value of ``board`` at once; rows without a value are on none."""
+    order = Window.partitionBy("board").orderBy(F.desc("max_c"), "tile_lat", "tile_lon", "d", "product")
+    return readings.withColumn("board", board).filter("board IS NOT NULL").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top).drop("place")
+
+
 def anomaly_panel(anomalies: DataFrame, condition: Column, loaded: int = 50, shown: int = 5) -> DataFrame:
     """The panel's rows: the hottest ``loaded`` first, then the filter, then the hottest ``shown``; limit and filter do not commute."""
     order = [F.desc("max_c"), "cause", "tile_lat", "tile_lon", "d", "product"]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heatledger.functions import exprs as E
+from heatledger.sources.tables import remove, scratch
 
 BOX = "struct<west:double,south:double,east:double,north:double>"
 
@@ -49,29 +50,71 @@ def merge_boxes(boxes: list[tuple], reach: float) -> list[tuple]:
     return boxes
 
 
-def cluster(cells: DataFrame, reach: float = 0.5) -> DataFrame:
-    """Rows (d, west, south, east, north): the merged footprints of each day's cells.
-
-    Cells of a row that are within reach of their neighbour are joined to strips by a window first, so what a day's task merges is
-    strips, at most the grid's 3,600 rows by the number of gaps wider than ``reach`` in each.
-    """
-    import pyarrow as pa
-
-    schema = pa.schema([("d", pa.date32()), *[(n, pa.float64()) for n in ("west", "south", "east", "north")]])
-
-    def run(key, table):
-        boxes = merge_boxes(list(zip(*[table.column(n).to_pylist() for n in ("west", "south", "east", "north")], strict=True)), reach)
-        return pa.table([pa.array([key[0].as_py()] * len(boxes), pa.date32()), *[pa.array([b[i] for b in boxes], pa.float64()) for i in range(4)]], schema=schema)
-
+def strips(cells: DataFrame, reach: float) -> DataFrame:
+    """Boxes (d, west, south, east, north) of cells of one row joined where gaps are within reach."""
     half = 0.025
     points = cells.select("d", "lat", "lon").distinct()
     row = Window.partitionBy("d", "lat").orderBy("lon")
     # the same sums and differences as for single cells, so strips end exactly where those would
     gap = (F.col("lon") - half) - (F.lag("lon").over(row) + half)
-    strips = points.withColumn("new", F.coalesce((gap > reach).cast("int"), F.lit(1))).withColumn("strip", F.sum("new").over(row.rowsBetween(Window.unboundedPreceding, 0)))
-    ends = strips.groupBy("d", "lat", "strip").agg(F.min("lon").alias("first"), F.max("lon").alias("last"))
-    boxes = ends.select("d", (F.col("first") - half).alias("west"), (F.col("lat") - half).alias("south"), (F.col("last") + half).alias("east"), (F.col("lat") + half).alias("north"))
-    return boxes.groupBy("d").applyInArrow(run, "d date, west double, south double, east double, north double")
+    numbered = points.withColumn("new", F.coalesce((gap > reach).cast("int"), F.lit(1))).withColumn("strip", F.sum("new").over(row.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = numbered.groupBy("d", "lat", "strip").agg(F.min("lon").alias("first"), F.max("lon").alias("last"))
+    return ends.select("d", (F.col("first") - half).alias("west"), (F.col("lat") - half).alias("south"), (F.col("last") + half).alias("east"), (F.col("lat") + half).alias("north"))
+
+
+def touched(boxes: DataFrame, reach: float, side: float) -> DataFrame:
+    """Boxes once for each coarse tile (tx, ty) of ``side`` degrees that they come within half the reach of; two boxes within reach share one."""
+    grown = reach / 2 + 1e-6
+    axis = lambda low, high: F.sequence(F.floor((F.col(low) - grown) / side), F.floor((F.col(high) + grown) / side))
+    return boxes.withColumn("tx", F.explode(axis("west", "east"))).withColumn("ty", F.explode(axis("south", "north")))
+
+
+def cluster(cells: DataFrame, reach: float = 0.5, side: float = 30.0) -> DataFrame:
+    """Rows (d, west, south, east, north): the merged footprints of each day's cells.
+
+    Cells of a row become strips first. Then, round by round, the boxes of a day and coarse tile are merged by a task, and the next round has what
+    came out of all tiles: a box that two tiles made differently is there in both forms, which overlap and so merge then. Boxes only grow, and a merged one
+    reaches into the tiles around, so clusters at least double in extent with each round; the last one changes nothing. No task holds a day, only the boxes of one coarse
+    tile. Rounds are written to the shared folder.
+    """
+    import pyarrow as pa
+
+    names = ("west", "south", "east", "north")
+    schema = pa.schema([("d", pa.date32()), *[(n, pa.float64()) for n in names], ("changed", pa.bool_())])
+    spark, side = cells.sparkSession, max(side, 2 * reach)
+
+    def merged_in(key: tuple, given: set) -> list[tuple]:
+        boxes = merge_boxes(list(given), reach)
+        return [(key[0], *b, b not in given or len(boxes) < len(given)) for b in boxes]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+    def run(items):
+        # rows come in order of day and tile, so that one task's many small tiles cost no call each
+        key, given, out = None, set(), []
+        for b in items:
+            for d, tx, ty, *box in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if (d, tx, ty) != key:
+                    out += merged_in(key, given) if given else []
+                    key, given = (d, tx, ty), set()
+                given.add(tuple(box))
+            if len(out) > 1 << 14:
+                yield batch(out)
+                out = []
+        yield batch(out + (merged_in(key, given) if given else []))
+
+    boxes, last = strips(cells, reach), None
+    while True:
+        dealt = touched(boxes, reach, side).select("d", "tx", "ty", *names).repartition("d", "tx", "ty").sortWithinPartitions("d", "tx", "ty")
+        merged = dealt.mapInArrow(run, "d date, west double, south double, east double, north double, changed boolean")
+        path = scratch(spark, "boxes")
+        merged.groupBy("d", *names).agg(F.bool_or("changed").alias("changed")).write.parquet(path)
+        if last is not None:
+            remove(spark, last)
+        boxes, last = spark.read.parquet(path), path
+        if boxes.filter("changed").isEmpty():
+            return boxes.select("d", *names)
 
 
 def padded(pad: float) -> list[Column]:

@@ -311,15 +311,23 @@ def _(spark, sf):
     return worklist.hot_cells(_grid(spark, sf), 75.0)
 
 
-#: Boxes grow to the union of all within reach, until after some rounds none changes; each round at least doubles the cells that a box has taken in.
+#: Boxes grow to the union of all within reach, a day until a round changes none of its boxes.
 _BOXES = """, places_hot AS (SELECT DISTINCT d, lat, lon FROM hot), grown(i, d, lat, lon, w, s, e, n) AS (
   SELECT 0, d, lat, lon, lon - 0.025E0, lat - 0.025E0, lon + 0.025E0, lat + 0.025E0 FROM places_hot
-  UNION ALL SELECT a.i + 1, a.d, a.lat, a.lon, min(b.w), min(b.s), max(b.e), max(b.n) FROM grown a JOIN grown b ON a.d = b.d
-    AND greatest(a.w, b.w) - least(a.e, b.e) <= 5 AND greatest(a.s, b.s) - least(a.n, b.n) <= 5 WHERE a.i < 12 GROUP BY a.i, a.d, a.lat, a.lon),
-merged AS (SELECT DISTINCT d, w - 0.1E0 AS w, greatest(-90, s - 0.1E0) AS s, e + 0.1E0 AS e, least(90, n + 0.1E0) AS n FROM grown WHERE i = 12),
+  UNION ALL SELECT i + 1, d, lat, lon, w2, s2, e2, n2 FROM (SELECT *, bool_or(w2 <> w OR s2 <> s OR e2 <> e OR n2 <> n) OVER (PARTITION BY d) AS moved FROM (
+    SELECT a.i, a.d, a.lat, a.lon, a.w, a.s, a.e, a.n, min(b.w) AS w2, min(b.s) AS s2, max(b.e) AS e2, max(b.n) AS n2 FROM grown a JOIN grown b ON a.d = b.d
+    AND greatest(a.w, b.w) - least(a.e, b.e) <= 5 AND greatest(a.s, b.s) - least(a.n, b.n) <= 5 GROUP BY a.i, a.d, a.lat, a.lon, a.w, a.s, a.e, a.n)) WHERE moved),
+merged AS (SELECT DISTINCT d, w - 0.1E0 AS w, greatest(-90, s - 0.1E0) AS s, e + 0.1E0 AS e, least(90, n + 0.1E0) AS n FROM (SELECT *, max(i) OVER (PARTITION BY d) AS last FROM grown) WHERE i = last),
 split AS (SELECT d, -180.0E0 AS west, s AS south, 180.0E0 AS east, n AS north FROM merged WHERE e - w >= 360
   UNION ALL SELECT d, CASE WHEN w < -180 THEN w + 360 ELSE w END, s, CASE WHEN e > 180 OR w < -180 THEN 180 ELSE e END, n FROM merged WHERE e - w < 360
   UNION ALL SELECT d, -180, s, CASE WHEN e > 180 THEN e - 360 ELSE e END, n FROM merged WHERE e - w < 360 AND (e > 180 OR w < -180))"""
+#: A day's boxes as text, from west to east.
+_JOBS = """, jb AS (SELECT d, string_agg(printf('%.3f,%.3f,%.3f,%.3f', round(west, 3), round(south, 3), round(east, 3), round(north, 3)), ';' ORDER BY round(west, 3), round(south, 3), round(east, 3), round(north, 3)) AS bboxes FROM split GROUP BY d),
+js AS (SELECT d, count(*) AS cells, max(max_c) AS cmg_max_c FROM hot GROUP BY d)"""
+
+
+def _boxes_text(boxes):
+    return F.array_join(F.transform(boxes, lambda b: F.format_string("%.3f,%.3f,%.3f,%.3f", b["west"], b["south"], b["east"], b["north"])), ";")
 
 
 @query("worklist_boxes", GRID.replace("WITH ", "WITH RECURSIVE ", 1) + _HOT + _BOXES + " SELECT d, west, south, east, north FROM split")
@@ -327,15 +335,21 @@ def _(spark, sf):
     return worklist.boxes(worklist.hot_cells(_grid(spark, sf), 75.0), 5.0, 0.1)
 
 
-@query("worklist_jobs")
+@query("worklist_jobs", GRID.replace("WITH ", "WITH RECURSIVE ", 1) + _HOT + _BOXES + _JOBS + " SELECT d, bboxes, cells, cmg_max_c FROM jb JOIN js USING (d)")
 def _(spark, sf):
-    return worklist.jobs(worklist.hot_cells(_grid(spark, sf), 75.0), 5.0, 0.1)
+    """A job for each day, its boxes as text."""
+    return worklist.jobs(worklist.hot_cells(_grid(spark, sf), 75.0), 5.0, 0.1).withColumn("bboxes", _boxes_text(F.col("bboxes")))
 
 
-@query("worklist_parse_jobs")
+@query("worklist_parse_jobs", GRID.replace("WITH ", "WITH RECURSIVE ", 1) + _HOT + _BOXES + _JOBS + """ SELECT d, strftime(d, '%Y-%m-%d') AS date, CASE WHEN month(d) = 3 THEN NULL ELSE bboxes END AS bboxes, cells, round(cmg_max_c, 2) AS cmg_max_c,
+CASE WHEN month(d) = 3 THEN 'no boxes' END AS problem FROM jb JOIN js USING (d)""")
 def _(spark, sf):
+    """The jobs as JSON lines read back; those of March have lost their boxes."""
     work = worklist.jobs(worklist.hot_cells(_grid(spark, sf), 75.0), 5.0, 0.1)
-    return worklist.parse_jobs(worklist.payload(work, 75.0, ["MOD11_L2"]).select(F.col("json").alias("value")))
+    text = worklist.payload(work, 75.0, ["MOD11_L2"])
+    damaged = F.when(F.month("day") == 3, F.regexp_replace("json", r'"bboxes":\[.*?\]', '"bboxes":[]')).otherwise(F.col("json"))
+    out = worklist.parse_jobs(text.select(damaged.alias("value")))
+    return out.select("d", "date", F.when(F.size("bboxes") > 0, _boxes_text(F.col("bboxes"))).alias("bboxes"), "cells", "cmg_max_c", "problem")
 
 
 @query("bbox_pad_split", GRID + _HOT + """, b AS (SELECT d, lat, lon, product, lon-5 AS w, greatest(-90, lat-5) AS s, lon+5 AS e, least(90, lat+5) AS n FROM hot)
@@ -378,11 +392,8 @@ def _(spark, sf):
 
 @query("leaderboard_area_continent", GTILES + f", a AS (SELECT *, {Q.CONTINENT} AS continent FROM tiles), r AS (SELECT *, row_number() OVER (PARTITION BY continent ORDER BY max_c DESC, tile_lat, tile_lon, d, product) AS place FROM a WHERE continent IS NOT NULL) SELECT continent, d, product, tile_lat, tile_lon, max_c FROM r WHERE place <= 10")
 def _(spark, sf):
-    tiles, out = _days(spark, sf, True), None
-    for name in ("africa", "asia", "europe", "north-america", "south-america", "oceania"):
-        part = readmodel.leaderboard(tiles, readmodel.in_area(name)).select(F.lit(name).alias("continent"), "d", "product", "tile_lat", "tile_lon", "max_c")
-        out = part if out is None else out.unionByName(part)
-    return out
+    boards = readmodel.leaderboards(_days(spark, sf, True), E.continent(F.col("max_lat"), F.col("max_lon")))
+    return boards.select(F.col("board").alias("continent"), "d", "product", "tile_lat", "tile_lon", "max_c")
 
 
 @query("leaderboard_view_antimeridian", _board("max_lat BETWEEN -40 AND 40 AND (max_lon >= 170 OR max_lon <= -170)"))
@@ -509,10 +520,13 @@ def _(spark, sf):
     return logs.pending(logs.calendar(spark, "2024-01-01", "2026-07-31"), logs.succeeded_days(_lines(spark, sf)), 100)
 
 
-@query("products_flying", "SELECT CAST(r AS DATE) AS d, product FROM range(DATE '2000-01-01', DATE '2003-01-01', INTERVAL 1 DAY) AS t(r), (VALUES ('MOD11_L2', DATE '2000-02-24'), ('MYD11_L2', DATE '2002-07-04'), ('OTHER', DATE '0001-01-01')) AS p(product, s) WHERE r >= s")
+@query("products_flying", """WITH days AS (SELECT DISTINCT o_orderdate + INTERVAL 2922 DAY AS d FROM orders), p AS (SELECT DISTINCT CASE WHEN l_returnflag = 'A' THEN 'OTHER' WHEN l_linestatus = 'O' THEN 'MOD11_L2' ELSE 'MYD11_L2' END AS product FROM lineitem)
+SELECT CAST(d AS DATE) AS d, product FROM days, p WHERE d >= CASE product WHEN 'MOD11_L2' THEN DATE '2000-02-24' WHEN 'MYD11_L2' THEN DATE '2002-07-04' ELSE DATE '0001-01-01' END""")
 def _(spark, sf):
-    products = spark.createDataFrame([("MOD11_L2",), ("MYD11_L2",), ("OTHER",)], "product string")
-    return logs.flying(logs.calendar(spark, "2000-01-01", "2002-12-31"), products)
+    """Order days, eight years on, with the products that flew then; one product is unknown."""
+    days = B.table(spark, sf, "orders").select(F.date_add("o_orderdate", 2922).alias("d")).distinct()
+    product = F.when(F.col("l_returnflag") == "A", "OTHER").when(F.col("l_linestatus") == "O", "MOD11_L2").otherwise("MYD11_L2")
+    return logs.flying(days, B.table(spark, sf, "lineitem").select(product.alias("product")).distinct())
 
 
 @query("place_cell_join", Q.ctes(P, Q.GRANULES, Q.DAYS, Q.PLACES) + f"SELECT d, product, tile_lat, tile_lon, max_c, {Q.cell('max_lat')} AS cell_lat, {Q.cell('max_lon')} AS cell_lon, place_name, country FROM tiles LEFT JOIN places ON {Q.cell('max_lat')} = cell_lat AND {Q.cell('max_lon')} = cell_lon")
@@ -539,12 +553,15 @@ def _(spark, sf):
 _RINT = "CAST(least(greatest(round_even(({i} + 0.5E0)*{s}/{t} - 0.5E0, 0), 0), {s} - 1) AS INT)"
 
 
-@query("geolocation_expand", f"""WITH fine AS (SELECT CAST(r AS INT) AS "row", CAST(c AS INT) AS col FROM range(50) AS a(r), range(75) AS b(c)), x AS (SELECT *, {_RINT.format(i='"row"', s=10, t=50)} AS srow, {_RINT.format(i='col', s=15, t=75)} AS scol FROM fine)
-SELECT "row", col, srow, scol, 10.0E0 + srow AS lat, 20.0E0 + scol AS lon FROM x""")
+@query("geolocation_expand", f"""WITH fine AS (SELECT DISTINCT l_linenumber AS granule, CAST(l_orderkey % 50 AS INT) AS "row", CAST(l_partkey % 75 AS INT) AS col FROM lineitem),
+geo AS (SELECT CAST(p_partkey % 10 AS INT) AS srow, CAST(p_partkey // 10 % 15 AS INT) AS scol, min(p_size) + 0.5E0 AS lat, -max(p_size) - 0.5E0 AS lon FROM part GROUP BY ALL),
+x AS (SELECT *, {_RINT.format(i='"row"', s=10, t=50)} AS srow, {_RINT.format(i='col', s=15, t=75)} AS scol FROM fine)
+SELECT granule, "row", col, srow, scol, lat, lon FROM x JOIN geo USING (srow, scol)""")
 def _(spark, sf):
-    fine = spark.range(50 * 75).selectExpr("CAST(id DIV 75 AS INT) AS row", "CAST(id % 75 AS INT) AS col")
-    geo = spark.range(150).selectExpr("CAST(id DIV 15 AS INT) AS srow", "CAST(id % 15 AS INT) AS scol", "10.0D + id DIV 15 AS lat", "20.0D + id % 15 AS lon")
-    return screens.expand_geolocation(fine, geo, (10, 15, 50, 75)).select("row", "col", "srow", "scol", "lat", "lon")
+    """Pixels of granules, the line numbers, on a grid of 50 by 75 with the coordinates of the nearest of 10 by 15 points, each of some parts."""
+    fine = B.table(spark, sf, "lineitem").selectExpr("l_linenumber AS granule", "CAST(l_orderkey % 50 AS INT) AS row", "CAST(l_partkey % 75 AS INT) AS col").distinct()
+    geo = B.table(spark, sf, "part").groupBy(F.expr("CAST(p_partkey % 10 AS INT)").alias("srow"), F.expr("CAST(p_partkey DIV 10 % 15 AS INT)").alias("scol")).agg((F.min("p_size") + F.lit(0.5)).alias("lat"), (-F.max("p_size") - F.lit(0.5)).alias("lon"))
+    return screens.expand_geolocation(fine, geo, (10, 15, 50, 75)).select("granule", "row", "col", "srow", "scol", "lat", "lon")
 
 
 @query("streaming_alltime", RECORDS + "SELECT * FROM records")
@@ -585,9 +602,10 @@ def _(spark, sf):
     return B.places(spark, sf).select("cell_lat", "cell_lon", a.alias("lat_min"), b.alias("lat_max"), c.alias("lon_min"), d.alias("lon_max"))
 
 
-@query("html_escape", "SELECT event_id, replace(replace(replace(props, '&', '&amp;'), '<', '&lt;'), '\"', '&quot;') AS safe FROM events")
+@query("html_escape", """SELECT event_id, replace(replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#39;') AS safe FROM (SELECT event_id, props || '<a href=' || chr(39) || '/u?id=' || user_id || '&t=1' || chr(39) || '>' || event_type || '</a>' AS t FROM events)""")
 def _(spark, sf):
-    return B.table(spark, sf, "events").select("event_id", E.escape_html(F.col("props")).alias("safe"))
+    text = F.concat("props", F.lit("<a href='/u?id="), "user_id", F.lit("&t=1'>"), "event_type", F.lit("</a>"))
+    return B.table(spark, sf, "events").select("event_id", E.escape_html(text).alias("safe"))
 
 
 @query("record_labels", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'air' ELSE 'surface' END || CASE event_id % 3 WHEN 1 THEN ' swing' WHEN 2 THEN ' avg' ELSE '' END AS label FROM events")

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from heatledger import schema as S
+from heatledger.functions import exprs as E
 from heatledger.operators import places, publish, raster, reduce
 from heatledger.plans import bindings as B
 from heatledger.plans import catalogue as C
 from heatledger.plans import sql as Q
 from heatledger.plans.catalogue import _FEED, _FIRST, JUDGED, RASTER, TILES, G, P, query
-from heatledger.sources import feed, granules, tables
+from heatledger.sources import feed, granules, logs, tables
 from heatledger.sources.versions import Versions
 
 
@@ -144,3 +145,58 @@ def _(spark, sf):
     """The grid of each feed; every third feed has links of another relation that ends alike, and so none."""
     other = F.when(F.col("feed") % 3 == 0, F.replace("body", F.lit("fedsearch/1.1/data#"), F.lit("fedsearch/2.0/data#"))).otherwise(F.col("body"))
     return feed.grid_of_day(feed.parse_grids(B.feeds(spark, sf).withColumn("body", other)))
+
+
+@query("object_paths", RASTER + """, t AS (SELECT DISTINCT z, px >> 8 AS x, py >> 8 AS y FROM levels)
+SELECT z, x, y, '2000-01-01/' || z || '/' || x || '/' || y || '.png' AS day_path, 'alltime/' || z || '/' || x || '/' || y || '.png' AS alltime_path, CASE WHEN z = 7 THEN 'alltime-state/' || x || '/' || y || '.npy' END AS state_path FROM t""")
+def _(spark, sf):
+    """Where the tiles of the pyramid and the state of its base lie."""
+    levels = raster.pyramid(raster.base(C._clean(spark, sf, True)))
+    t = levels.select("z", F.shiftright("px", 8).alias("x"), F.shiftright("py", 8).alias("y")).distinct()
+    at = F.col("z"), F.col("x"), F.col("y")
+    state = F.when(F.col("z") == S.BASE_ZOOM, raster.object_path("state", *at))
+    return t.select("z", "x", "y", raster.object_path("day", *at, F.lit("2000-01-01").cast("date")).alias("day_path"), raster.object_path("alltime", *at).alias("alltime_path"), state.alias("state_path"))
+
+
+@query("token_expiry_states", """WITH t AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(floor(epoch(ts)) AS BIGINT) + event_id % 5 * 864000 END AS exp FROM events)
+SELECT event_id, CAST(make_timestamp(exp * 1000000) AS TIMESTAMP) AS expires, CASE WHEN exp IS NULL THEN 'unknown' WHEN exp <= epoch(TIMESTAMP '2024-02-01 00:00:00') THEN 'expired' WHEN exp - epoch(TIMESTAMP '2024-02-01 00:00:00') <= 14*86400 THEN 'renew' ELSE 'ok' END AS state FROM t""")
+def _(spark, sf):
+    """Web tokens made of event times, every seventh without an expiry, and what a run on the first of February makes of them."""
+    exp = F.unix_timestamp("ts") + F.col("event_id") % 5 * 864000
+    claims = F.when(F.col("event_id") % 7 == 0, F.lit('{"sub":"x"}')).otherwise(F.concat(F.lit('{"exp":'), exp, F.lit(',"uid":"?>~"}')))
+    body = F.rtrim(F.translate(F.base64(F.encode(claims, "UTF-8")), "+/", "-_"), F.lit("="))
+    token = B.table(spark, sf, "events").select("event_id", F.concat_ws(".", F.lit("e30"), body, F.lit("sig")).alias("token"))
+    expires = E.token_expiry(F.col("token"))
+    return token.select("event_id", expires.alias("expires"), E.expiry_state(expires, F.lit("2024-02-01 00:00:00").cast("timestamp")).alias("state"))
+
+
+@query("done_log_parse", """WITH l AS (SELECT CASE event_id % 9 WHEN 0 THEN '# ' || strftime(ts, '%Y-%m-%d') WHEN 1 THEN '' WHEN 2 THEN '2024-13-45' WHEN 3 THEN strftime(ts, '%Y-%m-%d') || ' ok' WHEN 4 THEN '  ' || strftime(CAST(ts AS DATE) + CAST(event_id % 700 AS INT), '%Y-%m-%d') || ' ' ELSE strftime(CAST(ts AS DATE) + CAST(event_id % 700 AS INT), '%Y-%m-%d') END AS value FROM events)
+SELECT DISTINCT CAST(trim(value) AS DATE) AS d FROM l WHERE regexp_full_match(trim(value), '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND value <> '2024-13-45'""")
+def _(spark, sf):
+    """Days named by a log of done days with comments, blanks, impossible days and other text."""
+    k, day = F.col("event_id") % 9, F.date_format("ts", "yyyy-MM-dd")
+    later = F.date_format(F.date_add(F.col("ts").cast("date"), (F.col("event_id") % 700).cast("int")), "yyyy-MM-dd")
+    text = F.when(k == 0, F.concat(F.lit("# "), day)).when(k == 1, "").when(k == 2, "2024-13-45").when(k == 3, F.concat(day, F.lit(" ok"))).when(k == 4, F.concat(F.lit("  "), later, F.lit(" "))).otherwise(later)
+    return logs.done_days(B.table(spark, sf, "events").select(text.alias("value")))
+
+
+@query("json_staging_round_trip", Q.ctes(P, Q.FIRES, Q.VENTS, Q.ROUTED, Q.ANOMALIES, Q.GRANULES, Q.DAYS) + """SELECT 'reading' AS kind, product, d, tile_lat, tile_lon, max_c, NULL AS cause FROM tiles WHERE d = DATE '1998-03-01'
+UNION ALL SELECT 'anomaly', product, d, tile_lat, tile_lon, max_c, cause FROM anomalies WHERE d = DATE '1998-03-01'""")
+def _(spark, sf):
+    """A day's readings and anomalies staged as JSON and read back."""
+    path, day = tables.scratch(spark, "staged"), F.col("d") == F.lit("1998-03-01").cast("date")
+    tables.stage_json(C._days(spark, sf).filter(day), reduce.anomalies(C._routed(spark, sf), "d", "product").filter(day), path)
+    back = lambda kind, cause: spark.read.schema(f"d date, tile_lat int, tile_lon int, max_c double, {cause} product string").json(f"{path}/{kind}")
+    readings = back("readings", "").select(F.lit("reading").alias("kind"), "product", "d", "tile_lat", "tile_lon", "max_c", F.lit(None).cast("string").alias("cause"))
+    return readings.unionByName(back("anomalies", "cause string,").select(F.lit("anomaly").alias("kind"), "product", "d", "tile_lat", "tile_lon", "max_c", "cause"))
+
+
+@query("sql_functions_in_sql", Q.ctes(G) + f"""SELECT product, tile_lat, tile_lon, count(*) AS n, max(c) AS max_c, max({C._RANK.replace('centi', 'CAST(round_even(c*100, 0) AS INT)')}) AS max_rank, round(max(0.6443E0*c + 3.1876E0), 6) AS air, round(max(c*1.8E0 + 32), 6) AS max_f FROM k GROUP BY ALL""")
+def _(spark, sf):
+    """Day tiles by SQL text alone: every function of the SQL surface over a view of the pixels."""
+    E.register(spark)
+    B.pixels(spark, sf, True).createOrReplaceTempView("surface_pixels")
+    return spark.sql("""
+        SELECT product, tile_of(lat, -90, 89) AS tile_lat, tile_of(lon, -180, 179) AS tile_lon, count(*) AS n, max(lst_celsius(raw)) AS max_c,
+               max(palette_rank(CAST(rint(lst_celsius(raw) * 100) AS INT))) AS max_rank, round(max(air_estimate(lst_celsius(raw))), 6) AS air, round(max(fahrenheit(lst_celsius(raw))), 6) AS max_f
+        FROM surface_pixels WHERE raw <> 0 AND qc_keep(qc, 1) AND lst_celsius(raw) BETWEEN -150 AND 200 GROUP BY 1, 2, 3""")

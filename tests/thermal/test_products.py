@@ -145,3 +145,27 @@ def test_logs(spark):
     assert [str(r.d) for r in logs.done_days(lines).collect()] == ["2020-01-03"]
     assert logs.calendar(spark, "2020-01-02", "2020-01-01").count() == 0
     assert [str(r.d) for r in logs.pending(logs.calendar(spark, "2020-01-01", "2020-01-04"), logs.succeeded_days(lines), 2).collect()] == ["2020-01-02", "2020-01-03"]
+
+
+def test_boxes_of_a_day_are_merged_by_coarse_tiles(spark):
+    """The same boxes as by one list, for scattered cells, chains over many tiles, diagonals and boxes that grow into reach of others."""
+    import random
+
+    rng = random.Random(4)
+    days = {
+        date(2020, 1, 1): [(rng.uniform(-60, 60), rng.uniform(-170, 170)) for _ in range(150)],
+        date(2020, 1, 2): [(-40 + 0.5 * i, -100 + 0.5 * i) for i in range(150)] + [(10.0, -100.0)],
+        date(2020, 1, 3): [(rng.gauss(0, 3), rng.gauss(20, 3)) for _ in range(200)] + [(0.0, -179.9), (0.0, 179.9)],
+    }
+    rows = [(d, round(round(a / 0.05) * 0.05 + 0.025, 3), round(round(o / 0.05) * 0.05 + 0.025, 3)) for d, cells in days.items() for a, o in cells]
+    cells = spark.createDataFrame(rows, "d date, lat double, lon double")
+    for reach, side in ((0.5, 5.0), (3.0, 1.0), (0.0, 40.0)):
+        got = {}
+        for b in worklist.cluster(cells, reach, side).collect():
+            got.setdefault(b.d, []).append(tuple(b)[1:])
+        for d in days:
+            points = {(a, o) for x, a, o in rows if x == d}
+            want = worklist.merge_boxes([(o - 0.025, a - 0.025, o + 0.025, a + 0.025) for a, o in points], reach)
+            assert sorted(got[d]) == sorted(want)
+    most = worklist.touched(worklist.strips(cells, 0.5), 0.5, 5.0).groupBy("d", "tx", "ty").count().agg({"count": "max"}).first()[0]
+    assert most < 100  # a task holds a tile's boxes, not the day's
