@@ -33,7 +33,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from heatledger.llm.common import as_bytes, batches, materialise
@@ -99,8 +99,8 @@ def window_hashes(tokens: list[bytes], width: int) -> list[int]:
     return np.array([digest(joined[a:b]) for a, b in zip(begins, ends[width - 1 :], strict=False)], np.uint64).view(np.int64).tolist()
 
 
-ITEM = "item_id long, n_windows int, n_open int, pos int, open boolean, h long, width int, slots array<string>"
-FOUND = "doc_id long, item_id long, coverage double, n_slots long, n_changed long"
+ITEM = "item long, n_windows int, n_open int, pos int, open boolean, h long, width int, slots array<string>"
+FOUND = "doc_id long, item long, coverage double, n_slots long, n_changed long"
 HIT = "doc_id long, pos int, h long, width int, slots array<string>"
 
 
@@ -133,7 +133,7 @@ def window_keys(tokens: list[bytes], slots: list[bytes | None], widths: list[int
 
 
 def _item_windows(width: int, literals: int):
-    schema = pa.schema([("item_id", pa.int64()), ("n_windows", pa.int32()), ("n_open", pa.int32()), ("pos", pa.int32()), ("open", pa.bool_()), ("h", pa.int64()), ("width", pa.int32()), ("slots", pa.list_(pa.string()))])
+    schema = pa.schema([("item", pa.int64()), ("n_windows", pa.int32()), ("n_open", pa.int32()), ("pos", pa.int32()), ("open", pa.bool_()), ("h", pa.int64()), ("width", pa.int32()), ("slots", pa.list_(pa.string()))])
 
     def run(items):
         for b in batches(items):
@@ -184,72 +184,75 @@ def _mapping(pairs, known=()) -> dict | None:
     return out
 
 
-def align(hits: list[tuple], n_windows: int, width: int, n_open: int | None = None) -> tuple[float, int, int, int, int]:
-    """Of matched windows (position in document, in item, slot pairs, whether open): share, slots and changed slots of the best chain, most tokens of a chain and of a run.
+def align(runs: list[tuple], open_at: set, n_windows: int, width: int, n_open: int | None = None) -> tuple[float, int, int, int, int]:
+    """Of runs of matched windows (position in document, in item, number, slot values as (token of the item, item's value, document's value)) the share,
+    slots and changed slots of the best chain, most tokens of a chain and of a run. ``open_at`` are the item's windows that other values may fill.
 
-    The share is that of all ``n_windows``, or of the ``n_open`` that other values may fill if that is greater.
+    The share is that of all ``n_windows``, or of the ``n_open`` open ones if that is greater. Among chains of equal share that with the fewest changed slots counts, then that with the most slots.
     """
     n_open = n_windows if n_open is None else n_open
-    shifts: dict[int, dict[int, list]] = {}
-    is_open: dict[int, bool] = {}
-    for doc_pos, pos, pairs, *flag in hits:
-        shifts.setdefault(doc_pos - pos, {})[pos] = pairs
-        is_open[pos] = flag != [False]
+    before = [0]
+    for pos in range(n_windows):
+        before.append(before[-1] + (pos in open_at))
 
-    def share(n: int, opened: int) -> float:
-        return max(n / n_windows, opened / max(1, n_open))
+    def opened(pos: int, n: int) -> int:
+        return before[pos + n] - before[pos]
 
-    runs: list[tuple[int, int, list]] = []  # first window in document and item, pairs of each window
+    def share(n: int, n_opened: int) -> float:
+        return max(n / n_windows, n_opened / max(1, n_open))
+
+    shifts: dict[int, list[tuple]] = {}
+    for run in runs:
+        shifts.setdefault(run[0] - run[1], []).append(run)
     chains: list[tuple] = []
-    for shift, at in shifts.items():
-        slots = _mapping(p for pairs in at.values() for p in pairs)
+    kept: list[tuple] = []
+    for own in shifts.values():
+        slots = _mapping((a, b) for _, _, _, pairs in own for _, a, b in pairs)
         if slots is None:
             continue
-        chains.append((share(len(at), sum(is_open[pos] for pos in at)), slots))
-        for pos in sorted(at):
-            if pos - 1 in at:
-                runs[-1][2].append(at[pos])
-            else:
-                runs.append((shift + pos, pos, [at[pos]]))
-    runs.sort(key=lambda r: r[:2])
+        chains.append((share(sum(r[2] for r in own), sum(opened(r[1], r[2]) for r in own)), slots))
+        kept += own
+    kept.sort(key=lambda r: r[:2])
     reach = n_windows + width - 1
     ends: list[tuple[tuple[int, int], dict, int]] = []  # the best chain that ends with each run: windows and open ones, slots, tokens
-    for j, (doc, pos, windows) in enumerate(runs):
-        opened = [is_open[p] for p in range(pos, pos + len(windows))]
-        best = ((len(windows), sum(opened)), _mapping(p for pairs in windows for p in pairs), len(windows) + width - 1)
+    for j, (doc, pos, n, pairs) in enumerate(kept):
+        best = ((n, opened(pos, n)), _mapping((a, b) for _, a, b in pairs), n + width - 1)
         for i in range(j - 1, -1, -1):
-            before_doc, before_pos, before = runs[i]
-            if doc - before_doc > reach + n_windows:
+            last_doc, last_pos, last_n, _ = kept[i]
+            if doc - last_doc > reach + n_windows:
                 break
-            if doc - before_doc - len(before) > reach:
+            if doc - last_doc - last_n > reach:
+                continue
+            skip = max(0, last_doc + last_n - doc, last_pos + last_n - pos)
+            if skip >= n:
                 continue
-            skip = max(0, before_doc + len(before) - doc, before_pos + len(before) - pos)
-            both = (ends[i][0][0] + len(windows) - skip, ends[i][0][1] + sum(opened[skip:]))
-            if skip >= len(windows) or share(*both) <= share(*best[0]):
+            both = (ends[i][0][0] + n - skip, ends[i][0][1] + opened(pos + skip, n - skip))
+            if share(*both) <= share(*best[0]):
                 continue
-            slots = _mapping((p for pairs in windows[skip:] for p in pairs), ends[i][1])
+            slots = _mapping(((a, b) for t, a, b in pairs if t >= pos + skip), ends[i][1])
             if slots is not None:
-                twice = max(0, max(before_doc - doc, before_pos - pos) + len(before) + width - 1 - skip)
-                best = (both, slots, ends[i][2] + max(0, len(windows) - skip + width - 1 - twice))
+                twice = max(0, max(last_doc - doc, last_pos - pos) + last_n + width - 1 - skip)
+                best = (both, slots, ends[i][2] + max(0, n - skip + width - 1 - twice))
         ends.append(best)
-    if not runs:
+    if not kept:
         return 0, 0, 0, 0, 0
     chains += [(share(*n), slots) for n, slots, _ in ends]
     most, fewest, n_slots = max((part, -sum(a != b for a, b in slots.items()), len(slots)) for part, slots in chains)
-    return most, n_slots, -fewest, max(e[2] for e in ends), max(len(r[2]) for r in runs) + width - 1
+    return most, n_slots, -fewest, max(e[2] for e in ends), max(r[2] for r in kept) + width - 1
 
 
 def _judge(coverage: float, passage: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("coverage", pa.float64()), ("n_slots", pa.int64()), ("n_changed", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("item", pa.int64()), ("coverage", pa.float64()), ("n_slots", pa.int64()), ("n_changed", pa.int64())])
 
     def run(items):
         for b in batches(items):
             rows = []
             for r in b.to_pylist():
-                part, slots, changed, tokens, longest = align([(x["doc_pos"], x["pos"], [(p["a"], p["b"]) for p in x["pairs"]], x["open"]) for x in r["hits"]], r["n_windows"], r["width"], r["n_open"])
+                runs = [(x["doc_pos"], x["pos"], x["n"], [(p["t"], p["a"], p["b"]) for p in x["pairs"]]) for x in r["runs"]]
+                part, slots, changed, tokens, longest = align(runs, set(r["open_at"] or ()), r["n_windows"], r["width"], r["n_open"])
                 length = r["n_windows"] + r["width"] - 1
                 if part and (part >= coverage or longest >= passage or (tokens >= passage and tokens / length >= coverage)):
-                    rows.append((r["doc_id"], r["item_id"], part, slots, changed))
+                    rows.append((r["doc_id"], r["item"], part, slots, changed))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
     return run
@@ -275,8 +278,10 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, literals: in
     slot values that differ.
     """
     spark = docs.sparkSession
-    bench = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    windows = materialise(bench.mapInArrow(_item_windows(width, literals), ITEM), "benchmark-windows")
+    bench = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("item_id IS NOT NULL").distinct()
+    # texts under one id are items of their own until the end
+    bench = bench.withColumn("item", F.xxhash64("item_id", "text"))
+    windows = materialise(bench.select("item", "text").mapInArrow(_item_windows(width, literals), ITEM), "benchmark-windows")
     widths = sorted(r.width for r in windows.select("width").distinct().collect())
     known = None
     if windows.count() <= filter_bound:
@@ -289,11 +294,18 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 8, literals: in
     found = texts.mapInArrow(_doc_windows(widths, literals, known), HIT).dropDuplicates(["doc_id", "pos", "width", "h"])
     found = found.withColumnRenamed("slots", "doc_slots").withColumnRenamed("pos", "doc_pos")
     met = found.join(windows, ["h", "width"])
-    pairs = F.filter(F.arrays_zip(F.col("slots").alias("a"), F.col("doc_slots").alias("b")), lambda x: x["a"].isNotNull() & x["b"].isNotNull())
-    placed = met.select("doc_id", "item_id", "n_windows", "n_open", "width", F.struct("doc_pos", "pos", pairs.alias("pairs"), "open").alias("hit"))
-    at = placed.groupBy("doc_id", "item_id", "n_windows", "n_open", "width").agg(F.collect_set("hit").alias("hits"))
+    values = F.transform(F.arrays_zip(F.col("slots").alias("a"), F.col("doc_slots").alias("b")), lambda x, i: F.struct((F.col("pos") + i).alias("t"), x["a"].alias("a"), x["b"].alias("b")))
+    placed = met.select("doc_id", "item", "n_windows", "n_open", "width", "pos", (F.col("doc_pos") - F.col("pos")).alias("shift"), F.filter(values, lambda x: x["a"].isNotNull() & x["b"].isNotNull()).alias("pairs"))
+    # windows next to each other on a diagonal become one run, so a text that repeats a phrase of an item brings its runs together, not all pairs of windows
+    diagonal = Window.partitionBy("doc_id", "item", "shift").orderBy("pos")
+    island = placed.withColumn("island", F.col("pos") - F.dense_rank().over(diagonal))
+    item = ["doc_id", "item", "n_windows", "n_open", "width"]
+    runs = island.groupBy(*item, "shift", "island").agg(F.min("pos").alias("pos"), (F.max("pos") - F.min("pos") + 1).alias("n"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+    at = runs.groupBy(*item).agg(F.collect_list(F.struct((F.col("pos") + F.col("shift")).alias("doc_pos"), "pos", "n", "pairs")).alias("runs"))
+    openings = windows.filter("open").groupBy(F.col("item").alias("of")).agg(F.collect_set("pos").alias("open_at"))
+    judged = at.join(openings, F.col("item") == F.col("of"), "left").drop("of").mapInArrow(_judge(coverage, passage), FOUND)
     best = F.struct("coverage", (-F.col("n_changed")).alias("same"), "n_slots", "n_changed")
-    return at.mapInArrow(_judge(coverage, passage), FOUND).groupBy("doc_id", "item_id").agg(F.max(best).alias("best")).select("doc_id", "item_id", "best.coverage", "best.n_slots", "best.n_changed")
+    return judged.join(bench.select("item", "item_id"), "item").groupBy("doc_id", "item_id").agg(F.max(best).alias("best")).select("doc_id", "item_id", "best.coverage", "best.n_slots", "best.n_changed")
 
 
 def op4_decontamination(spark, sf_dir: str) -> DataFrame:
