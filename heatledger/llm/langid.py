@@ -2,7 +2,7 @@
 
 Four kinds of evidence give one posterior for each row: a hashed byte-trigram likelihood of the whole
 text, the language the markup declares, the suffix of the address, and a prior of the host. The text
-model has a class for each label that any row with a trigram bears, and each class is fitted on at most ``max_train`` distinct
+model has a class for each label that rows with a trigram bear, the ``max_classes`` commonest if there are more, and each class is fitted on at most ``max_train`` distinct
 rows of its own, so no language is lost because others are larger. Everything else is counted over all rows with
 grouped sums of the text posteriors: how often each language declares each code, which suffixes it
 uses, and the prior of the host, smoothed towards its domain, which is smoothed towards the whole.
@@ -69,15 +69,15 @@ def _count():
     return run
 
 
-def training_rows(rows: DataFrame, per_label: int) -> DataFrame:
-    """At most ``per_label`` distinct rows (label, key, text) of each label of ``rows``, the same whatever the partitioning.
+def training_rows(rows: DataFrame, per_label: int, max_classes: int = 256) -> DataFrame:
+    """At most ``per_label`` distinct rows (label, key, text) of each of the ``max_classes`` labels with the most distinct rows, the same whatever the partitioning.
 
     Rows are ranked by the hash of id and text. Counts over all rows say below which hash about twice as many rows lie as
     are wanted, so that only those are ranked.
     """
     labelled = rows.filter("label IS NOT NULL AND octet_length(text) >= 3").select("label", F.xxhash64("id", "text").alias("key"), "text")
     keys = labelled.select("label", "key").distinct()
-    counts = keys.groupBy("label").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("label", "of")
+    counts = keys.groupBy("label").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("label", "of").orderBy(F.desc("n"), "of").limit(max_classes)
     share = (F.col("key").cast("double") + 2.0**63) / 2.0**64
     near = keys.join(F.broadcast(counts), F.col("label") == F.col("of")).filter((F.col("n") <= 2 * per_label + 1000) | (share * F.col("n") < 2 * per_label + 1000))
     rank = F.row_number().over(Window.partitionBy("label").orderBy("key"))
@@ -85,9 +85,12 @@ def training_rows(rows: DataFrame, per_label: int) -> DataFrame:
     return labelled.join(F.broadcast(chosen), (F.col("label") == F.col("of")) & (F.col("key") == F.col("k")), "left_semi").dropDuplicates(["label", "key"])
 
 
-def fit(rows: DataFrame, max_train: int = 4000) -> tuple[list[str], np.ndarray]:
-    """Classes and log likelihoods [class, bucket] of rows (id, text, label): every label, from at most ``max_train`` distinct rows each."""
-    picked = training_rows(rows, max_train)
+def fit(rows: DataFrame, max_train: int = 4000, max_classes: int = 256) -> tuple[list[str], np.ndarray]:
+    """Classes and log likelihoods [class, bucket] of rows (id, text, label): the commonest labels, from at most ``max_train`` distinct rows each.
+
+    Both bounds are of the classifier's fit only; the table has 64 MB at most.
+    """
+    picked = training_rows(rows, max_train, max_classes)
     counts = picked.select("label", "text").mapInArrow(_count(), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(set(counts["lang"]) - {"und"})
     table = np.full((len(langs) + 1, BUCKETS), -math.log(BUCKETS), np.float32)
@@ -128,14 +131,14 @@ def _score(model, evidence: int):
     return run
 
 
-def fuse(rows: DataFrame, max_train: int = 4000, evidence: int = 60, strength: float = 20.0, least: float = 0.5) -> DataFrame:
+def fuse(rows: DataFrame, max_train: int = 4000, max_classes: int = 256, evidence: int = 60, strength: float = 20.0, least: float = 0.5) -> DataFrame:
     """Rows (id, text_hash, lang, confidence, declared, n_grams, kept) of rows (id, text, label, declared, suffix, host, domain).
 
     The text's mean log likelihood counts as ``evidence`` trigrams at most, so that long texts leave room for the
     other evidence. ``strength`` is the number of rows that a prior weighs in each smoothing step.
     """
     spark = rows.sparkSession
-    langs, table = fit(rows, max_train)
+    langs, table = fit(rows, max_train, max_classes)
     model = spark.sparkContext.broadcast(table)
     code = F.lower(F.regexp_extract(F.col("declared"), r"^\s*([A-Za-z]{2,3})\b", 1))
     known = F.when(F.col("declared").isNull(), None).otherwise(F.when(code.isin(langs), code).otherwise("other"))
