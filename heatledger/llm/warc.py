@@ -72,7 +72,9 @@ def _write(root: str, roll_bytes: int, level: int):
         out, name, size, count = None, "", 0, 0
         report: list[tuple] = []
         for b in batches(items):
-            for row in b.to_pylist():
+            column = {name: b.column(i) for i, name in enumerate(b.schema.names)}
+            for i in range(b.num_rows):  # a page at a time, as a batch of long ones is large enough as it is
+                row = {name: c[i].as_py() for name, c in column.items()}
                 if out is None:
                     fs, base = store(root)
                     fs.create_dir(base, recursive=True)
@@ -96,17 +98,19 @@ def _write(root: str, roll_bytes: int, level: int):
 def write_archives(pages: DataFrame, roll_bytes: int = 1 << 30, level: int = 1) -> DataFrame:
     """Write a record for each row of ``pages`` (page_id, url, html); rows (path, bytes, records) of the archives.
 
-    Equal payloads share one response, that with the largest page_id; the others revisit it. Only
-    payloads that occur more than once take part in the join, and the digests are grouped with partial
-    sums, so a payload shared by many pages is no hot key of an aggregation.
+    Equal payloads share one response, that with the largest page_id; the others revisit it. Digests are grouped with partial
+    sums and joined with ids, without html; what comes of it, a row for each page that revisits, meets the pages by id and digest, so a
+    payload shared by many pages is no hot key. Where few pages revisit, Spark sends these rows to all tasks and the html is not shuffled at all.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    digest = F.sha1(F.coalesce(F.col("html"), F.lit("")).cast("binary"))
-    shared = rows.select("page_id", digest.alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("first")).filter("n > 1 AND first IS NOT NULL")
-    joined = rows.withColumn("digest", digest).join(shared.select("digest", "first"), "digest", "left")
-    again = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
-    records = joined.select("page_id", "url", "html", F.when(again, "revisit").otherwise("response").alias("kind"), F.when(again, F.col("first")).alias("refers_to"))
+    digest = F.unhex(F.sha1(F.coalesce(F.col("html"), F.lit("")).cast("binary")))
+    digests = materialise(rows.select("page_id", digest.alias("digest")), "warc-digests")
+    shared = digests.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("first")).filter("n > 1 AND first IS NOT NULL").select("digest", "first")
+    again = digests.join(shared, "digest").filter(~F.col("first").eqNullSafe(F.col("page_id"))).distinct()
+    again = materialise(again.select(F.col("page_id").alias("again_id"), F.col("digest").alias("again_digest"), "first"), "warc-revisits")
+    joined = rows.withColumn("digest", digest).join(again, F.col("page_id").eqNullSafe(F.col("again_id")) & (F.col("digest") == F.col("again_digest")), "left")
+    records = joined.select("page_id", "url", "html", F.when(F.col("first").isNotNull(), "revisit").otherwise("response").alias("kind"), F.col("first").alias("refers_to"))
     root = fresh_path(spark, "warc")
     return materialise(records.mapInArrow(_write(root, roll_bytes, level), "path string, bytes long, records long"), "warc-report")
 
@@ -213,11 +217,11 @@ def _read(keep_payload: bool, rows_per_batch: int = 256):
     return run
 
 
-def read_archives(archives: DataFrame, split_bytes: int = 16 << 20, keep_payload: bool = True) -> DataFrame:
-    """Records of the archives listed as rows (path, bytes), one task for each range of ``split_bytes``."""
+def read_archives(archives: DataFrame, split_bytes: int = 16 << 20, keep_payload: bool = True, max_tasks: int = 20_000) -> DataFrame:
+    """Records of the archives listed as rows (path, bytes), read by ranges of ``split_bytes``: a task each, or runs of ranges where there are more than ``max_tasks``."""
     starts = archives.filter("bytes > 0").select("path", "bytes", F.explode(F.expr(f"sequence(0L, bytes - 1, {split_bytes}L)")).alias("start"))
     ranges = starts.select("path", "start", F.least(F.col("start") + split_bytes, F.col("bytes")).alias("end"))
-    dealt = ranges.repartitionByRange(max(1, ranges.count()), "path", "start")
+    dealt = ranges.repartitionByRange(max(1, min(ranges.count(), max_tasks)), "path", "start")
     schema = "path string, offset long, record_type string, record_id string, target_uri string, refers_to string, payload_bytes long, payload_digest string, digest_ok boolean, payload binary"
     return dealt.mapInArrow(_read(keep_payload), schema)
 

@@ -69,3 +69,38 @@ def test_empty_table(spark):
 
 def test_member_is_plain_gzip():
     assert zlib.decompress(warc.record("response", 1, "u", b"p", None), 31).endswith(b"p\r\n\r\n")
+
+
+def test_tasks_are_bounded(spark):
+    archives = warc.write_archives(spark.createDataFrame(pages(), SCHEMA).repartition(3), roll_bytes=20000)
+    many, few = (warc.read_archives(archives, 100, True, most) for most in (20_000, 3))
+    assert few.rdd.getNumPartitions() <= 3 < many.rdd.getNumPartitions()
+    key = lambda df: sorted((r.path, r.offset, r.record_id, r.payload_digest, r.digest_ok) for r in df.collect())
+    assert key(few) == key(many)
+
+
+def test_html_is_not_shuffled_for_a_few_revisits(spark):
+    rows = [(i, f"http://a/{i}", "same text" if i in (3, 5, 9) else f"text {i}") for i in range(300)] + [(None, "http://n", "same text"), (9, "http://again", "same text")]
+    pages_df = spark.createDataFrame(rows, SCHEMA)
+    written = []
+    real = warc.materialise
+    warc.materialise = lambda df, name: written.append((name, df)) or real(df, name)
+    try:
+        archives = warc.write_archives(pages_df)
+    finally:
+        warc.materialise = real
+    plan = dict(written)["warc-report"]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    found = {}
+    for r in warc.read_archives(archives).collect():
+        found.setdefault(r.record_id, []).append((r.record_type, r.refers_to))
+    assert found["urn:x-page:3"] == found["urn:x-page:5"] == [("revisit", "urn:x-page:9")]
+    assert found["urn:x-page:9"] == [("response", None)] * 2
+    assert sum(r == [("revisit", "urn:x-page:9")] for r in found.values()) == 3 and sum(len(r) for r in found.values()) == len(rows)
+
+
+def test_a_payload_of_200_mb(spark):
+    big = spark.range(1).selectExpr("id AS page_id", "'http://big' AS url", "repeat('0123456789abcdef', 12500000) AS html")
+    archives = warc.write_archives(big)
+    out = warc.read_archives(archives, keep_payload=False).collect()
+    assert [(r.payload_bytes, r.digest_ok) for r in out] == [(200_000_000, True)]
