@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heatledger.functions import exprs as E
+from heatledger.operators.places import named
 
 
 def latest_run(runs: DataFrame) -> DataFrame:
@@ -82,6 +83,16 @@ def reading_rows(readings: DataFrame) -> DataFrame:
     )
 
 
+def anomaly_rows(anomalies: DataFrame, places: DataFrame, vents: DataFrame) -> DataFrame:
+    """Anomalies as the store keeps them: the measurement as in ``reading_rows``, cause, the vent's slug where it is volcanic, else the place of its cell."""
+    slugs = vents.select(F.col("vent").alias("_vent"), F.col("slug"))
+    joined = named(anomalies, places).join(slugs, (F.col("source") == F.col("_vent")) & (F.col("cause") == "volcanic"), "left")
+    return joined.select(
+        F.col("d").alias("reading_date"), E.product_value(F.col("product"), 1).alias("satellite"), "product", F.col("tile_lat").cast("smallint").alias("tile_lat"), F.col("tile_lon").cast("smallint").alias("tile_lon"),
+        F.col("max_c").cast("decimal(5,2)").alias("max_c"), F.round("max_lat", 6).alias("max_lat"), F.round("max_lon", 6).alias("max_lon"), "place_name", "country", "cause", F.col("slug").alias("source_slug"),
+    )
+
+
 def geojson(readings: DataFrame) -> DataFrame:
     """A closed one-degree square for each reading, as GeoJSON text."""
     lat, lon = F.col("tile_lat"), F.col("tile_lon")

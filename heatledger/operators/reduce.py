@@ -56,3 +56,22 @@ def anomalies(routed: DataFrame, *keys: str) -> DataFrame:
     rows = apart.groupBy(*keys, "tile_lat", "tile_lon", "cause").agg(best)
     out = rows.select(*keys, "tile_lat", "tile_lon", "cause", F.col("best.c").alias("max_c"), F.col("best.lat").alias("max_lat"), F.col("best.lon").alias("max_lon"), F.when(F.col("cause") == "volcanic", F.col("best.vent")).alias("source"))
     return out.filter(F.col("max_c") >= floor)
+
+
+def summary(routed: DataFrame, *keys: str) -> DataFrame:
+    """What tiles and anomalies need of routed pixels, in one grouping: the hottest pixel of each tile and ``keys``, and the hottest volcanic and burning ones."""
+    pixel = F.struct("c", "pixel", "lat", "lon", "vent")
+    of = {"best": pixel} | {name: F.when(F.col("route") == name, pixel) for name in ("volcanic", "wildfire")}
+    return routed.groupBy(*keys, "tile_lat", "tile_lon").agg(*[F.max(x).alias(name) for name, x in of.items()])
+
+
+def tiles_of(summed: DataFrame, *keys: str) -> DataFrame:
+    """The rows of ``tile_maxima`` for a summary."""
+    return summed.select(*keys, "tile_lat", "tile_lon", F.col("best.c").alias("max_c"), F.col("best.lat").alias("max_lat"), F.col("best.lon").alias("max_lon"))
+
+
+def anomalies_of(summed: DataFrame, *keys: str) -> DataFrame:
+    """The rows of ``anomalies`` for a summary by ``keys`` and others."""
+    apart = F.filter(F.array(*[F.struct(F.lit(c).alias("route"), F.col(c).alias("p")) for c in ("volcanic", "wildfire")]), lambda x: x["p"].isNotNull())
+    rows = summed.select(*keys, "tile_lat", "tile_lon", F.explode(apart).alias("x")).select(*keys, "tile_lat", "tile_lon", "x.route", "x.p.*")
+    return anomalies(rows, *keys)

@@ -174,7 +174,11 @@ def _(spark, sf):
 m AS (SELECT d, product, tile_lat, tile_lon, cause, max((max_c, max_lat, max_lon)) AS b FROM u GROUP BY ALL)
 SELECT d, product, tile_lat, tile_lon, cause, b[1] AS max_c, b[2] AS max_lat, b[3] AS max_lon FROM m""")
 def _(spark, sf):
-    return corroborate.all_anomalies(reduce.anomalies(_routed(spark, sf), "d", "product"), _judged(spark, sf))
+    path = tables.scratch(spark, "summary")  # one pass over the pixels serves anomalies and corroboration
+    reduce.summary(_routed(spark, sf), "d", "product", "seq").write.parquet(path)
+    summed = spark.read.parquet(path)
+    judged = corroborate.verdicts(reduce.day_merge(reduce.tiles_of(summed, "d", "product", "seq")))
+    return corroborate.all_anomalies(reduce.anomalies_of(summed, "d", "product"), judged)
 
 
 @query("alltime_records", RECORDS + "SELECT * FROM records")

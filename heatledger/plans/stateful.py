@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from heatledger import schema as S
 from heatledger.functions import exprs as E
-from heatledger.operators import places, publish, raster, reduce
+from heatledger.operators import archive, corroborate, places, publish, raster, readmodel, reduce
 from heatledger.plans import bindings as B
 from heatledger.plans import catalogue as C
 from heatledger.plans import sql as Q
-from heatledger.plans.catalogue import _FEED, _FIRST, JUDGED, RASTER, TILES, G, P, query
+from heatledger.plans.catalogue import _FEED, _FIRST, JUDGED, RASTER, RECORDS, TILES, G, P, query
 from heatledger.sources import feed, granules, logs, tables
 from heatledger.sources.versions import Versions
 
@@ -200,3 +200,41 @@ def _(spark, sf):
         SELECT product, tile_of(lat, -90, 89) AS tile_lat, tile_of(lon, -180, 179) AS tile_lon, count(*) AS n, max(lst_celsius(raw)) AS max_c,
                max(palette_rank(CAST(rint(lst_celsius(raw) * 100) AS INT))) AS max_rank, round(max(air_estimate(lst_celsius(raw))), 6) AS air, round(max(fahrenheit(lst_celsius(raw))), 6) AS max_f
         FROM surface_pixels WHERE raw <> 0 AND qc_keep(qc, 1) AND lst_celsius(raw) BETWEEN -150 AND 200 GROUP BY 1, 2, 3""")
+
+
+@query("anomaly_rows", Q.ctes(P, Q.FIRES, Q.VENTS, Q.ROUTED, Q.ANOMALIES, Q.PLACES) + f"""SELECT d AS reading_date, CASE product WHEN 'MOD11_L2' THEN 'Terra' ELSE 'Aqua' END AS satellite, product, CAST(tile_lat AS SMALLINT) AS tile_lat, CAST(tile_lon AS SMALLINT) AS tile_lon,
+CAST(max_c AS DECIMAL(5,2)) AS max_c, round(max_lat, 6) AS max_lat, round(max_lon, 6) AS max_lon, p.place_name, p.country, cause, CASE WHEN cause = 'volcanic' THEN 'vent-' || source END AS source_slug
+FROM anomalies LEFT JOIN places p ON cause <> 'volcanic' AND {Q.cell('max_lat')} = p.cell_lat AND {Q.cell('max_lon')} = p.cell_lon""")
+def _(spark, sf):
+    vents = B.vents(spark, sf).withColumn("slug", F.concat(F.lit("vent-"), "vent"))
+    return readmodel.anomaly_rows(reduce.anomalies(C._routed(spark, sf), "d", "product"), B.places(spark, sf), vents)
+
+
+@query("upsert_stored_anomalies", Q.ctes(P, Q.FIRES, Q.VENTS, Q.ROUTED, Q.ANOMALIES) + """SELECT d, product, tile_lat, tile_lon, cause, CASE WHEN month(d) % 2 = 0 THEN max_c ELSE max_c - 1 END AS max_c FROM anomalies WHERE month(d) % 2 = 0 OR cause = 'volcanic'""")
+def _(spark, sf):
+    """A stored table, a partition a day: volcanic anomalies a degree too cool come first, then all of every second month, twice."""
+    path, keys = tables.scratch(spark, "anomalies"), ["d", "product", "tile_lat", "tile_lon", "cause"]
+    rows = reduce.anomalies(C._routed(spark, sf), "d", "product").select(*keys, "max_c")
+    tables.upsert(path, rows.filter("cause = 'volcanic'").withColumn("max_c", F.col("max_c") - 1), keys, "d")
+    for _ in range(2):
+        tables.upsert(path, rows.filter("month(d) % 2 = 0"), keys, "d")
+    return spark.read.parquet(path).select(*keys, "max_c")
+
+
+@query("upsert_alltime_rows", RECORDS + """, e AS (SELECT tile_lat, tile_lon, min((-max_c, d, product)) AS b FROM weather WHERE d < DATE '1996-01-01' GROUP BY ALL)
+SELECT r.tile_lat, r.tile_lon, r.max_c, r.record_date, r.product, CASE WHEN e.tile_lat IS NULL OR r.max_c > -e.b[1] THEN 'later' ELSE 'early' END AS written FROM records r LEFT JOIN e USING (tile_lat, tile_lon)""")
+def _(spark, sf):
+    """Stored all-time rows, a partition a row of tiles: the records of the early years, then of all years where they are higher; each row says which run wrote it."""
+    path = tables.scratch(spark, "alltime")
+    seen = corroborate.weather(C._judged(spark, sf))
+    pick = ["tile_lat", "tile_lon", "max_c", "record_date", "product", "written"]
+    early = archive.records(seen.filter("d < DATE '1996-01-01'")).withColumn("written", F.lit("early")).select(*pick)
+    tables.upsert(path, early, ["tile_lat", "tile_lon"], "tile_lat")
+    stored = spark.read.parquet(path)
+    later = archive.records(seen).withColumn("written", F.lit("later")).select(*pick)
+    old = stored.select("tile_lat", "tile_lon", F.col("max_c").alias("old_c"))
+    higher = later.join(old, ["tile_lat", "tile_lon"], "left").filter("old_c IS NULL OR max_c > old_c").select(*pick)
+    staged = tables.scratch(spark, "higher")  # the update must not read what it writes
+    higher.write.parquet(staged)
+    tables.upsert(path, spark.read.parquet(staged), ["tile_lat", "tile_lon"], "tile_lat")
+    return spark.read.parquet(path).select(*pick)

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from heatledger.operators import grid, places, raster, readmodel, worklist
+from heatledger.operators import grid, places, raster, readmodel, reduce, worklist
 from heatledger.sources import feed, logs
 
 DAY = date(2020, 7, 15)
@@ -169,3 +169,12 @@ def test_boxes_of_a_day_are_merged_by_coarse_tiles(spark):
             assert sorted(got[d]) == sorted(want)
     most = worklist.touched(worklist.strips(cells, 0.5), 0.5, 5.0).groupBy("d", "tx", "ty").count().agg({"count": "max"}).first()[0]
     assert most < 100  # a task holds a tile's boxes, not the day's
+
+
+def test_one_grouping_serves_tiles_and_anomalies(spark):
+    rows = [("T", DAY, k % 3, k, float(40 + k * 7 % 50), 1.1 * k, 2.0, k % 2, 5, ("weather", "volcanic", "wildfire", "implausible")[k % 4], "v" if k % 4 == 1 else None) for k in range(60)]
+    routed = spark.createDataFrame(rows, "product string, d date, seq int, pixel long, c double, lat double, lon double, tile_lat int, tile_lon int, route string, vent string")
+    summed = reduce.summary(routed, "d", "product", "seq")
+    same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
+    assert same(reduce.tiles_of(summed, "d", "product", "seq"), reduce.tile_maxima(routed, "d", "product", "seq"))
+    assert sorted(map(str, reduce.anomalies_of(summed, "d", "product").collect())) == sorted(map(str, reduce.anomalies(routed, "d", "product").collect()))
