@@ -238,3 +238,17 @@ def _(spark, sf):
     higher.write.parquet(staged)
     tables.upsert(path, spark.read.parquet(staged), ["tile_lat", "tile_lon"], "tile_lat")
     return spark.read.parquet(path).select(*pick)
+
+
+@query("stream_daily_maxima", """WITH m AS (SELECT max(ts) - INTERVAL 2 DAY AS mark FROM events)
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, user_id % 50 AS key, max(value) AS max_value FROM events, m WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= mark GROUP BY ALL""")
+def _(spark, sf):
+    """Daily maxima of a stream of events, those of days that the watermark has closed."""
+    from heatledger.streaming import archive as stream
+
+    root = tables.scratch(spark, "daily")
+    B.table(spark, sf, "events").select((F.col("user_id") % 50).alias("key"), F.col("ts").cast("timestamp").alias("ts"), "value").coalesce(1).write.parquet(f"{root}/in")
+    live = spark.readStream.schema(spark.read.parquet(f"{root}/in").schema).parquet(f"{root}/in")
+    out = stream.daily_maxima(live).select(F.col("window.start").alias("day"), "key", "max_value")
+    out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{root}/out")
