@@ -7,8 +7,8 @@ by every later pass.
 To learn how often a key occurs in all blocks, each block sends its distinct keys in order with their counts, cut at equal
 parts of the key space, differences instead of keys. The task of a part adds up equal keys and answers each block with
 the totals of the keys it sent, in the order they were sent, so an answer needs no keys. A key sends one value for each block that has
-it, however often it occurs there. A part sees all blocks' keys of its range and their number is four times that of full blocks, so its
-task holds about a quarter of a block's keys. Only parts that a block has keys for are touched, so work and messages of a block follow its
+it, however often it occurs there. A part sees all blocks' keys of its range; their number is a small multiple of that of full blocks, so its
+task holds a share of a block's keys. Only parts that a block has keys for are touched, so work and messages of a block follow its
 keys, not the number of parts: at most a message for each key, as many as a plain aggregation by key would send rows.
 """
 
@@ -85,10 +85,14 @@ def tallied(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     ordered = keys[order]
     new = np.concatenate(([True], ordered[1:] != ordered[:-1]))[: len(keys)]
     first = np.flatnonzero(new)
-    sums = np.add.reduceat(counts[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
-    place = np.empty(len(keys), np.int64)
-    place[order] = np.cumsum(new) - 1
-    return ordered[first], sums, place
+    distinct = ordered[first]
+    del ordered  # blocks are large and their tasks' memory is not
+    sums = np.add.reduceat(counts[order], first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+    place = np.empty(len(keys), np.int32 if len(keys) < 1 << 31 else np.int64)
+    rank = np.cumsum(new, dtype=place.dtype)
+    rank -= 1
+    place[order] = rank
+    return distinct, sums, place
 
 
 def pack_counts(values: np.ndarray) -> bytes:

@@ -114,23 +114,26 @@ def lanes_of(pieces: pa.Table, orders: Iterable[int] = range(3)) -> Lanes:
         parts.append(own)
         offsets.append(offsets[-1] + len(own))
     tokens, offsets = np.concatenate(parts), np.array(offsets)
+    del keys, parts  # the words are not needed from here on
     n = np.diff(offsets)
     skip = pieces.column("skip").to_numpy().astype(np.int64)
     start = pieces.column("start").to_numpy(zero_copy_only=False)
     train = np.array([not held_out(d) for d in pieces.column("doc_id").to_pylist()], bool)
-    within = np.arange(len(tokens)) - np.repeat(offsets[:-1], n)
-    learn = np.repeat(train, n) & (within >= np.repeat(skip, n))
+    within = np.arange(len(tokens), dtype=np.int32) - np.repeat(offsets[:-1].astype(np.int32), n)
+    learn = np.repeat(train, n) & (within >= np.repeat(skip.astype(np.int32), n))
     distinct, places = {}, {}
     before = np.concatenate((tokens[-1:], tokens[:-1]))
     before[within == 0] = END  # the start of a text; of other pieces this place is left out
     bigrams = mixed(before, tokens)
+    del before
     for order in orders:
         grams = (tokens, bigrams)[order] if order < 2 else mixed(np.concatenate((bigrams[-1:], bigrams[:-1])), tokens)
         # with the start in view one word less is needed; the start itself has no history
-        at = np.flatnonzero(within >= np.where(np.repeat(start, n), max(0, order - 1), order))
+        at = np.flatnonzero(within >= np.repeat(np.where(start, max(0, order - 1), order).astype(np.int32), n))
         # the end is among a block's words even if no piece shows it, as its count is that of the start as a history
-        extra = [END] if order == 0 else []
-        key, count, place = tallied(np.append(grams[at], np.array(extra, np.uint64)), np.append(learn[at], np.zeros(len(extra), bool)))
+        extra = 1 if order == 0 else 0
+        key, count, place = tallied(np.append(grams, END) if extra else grams[at], np.append(learn, False) if extra else learn[at])
+        del grams
         own = np.full(len(tokens), -1, np.int32)
         own[at] = place[: len(at)]
         distinct[order] = key, count
@@ -249,12 +252,12 @@ def _score(n_train: int, n_types: int, prior: float):
     return run
 
 
-def score_documents(docs: DataFrame, prior: float = 4.0, block_bytes: int = 8 << 20, piece_bytes: int = 1 << 16) -> DataFrame:
+def score_documents(docs: DataFrame, prior: float = 4.0, block_bytes: int = 4 << 20, piece_bytes: int = 1 << 13) -> DataFrame:
     """A row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_failures."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8").alias("text"))
     blocks = materialise(bundle(rows, cut_pieces(piece_bytes), PIECE, block_bytes), "ngram-blocks")
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-    parts = 4 * (int(size // block_bytes) + 1)
+    parts = 2 * (int(size // block_bytes) + 1)
     # words and pairs first, then triples, so that only one half of the messages is in the shuffle at a time
     told, more = (materialise(totals(blocks.mapInArrow(_count(orders, parts), SENT_DDL)), "ngram-totals") for orders in ((0, 1), (2,)))
     whole = told.filter("block < 0 AND kind = 0").agg(F.sum("types").alias("types"), F.sum("tokens").alias("tokens")).first()
