@@ -22,10 +22,11 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heatledger.llm.common import materialise
+from heatledger.llm.common import as_bytes, batches, materialise
 from heatledger.llm.simhash import near_duplicates
 
 PIECE = "doc_id long, piece long, bin_id long, slot int, start_token long, n_tokens long, source string, cluster long"
@@ -100,15 +101,25 @@ def _pack(capacity: int, per_source: int):
     return run
 
 
-def n_tokens(text: Column) -> Column:
-    """Words of the text and an end token."""
-    return (F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")) + 1).cast("long")
+def measure(text: bytes) -> tuple[int, int | None]:
+    """Words of a text and an end token, and a hash of its words without regard to case, none for a text without words; equal texts but for case and white space have the same."""
+    words = text.split()
+    if not words:
+        return 1, None
+    joined = b" ".join(words)
+    folded = joined.lower() if joined.isascii() else joined.decode("utf-8", "replace").lower().encode()
+    return len(words) + 1, int.from_bytes(xxhash.xxh3_64_digest(folded), "big", signed=True)
 
 
-def text_cluster(text: Column) -> Column:
-    """Cluster of documents with the same text but for case and white space; null for null or blank texts."""
-    words = F.trim(F.regexp_replace(F.lower(text.cast("string")), r"\s+", " "))
-    return F.when(F.length(words) > 0, F.xxhash64(words))
+def _measured():
+    """Rows (doc_id, name, source, copy, n) of rows (doc_id, name, source, text)."""
+
+    def run(items):
+        for b in batches(items):
+            n, copy = zip(*map(measure, as_bytes(b.column(3))), strict=True)
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(3)], pa.array(copy, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "name", "source", "copy", "n"])
+
+    return run
 
 
 def pack(rows: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows: int = 2048) -> DataFrame:
@@ -127,8 +138,9 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, per_source: int = 4, s
     text = F.col("text")
     # a document without an id takes part in clusters under a name made of its text, below all ids one meets
     name = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text).bitwiseOR(F.lit(-(1 << 63))))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), name.alias("name"), F.col("source").cast("string").alias("source"), text_cluster(text).alias("copy"), n_tokens(text).alias("n"))
-    marks = near_duplicates(docs.select(name.alias("doc_id"), "text").filter(text_cluster(text).isNotNull())).groupBy("d").agg(F.min("component_id").alias("component"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), name.alias("name"), F.col("source").cast("string").alias("source"), text.cast("string").alias("text"))
+    rows = rows.mapInArrow(_measured(), "doc_id long, name long, source string, copy long, n long")
+    marks = near_duplicates(docs.select(name.alias("doc_id"), "text").filter(text.cast("string").rlike(r"\S"))).groupBy("d").agg(F.min("component_id").alias("component"))
     shared = marks.filter("component <> d")
     shared = shared.unionByName(shared.select(F.col("component").alias("d"), "component")).groupBy("d").agg(F.min("component").alias("component"))
     near = rows.join(shared, F.col("name") == F.col("d"), "left")
