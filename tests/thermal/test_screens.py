@@ -54,6 +54,18 @@ def test_volcano_wins_over_fire_and_radius_is_inclusive(spark):
     assert got == {0: ("volcanic", "a"), 1: ("weather", None), 2: ("volcanic", "far"), 3: ("weather", None), 4: ("wildfire", None), 5: ("implausible", None)}
 
 
+def test_vents_of_one_place_are_one_circle_and_cells_are_small(spark):
+    listed = [(f"v{i:04d}", 10.05 + i % 20 / 10 % 1, 20.05 + i % 20 // 10 / 2, 7.0 + i % 2) for i in range(2000)] + [("pole", 89.99, 0.0, 9.0), ("edge", 0.0, 179.99, 9.0)]
+    vents = spark.createDataFrame(listed, "vent string, vent_lat double, vent_lon double, radius_km double")
+    assert screens.vents_by_cell(vents).agg(F.max(F.size("vents_here")).alias("n")).first().n <= 4  # of 2,000 in one tile
+    at = [(10 + i / 37 % 1, 20 + i / 53 % 1) for i in range(200)] + [(90.0, 100.0), (89.95, -180.0), (0.0, -179.97), (0.0, 180.0)]
+    rows = screens.clean(px(spark, *[(60.0, 0, lat, lon) for lat, lon in at]))
+    near = F.min(F.when(E.flat_km(F.col("lat"), F.col("lon"), F.col("vent_lat"), F.col("vent_lon")) <= F.col("radius_km"), F.struct(E.flat_km(F.col("lat"), F.col("lon"), F.col("vent_lat"), F.col("vent_lon")).alias("km"), F.col("vent")))).alias("near")
+    want = {r.pixel: r.near for r in rows.crossJoin(vents).groupBy("pixel").agg(near).collect()}
+    assert {r.pixel: r.near for r in screens.with_nearest_vent(rows, vents).collect()} == want
+    assert {want[200].vent, want[202].vent, want[203].vent} == {"pole", "edge"}
+
+
 def test_guard_ring_has_nine_bins_and_floors_negative_coordinates(spark):
     bins = {r.bin for r in screens.fire_bins(spark.createDataFrame([(-0.01, -0.01)], "lat double, lon double")).collect()}
     assert bins == {(-1 + y) * 20000 - 1 + x for y in (-1, 0, 1) for x in (-1, 0, 1)}
