@@ -214,7 +214,9 @@ def _(spark, sf):
 def _(spark, sf):
     """A stored table, a partition a day: volcanic anomalies a degree too cool come first, then all of every second month, twice."""
     path, keys = tables.scratch(spark, "anomalies"), ["d", "product", "tile_lat", "tile_lon", "cause"]
-    rows = reduce.anomalies(C._routed(spark, sf), "d", "product").select(*keys, "max_c")
+    staged = tables.scratch(spark, "staged")  # one pass over the pixels serves all updates
+    reduce.anomalies(C._routed(spark, sf), "d", "product").select(*keys, "max_c").write.parquet(staged)
+    rows = spark.read.parquet(staged)
     tables.upsert(path, rows.filter("cause = 'volcanic'").withColumn("max_c", F.col("max_c") - 1), keys, "d")
     for _ in range(2):
         tables.upsert(path, rows.filter("month(d) % 2 = 0"), keys, "d")

@@ -19,6 +19,21 @@ def test_upsert_replaces_keys_and_leaves_other_partitions(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
+def test_upsert_computes_what_comes_in_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for f in frames:
+            seen.add(len(f))
+            yield f
+
+    rows = spark.createDataFrame([(f"p{i % 3}", i, i) for i in range(30)], "d string, k int, v int").mapInPandas(counted, "d string, k int, v int")
+    for n in (1, 2):
+        tables.upsert(str(tmp_path / "t"), rows, ["d", "k"], "d")
+        assert seen.value == 30 * n
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 30
+
+
 def test_prunable_and_rates(spark):
     names = spark.createDataFrame([(x,) for x in ("2020-01-01", "2020-01-02", "2020-01-03", "manifest.json", "2020-99-01")], "name string")
     assert [r.name for r in tables.prunable(names, 2).collect()] == ["2020-01-01"]
