@@ -94,7 +94,9 @@ FROM r LEFT JOIN places p ON r.place_name IS NULL AND cause <> 'volcanic' AND p.
 def _(spark, sf):
     """Stored anomalies, some named before, after an update that names the rest by their cells; the update runs twice."""
     store = Versions(spark, tables.scratch(spark, "anomalies"))
-    rows = reduce.anomalies(C._routed(spark, sf), "d", "product").drop("source")
+    staged = tables.scratch(spark, "staged")  # dealing rows by ranges reads them twice
+    reduce.anomalies(C._routed(spark, sf), "d", "product").drop("source").write.parquet(staged)
+    rows = spark.read.parquet(staged)
     at = F.col("tile_lat") + F.col("tile_lon")
     places.put_rows(store, rows.withColumns({"place_name": F.when(at % 3 == 0, "kept"), "country": F.when(at % 2 == 0, "K")}), 8)
     for _ in range(2):
