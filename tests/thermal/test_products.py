@@ -72,6 +72,15 @@ def test_split_and_jobs(spark):
     assert worklist.granule_estimate(worklist.jobs(cells, 0.5, 0.1), 2).first().asDict() == {"least": 8, "most": 32}
 
 
+def test_a_box_of_the_globe_is_few_rows(spark):
+    box = "array<struct<west:double,south:double,east:double,north:double>>"
+    work = spark.createDataFrame([(date(2020, 1, 1), [(-180.0, -90.0, 180.0, 90.0)]), (date(2020, 1, 2), [(-20.0, -10.0, -10.0, 5.5), (170.0, 80.0, 180.0, 90.0)])], f"d date, bboxes {box}")
+    assert worklist.box_tiles(work).filter("jd = DATE '2020-01-01'").count() < 1000
+    at = [(90.0, 180.0), (-90.0, -180.0), (-10.0, -20.0), (5.5, -10.0), (5.51, -10.0), (0.0, 0.0), (80.0, 169.99)]
+    pixels = spark.createDataFrame([(date(2020, 1, d), i, *p) for d in (1, 2, 3) for i, p in enumerate(at)], "d date, i int, lat double, lon double")
+    assert sorted((r.d.day, r.i) for r in worklist.inside(pixels, work).collect()) == [(1, i) for i in range(7)] + [(2, 0), (2, 2), (2, 3)]
+
+
 def test_job_validation(spark):
     box = {"west": 1, "south": 1, "east": 2, "north": 2}
     lines = [{"date": "2020-01-01", "bboxes": [box]}, {"bboxes": [box]}, {"date": "2020-01-01", "bboxes": []}, {"date": "2020-01-01", "bboxes": [{"west": 1}]}, {"date": "2020-01-01", "bboxes": [box | {"west": 3}]}, {"date": "2020-01-01", "bboxes": [box | {"east": 200}]}]
