@@ -46,12 +46,19 @@ had AS (SELECT DISTINCT z, px >> (15-z) AS x, py >> (15-z) AS y FROM b, zs WHERE
 lv AS (SELECT z, px >> (7-z) AS px, py >> (7-z) AS py, max({C._RANK}) AS rank FROM b, zs GROUP BY ALL)"""
 
 
+def _halves(spark, sf):
+    """Base rasters of the days before the split and of those from it on, by one pass over the pixels."""
+    path = tables.scratch(spark, "base")
+    raster.base(C._clean(spark, sf, True).withColumn("early", F.expr(f"d < {_SPLIT}")), 40.0, "early").write.parquet(path)
+    both = spark.read.parquet(path)
+    return tuple(both.filter(F.col("early") == early).drop("early") for early in (True, False))
+
+
 @query("alltime_levels_changed", Q.ctes(G) + _LEVELS + """ SELECT dirty.z, dirty.x, dirty.y, had.z IS NULL AS created, count(*) AS pixels, max(rank) AS max_rank, CAST(sum(rank) AS BIGINT) AS rank_sum
 FROM dirty LEFT JOIN had ON had.z = dirty.z AND had.x = dirty.x AND had.y = dirty.y JOIN lv ON lv.z = dirty.z AND lv.px >> 8 = dirty.x AND lv.py >> 8 = dirty.y GROUP BY ALL""")
 def _(spark, sf):
     """Tiles of the stored levels that the last months change or create, with what stands in them then."""
-    px = C._clean(spark, sf, True)
-    old, new = raster.base(px.filter(f"d < {_SPLIT}")), raster.base(px.filter(f"d >= {_SPLIT}"))
+    old, new = _halves(spark, sf)
     path = tables.scratch(spark, "levels")
     raster.write_levels(raster.ranks(raster.pyramid(old)).drop("centi"), path)
     state, changed = raster.merge_state(old, new)
@@ -79,10 +86,12 @@ def _(spark, sf):
 @query("alltime_published", RASTER + f"SELECT z, px, py, {C._RANK} AS rank FROM levels")
 def _(spark, sf):
     """Display levels after folding the days up to a date and those after it, the latter twice, into a store of versions; equal to one pyramid of all days."""
-    store, px, days = Versions(spark, tables.scratch(spark, "published")), C._clean(spark, sf, True), C._days(spark, sf).select(*C.READ)
+    store, path = Versions(spark, tables.scratch(spark, "published")), tables.scratch(spark, "days")
+    C._days(spark, sf).select(*C.READ).write.parquet(path)
+    days, (old, new) = spark.read.parquet(path), _halves(spark, sf)
     for early, day in ((True, "1998-09-30"), (False, "1998-12-31"), (False, "1998-12-31")):
         when = f"d < {_SPLIT}" if early else f"d >= {_SPLIT}"
-        publish.fold_day(store, raster.base(px.filter(when)), days.filter(when), day)
+        publish.fold_day(store, old if early else new, days.filter(when), day)
     return publish.read(store)[0]
 
 

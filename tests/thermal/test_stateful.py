@@ -133,6 +133,26 @@ def test_only_blocks_of_changed_tiles_are_read(spark, tmp_path):
     assert raster.changed_levels(state, changed.filter("tx < 0"), stored)[1].collect() == []
 
 
+def test_both_halves_of_the_days_take_one_pass(spark, monkeypatch):
+    from heatledger.plans import catalogue, stateful
+
+    passes = spark.sparkContext.accumulator(0)
+    schema = "d date, lat double, lon double, c double"
+
+    def counted(frames):
+        for f in frames:
+            passes.add(len(f))
+            yield f
+
+    rows = spark.createDataFrame([(date(1998, m, 1), 1.0 + m, 2.0, 50.0 + m) for m in (1, 9, 10, 12)], schema)
+    monkeypatch.setattr(catalogue, "_clean", lambda *_: rows.mapInPandas(counted, schema))
+    old, new = stateful._halves(spark, None)
+    want = [raster.base(rows.filter(f"d {sign} DATE '1998-10-01'")) for sign in ("<", ">=")]
+    for got, sure in zip((old, new), want, strict=True):
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, sure.collect())) and got.count() == 2
+    assert passes.value == 4
+
+
 def test_a_stop_leaves_a_whole_version(spark, tmp_path):
     """The day fails after each of its steps; readers see the day before until the pointer is there, and the day run again gives the same as without a stop."""
     pixels = "px int, py int, centi int"
