@@ -11,6 +11,9 @@ A cell yields links along a search tree, at most one fewer than it has members,
 than ``chunk`` members are dealt over pairs of chunks. Only distinct fingerprints enter the grid, and
 components come from alternating star contractions in Spark, written to the shared folder each round.
 
+All joins here shuffle both sides: their tables have a row for each fingerprint or link, and a table below Spark's broadcast limit
+would pass whole through the driver, where those of all rounds stay until its heap is collected.
+
 Defined results: null text is empty, with fingerprint zero; null ids get the component of their
 fingerprint and never name one (null if no other id is there); rows that repeat an id repeat its result.
 """
@@ -152,7 +155,7 @@ def links(fps: DataFrame, distance: int = 4, blocks: int = 8, chunk: int = 4096)
     t = thermometer(F.col("fp"))
     cells = fps.select("fp", F.posexplode(F.array(*[t.bitwiseAND(F.lit(m).cast("long")) for m in masks(blocks, distance)])).alias("grid", "cell"))
     sizes = cells.groupBy("grid", "cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = cells.join(sizes, ["grid", "cell"])
+    met = cells.join(sizes.hint("merge"), ["grid", "cell"])
     parts = F.ceil(F.col("n") / chunk).cast("int")
     own = F.pmod(F.xxhash64("fp"), parts).cast("int")
     dealt = met.withColumn("k", parts).withColumn("own", own).select(
@@ -172,13 +175,13 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "large-star")
-        large = both.filter("v > u").join(nearest, "u").select(F.col("m").alias("u"), "v").filter("u < v").distinct()
+        large = both.filter("v > u").join(nearest.hint("merge"), "u").select(F.col("m").alias("u"), "v").filter("u < v").distinct()
         large = materialise(large, "links")
         lowest = large.groupBy(F.col("v").alias("w")).agg(F.min("u").alias("m"))
         lowest = materialise(lowest, "small-star")
-        small = large.join(lowest, large["v"] == lowest["w"]).select("m", F.explode(F.array("u", "v")).alias("x")).filter("m < x")
+        small = large.join(lowest.hint("merge"), large["v"] == lowest["w"]).select("m", F.explode(F.array("u", "v")).alias("x")).filter("m < x")
         small = materialise(small.select(F.col("m").alias("u"), F.col("x").alias("v")).distinct(), "links")
-        same = small.join(edges, ["u", "v"], "left_anti").isEmpty() and edges.join(small, ["u", "v"], "left_anti").isEmpty()
+        same = small.join(edges.hint("merge"), ["u", "v"], "left_anti").isEmpty() and edges.join(small.hint("merge"), ["u", "v"], "left_anti").isEmpty()
         discard(edges, nearest, large, lowest)
         edges = small
         if same:
@@ -196,11 +199,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = materialise(marks.groupBy("fp").agg(F.min("d").alias("first")), "distinct-fingerprints")
     roots = components(links(firsts.select("fp"), distance, blocks, chunk))
     both = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()).distinct()
-    linked = firsts.join(both, firsts["fp"] == both["node"], "left").withColumn("root", F.coalesce("root", "fp"))
+    linked = firsts.join(both.hint("merge"), firsts["fp"] == both["node"], "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = materialise(linked.select("fp", "root").join(lowest, "root").select("fp", "component_id"), "fingerprint-components")
+    named = materialise(linked.select("fp", "root").join(lowest.hint("merge"), "root").select("fp", "component_id"), "fingerprint-components")
     discard(firsts, roots)
-    return marks.join(named, "fp").select("d", "fp", "component_id")
+    return marks.join(named.hint("merge"), "fp").select("d", "fp", "component_id")
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:

@@ -100,3 +100,19 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 1001)], "u long, v long")
     got = {r.node: r.root for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(1, 201)}, 1001: 1000}
+
+
+def test_no_table_of_fingerprints_goes_through_the_driver(spark, monkeypatch):
+    from heatledger.llm import simhash
+
+    plans = []
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialise(df, name)
+
+    materialise = simhash.materialise
+    monkeypatch.setattr(simhash, "materialise", kept)
+    docs = frame(spark, ["a b c d e f", "a b c d e f", "g h i j k l", "one", None])
+    plans.append(near_duplicates(docs)._jdf.queryExecution().executedPlan().toString())
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
