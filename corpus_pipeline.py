@@ -29,6 +29,7 @@ def one_row_an_id(docs: DataFrame) -> DataFrame:
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     many = docs.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id")
     many = materialise(many, "repeated-ids")
+    many = many.hint("shuffle_hash")  # ids grow with the table, so none go through the driver; texts are not sorted
     best = docs.join(many, docs["doc_id"] == many["_id"], "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *rest)).alias("r"))
     return docs.join(many, docs["doc_id"] == many["_id"], "left_anti").unionByName(best.select("doc_id", "r.*").select(*docs.columns))
 
@@ -38,7 +39,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     docs = one_row_an_id(docs)
     keep = simhash.near_duplicates(docs).filter("d = component_id")
     first = materialise(keep.select(F.col("d").alias("_sh_id")), "near-duplicate-firsts")
-    return docs.join(first, docs["doc_id"] == first["_sh_id"], "left_semi").unionByName(docs.filter("doc_id IS NULL"))
+    return docs.join(first.hint("shuffle_hash"), docs["doc_id"] == first["_sh_id"], "left_semi").unionByName(docs.filter("doc_id IS NULL"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
