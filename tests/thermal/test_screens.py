@@ -1,5 +1,6 @@
 """Boundaries and laws of the screens and reductions."""
 
+import re
 from datetime import date
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from heatledger import schema as S
 from heatledger.functions import exprs as E
 from heatledger.operators import archive, corroborate, reduce, screens
+from heatledger.plans import bindings
 
 PIXEL = "pixel long, seq int, product string, d date, raw long, qc long, lat double, lon double"
 DAY = date(2020, 7, 15)
@@ -149,3 +151,21 @@ def test_scaling_is_checked(spark):
     assert checked_scaling(good).first().fill == 0.0
     with pytest.raises(Exception, match="scale_factor"):
         checked_scaling(spark.createDataFrame([({"scale_factor": 0.05},)], "attrs map<string,double>")).collect()
+
+
+def _method_bytes(spark, rows):
+    """Size of the largest generated method, without the adaptive plan, which has none before it runs."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    return max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text))
+
+
+@pytest.mark.parametrize("name", ["clean"])
+def test_screens_stay_below_the_size_java_compiles(spark, name):
+    """Java interprets methods beyond 8,000 bytes, which made the screens seven times slower."""
+    sf = "/root/testdata/sf0.001"
+    rows = {"clean": lambda: screens.clean(bindings.pixels(spark, sf))}[name]()
+    assert _method_bytes(spark, rows) < 8000
