@@ -163,9 +163,17 @@ def _method_bytes(spark, rows):
     return max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text))
 
 
-@pytest.mark.parametrize("name", ["clean"])
+@pytest.mark.parametrize("name", ["clean", "nearest", "routed"])
 def test_screens_stay_below_the_size_java_compiles(spark, name):
     """Java interprets methods beyond 8,000 bytes, which made the screens seven times slower."""
     sf = "/root/testdata/sf0.001"
-    rows = {"clean": lambda: screens.clean(bindings.pixels(spark, sf))}[name]()
+    clean, vents = screens.clean(bindings.pixels(spark, sf)), bindings.vents(spark, sf)
+    rows = {"clean": lambda: clean, "nearest": lambda: screens.with_nearest_vent(clean, vents), "routed": lambda: screens.route(clean, vents, screens.fire_bins(bindings.fires(spark, sf)))}[name]()
     assert _method_bytes(spark, rows) < 8000
+
+
+def test_vent_without_a_place_or_radius_catches_nothing(spark):
+    vents = spark.createDataFrame([(1, None, 10.0, 7.0), (2, 10.0, None, 7.0), (3, 10.0, 10.0, None)], "vent long, vent_lat double, vent_lon double, radius_km double")
+    assert screens.vents_by_cell(vents).count() == 0
+    rows = screens.located(px(spark, (30.0, 0, 10.0, 10.0), (30.0, 0, 90.0, 180.0)).withColumn("c", E.celsius(F.col("raw"))))
+    assert screens.vent_matches(rows, vents).count() == 0
